@@ -22,6 +22,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         # Both are needed: large task results (e.g. a broadcast side) are
         # fetched from the address the driver advertises.
