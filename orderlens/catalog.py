@@ -22,7 +22,10 @@ from orderlens.operators import conform
 from orderlens.operators.order_totals import order_totals
 from orderlens.operators.ranking import with_ntile, with_percent_rank
 from orderlens.plans import customers, programs, sales
-from orderlens.sources import testdata
+from orderlens.plans.runner import run_reports
+from orderlens.schemas import FACT_ITEMS
+from orderlens.session import scratch_path
+from orderlens.sources import landing, results, testdata
 from orderlens.streaming import incremental
 
 # Fixed parameters of the checked runs (FIXTURES.md §4).
@@ -175,6 +178,71 @@ def q_high_water_mark(spark, sf):
     return incremental.high_water_mark(_batch(spark, sf))
 
 
+# --- sources, sinks, incremental runs (E2, E11, E13-E15) -------------------------
+def _write_test_landing(spark, sf, path, part: str | None = None):
+    """Source-shaped test tables into a landing folder; ``part`` = 'before'/'after' the mark."""
+    items = testdata.order_items_source(spark, sf)
+    if part is not None:
+        t = F.col("creation_time_utc")
+        cut = F.lit(INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z"))
+        items = items.filter(t <= cut) if part == "before" else items.filter(t > cut)
+    landing.write_landing({"order_items": items}, path, mode="append")
+    if part in (None, "before"):
+        landing.write_landing({"order_item_options": testdata.order_item_options_source(spark, sf),
+                               "date_dim": testdata.date_dim_source(spark, sf)}, path)
+
+
+def q_load_landing(spark, sf):
+    path = scratch_path(spark, "landing")
+    _write_test_landing(spark, sf, path)
+    return landing.load_landing(spark, path)["order_items"]
+
+
+def _read_fact_items(spark, out):
+    return spark.read.schema(FACT_ITEMS).parquet(f"{out}/fact_items")
+
+
+def q_incremental_batch(spark, sf):
+    """Two batch runs with a stored mark (rows up to the mark, then the rest) = one full run."""
+    src, out = scratch_path(spark, "landing"), scratch_path(spark, "curated")
+    mark = scratch_path(spark, "mark")
+    _write_test_landing(spark, sf, src, "before")
+    incremental.run_batch(spark, src, out, mark)
+    _write_test_landing(spark, sf, src, "after")
+    incremental.run_batch(spark, src, out, mark)
+    return _read_fact_items(spark, out)
+
+
+def q_incremental_stream(spark, sf):
+    """The stream over the landing folder, run twice as files arrive = one full run."""
+    src, out = scratch_path(spark, "landing"), scratch_path(spark, "curated")
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    _write_test_landing(spark, sf, src, "before")
+    incremental.run_incremental(spark, src, out, ckpt)
+    _write_test_landing(spark, sf, src, "after")
+    incremental.run_incremental(spark, src, out, ckpt)
+    return incremental.read_curated(spark, out, "fact_items")
+
+
+def _star_tables(spark, sf):
+    s = testdata.star(spark, sf)
+    return {"fact_orders": s.fact_orders, "fact_items": s.fact_items,
+            "fact_items_options": s.fact_items_options, "date_dim": s.date_dim}
+
+
+def q_run_reports(spark, sf):
+    return run_reports(spark, _star_tables(spark, sf), scratch_path(spark, "results"), AS_OF)
+
+
+def q_read_latest_result(spark, sf):
+    """Two runs of the location report; the reader returns the later one."""
+    out = scratch_path(spark, "results")
+    tables = _star_tables(spark, sf)
+    run_reports(spark, tables, out, AS_OF, ["top_performing_location"], run_id="20010101000000-a")
+    run_reports(spark, tables, out, AS_OF, ["top_performing_location"], run_id="20020101000000-b")
+    return results.read_latest(spark, out, "top_performing_location")
+
+
 # --- dashboards -----------------------------------------------------------------
 def _on(report: Query, fn) -> Query:
     def run(spark, sf):
@@ -234,6 +302,12 @@ def queries() -> dict[str, Query]:
         "fact_items": q_fact_items,
         "fact_item_options": q_fact_item_options,
         "high_water_mark": q_high_water_mark,
+        # E2, E11-E15
+        "load_landing": q_load_landing,
+        "incremental_batch": q_incremental_batch,
+        "incremental_stream": q_incremental_stream,
+        "run_reports": q_run_reports,
+        "read_latest_result": q_read_latest_result,
         # D1-D27
         "churn_kpis": _on(q_churn, ich.kpis),
         "churn_status_counts": _on(q_churn, ich.status_counts),

@@ -249,6 +249,10 @@ FACT_ORDERS_E8 = _with("SELECT DISTINCT order_id, app_id, restaurant_id, COALESC
                        "FROM order_items JOIN apps ON order_items.app_name = apps.app_name", _APPS)
 FACT_ITEMS_E9 = _with("SELECT * FROM fact_items")
 FACT_OPTIONS_E10 = _with("SELECT * FROM fact_items_options")
+LOAD_LANDING = _with("SELECT order_id, lineitem_id, app_name, restaurant_id, user_id, printed_card_number, is_loyalty, "
+                     "strftime(creation_time_utc, '%Y-%m-%dT%H:%M:%S.%gZ') AS creation_time_utc, currency, "
+                     "item_category, item_name, CAST(item_quantity AS VARCHAR) AS item_quantity, "
+                     "CAST(item_price AS VARCHAR) AS item_price FROM order_items")
 HIGH_WATER_MARK = _with("SELECT MAX(creation_time_utc) AS last_processed_timestamp FROM batch", _BATCH)
 
 
@@ -375,6 +379,10 @@ def oracle_sql() -> dict[str, str]:
         "fact_items": FACT_ITEMS_E9,
         "fact_item_options": FACT_OPTIONS_E10,
         "high_water_mark": HIGH_WATER_MARK,
+        "load_landing": LOAD_LANDING,
+        "incremental_batch": FACT_ITEMS_E9,
+        "incremental_stream": FACT_ITEMS_E9,
+        "read_latest_result": LOCATIONS,
     }
     out.update(DASHBOARDS)
     return out

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
 from orderlens.operators import conform
+from orderlens.sources.landing import load_landing
 
 CURATED_TABLES = ("date_dim", "dim_app", "fact_orders", "fact_items", "fact_items_options")
 
@@ -110,16 +111,6 @@ def transform(order_items: DataFrame, options: DataFrame, date_dim: DataFrame,
     }
 
 
-def load_landing(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
-    """The three landing tables with declared schemas (no inference)."""
-    base = landing.rstrip("/")
-    return {
-        "order_items": spark.read.schema(schemas.ORDER_ITEMS).parquet(f"{base}/order_items"),
-        "order_item_options": spark.read.schema(schemas.ORDER_ITEM_OPTIONS).parquet(f"{base}/order_item_options"),
-        "date_dim": spark.read.schema(schemas.DATE_DIM_SOURCE).parquet(f"{base}/date_dim"),
-    }
-
-
 def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str) -> dt.datetime | None:
     """The batch transform job with a stored high-water mark; returns the new mark."""
     src = load_landing(spark, landing)
