@@ -19,6 +19,14 @@ Ranks with ties take the smallest row number of their value
 (``groupBy(value).min``: partial aggregation, so a value shared by a third
 of the rows still arrives as one row per map task); ntile buckets follow from
 the row number and the total count alone.
+
+Small inputs: the range-partitioned path costs a few extra jobs, which only
+pays off when the rows would not fit one task comfortably. The input (the
+per-user frame) is persisted and its size checked with ``limit(max + 1)``;
+at or below ``max`` rows (``orderlens.ranking.singleTaskMaxRows``, default
+1,000,000) the numbers come from native windows in one task — a bounded
+amount of work, like a broadcast join behind a size check. Either way the
+result is checkpointed and the input released.
 """
 
 from __future__ import annotations
@@ -31,6 +39,26 @@ from orderlens.session import checkpoint_dir
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 MAX_RANGE_PARTITIONS = 100_000
+SINGLE_TASK_CONF = "orderlens.ranking.singleTaskMaxRows"
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def single_task_max_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(SINGLE_TASK_CONF, str(SINGLE_TASK_MAX_ROWS)))
+
+
+def _fits_one_task(df: DataFrame, limit: int) -> bool:
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
+def _native_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
+                    rank_name: str | None) -> DataFrame:
+    """Row number (and rank) from windows without a partition key: bounded input only."""
+    cols = [F.row_number().over(Window.orderBy(*order)).cast("long").alias(name),
+            F.count(F.lit(1)).over(Window.partitionBy()).alias(count_name)]
+    if rank_name is not None:
+        cols.append(F.rank().over(Window.orderBy(order[0])).cast("long").alias(rank_name))
+    return df.select("*", *cols)
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -40,13 +68,36 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
-                    count_name: str = "_n", partitions: int | None = None) -> DataFrame:
+                    count_name: str = "_n", partitions: int | None = None,
+                    single_task_max: int | None = None) -> DataFrame:
     """Add the 1-based global row number over ``order`` and the total row count.
 
     ``order`` must be a total order (end it with a unique key) for the numbers
     to be repeatable.
     """
+    return _numbered(df, order, name, count_name, partitions, single_task_max)
+
+
+def _numbered(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
+              partitions: int | None, single_task_max: int | None,
+              rank_value: Column | None = None, rank_name: str | None = None) -> DataFrame:
     checkpoint_dir(df.sparkSession)
+    limit = single_task_max_rows(df) if single_task_max is None else single_task_max
+    source = df.persist()
+    try:
+        if _fits_one_task(source, limit):
+            return _native_numbers(source, order, name, count_name, rank_name) \
+                .checkpoint(eager=True)
+        numbered = _range_numbers(source, order, name, count_name, partitions)
+        if rank_value is not None:
+            numbered = _ranks_from_numbers(numbered, rank_value, name, rank_name)
+        return numbered
+    finally:
+        source.unpersist()
+
+
+def _range_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
+                   partitions: int | None) -> DataFrame:
     n = _partitions(df, partitions)
     ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
@@ -67,19 +118,25 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
             .drop("_mid", "_pid", "_off"))
 
 
+def _ranks_from_numbers(numbered: DataFrame, value: Column, rn: str, rank_name: str) -> DataFrame:
+    """RANK = the smallest row number among rows with the same value."""
+    firsts = numbered.groupBy(value.alias("_v")).agg(F.min(rn).alias(rank_name))
+    return numbered.join(firsts, value.eqNullSafe(firsts["_v"])).drop("_v")
+
+
 def with_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "rank",
-              count_name: str = "_n", partitions: int | None = None) -> DataFrame:
+              count_name: str = "_n", partitions: int | None = None,
+              single_task_max: int | None = None) -> DataFrame:
     """SQL RANK over ``order`` (whose first key is ``value``): ties share the lowest number."""
-    numbered = with_row_number(df, order, "_rn", count_name, partitions)
-    firsts = numbered.groupBy(F.col(value).alias("_v")).agg(F.min("_rn").alias(name))
-    return (numbered.join(firsts, numbered[value].eqNullSafe(firsts["_v"]))
-            .drop("_v", "_rn"))
+    numbered = _numbered(df, order, "_rn", count_name, partitions, single_task_max,
+                         rank_value=F.col(value), rank_name=name)
+    return numbered.drop("_rn")
 
 
 def with_percent_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "percent_rank",
-                      partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
     """SQL PERCENT_RANK: (rank - 1) / (n - 1), 0 for a single row."""
-    ranked = with_rank(df, value, order, "_rank", "_n", partitions)
+    ranked = with_rank(df, value, order, "_rank", "_n", partitions, single_task_max)
     pr = F.when(F.col("_n") > 1,
                 (F.col("_rank") - 1).cast("double") / (F.col("_n") - 1).cast("double")
                 ).otherwise(F.lit(0.0))
@@ -100,7 +157,32 @@ def ntile_of(row_number: Column, total: Column, k: int) -> Column:
 
 
 def with_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str = "ntile",
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
     """SQL NTILE(k) over ``order`` (a total order)."""
-    numbered = with_row_number(df, order, "_rn", "_n", partitions)
+    numbered = with_row_number(df, order, "_rn", "_n", partitions, single_task_max)
     return numbered.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
+
+
+def with_ntiles(df: DataFrame, k: int, orders: dict[str, Sequence[Column]],
+                partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
+    """Several NTILE(k) columns, one per ``{name: order}`` (each a total order).
+
+    Bounded input: one size check and one pass with all windows. Otherwise one
+    range-partitioned numbering per order, each on the previous checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    limit = single_task_max_rows(df) if single_task_max is None else single_task_max
+    source = df.persist()
+    try:
+        if _fits_one_task(source, limit):
+            numbers = [F.row_number().over(Window.orderBy(*o)).alias(f"_rn_{name}") for name, o in orders.items()]
+            counted = source.select("*", F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"), *numbers)
+            tiles = [ntile_of(F.col(f"_rn_{name}"), F.col("_n"), k).alias(name) for name in orders]
+            return counted.select(*df.columns, *tiles).checkpoint(eager=True)
+        out = source
+        for name, order in orders.items():
+            numbered = _range_numbers(out, order, "_rn", "_n", partitions)
+            out = numbered.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
+        return out
+    finally:
+        source.unpersist()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.dates import date_lit, days_between, month_start, order_date, whole_days_to
 from orderlens.functions.numeric import half_up_ratio, money_out
-from orderlens.operators.ranking import with_ntile, with_percent_rank
+from orderlens.operators.ranking import with_ntiles, with_percent_rank
 
 AT_RISK_DAYS = 700
 RFM_MONTHS = 24
@@ -79,10 +79,11 @@ def rfm(totals: DataFrame, as_of: dt.date, months: int = RFM_MONTHS, k: int = NT
     """
     base = rfm_inputs(totals, as_of, months)
     uid = F.col("user_id").asc()
-    ranked = with_ntile(base, k, [F.col("total_cost_per_user").desc_nulls_last(), uid], "monetary_rank")
-    ranked = with_ntile(ranked, k, [F.col("days_passed").asc_nulls_last(), uid], "recency_rank")
-    ranked = with_ntile(ranked, k, [F.col("num_purchases_last_24_months").desc_nulls_last(), uid],
-                        "frequency_rank")
+    ranked = with_ntiles(base, k, {
+        "monetary_rank": [F.col("total_cost_per_user").desc_nulls_last(), uid],
+        "recency_rank": [F.col("days_passed").asc_nulls_last(), uid],
+        "frequency_rank": [F.col("num_purchases_last_24_months").desc_nulls_last(), uid],
+    })
     r, f, m = F.col("recency_rank"), F.col("frequency_rank"), F.col("monetary_rank")
     segment = (F.when((r == 1) & (f == 1) & (m == 1), "VIP")
                .when((r == 1) & (f >= 4), "New Customer")
