@@ -238,9 +238,9 @@ def q_read_latest_result(spark, sf):
     """Two runs of the location report; the reader returns the later one."""
     out = scratch_path(spark, "results")
     tables = _star_tables(spark, sf)
-    run_reports(spark, tables, out, AS_OF, ["top_performing_location"], run_id="20010101000000-a")
-    run_reports(spark, tables, out, AS_OF, ["top_performing_location"], run_id="20020101000000-b")
-    return results.read_latest(spark, out, "top_performing_location")
+    run_reports(spark, tables, out, AS_OF, ["locations"], run_id="20010101000000-a")
+    run_reports(spark, tables, out, AS_OF, ["locations"], run_id="20020101000000-b")
+    return results.read_latest(spark, out, "locations")
 
 
 # --- dashboards -----------------------------------------------------------------

@@ -28,14 +28,14 @@ def reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, Report]:
         return order_totals(o, i, x, policy)
 
     return {
-        "churn_indicator": lambda: customers.churn(totals("zero_sum"), as_of),
-        "customer_lifetime_value": lambda: customers.clv(totals()),
-        "customer_segmentation_behavior": lambda: customers.rfm(totals(), as_of),
-        "get_date_detail": lambda: sales.date_detail(tables["date_dim"]),
-        "loyalty_program_impact": lambda: programs.loyalty(totals()),
-        "pricing_discount_effectiveness": lambda: programs.discounts(o, i, x),
+        "churn": lambda: customers.churn(totals("zero_sum"), as_of),
+        "clv": lambda: customers.clv(totals()),
+        "rfm": lambda: customers.rfm(totals(), as_of),
+        "date_detail": lambda: sales.date_detail(tables["date_dim"]),
+        "loyalty": lambda: programs.loyalty(totals()),
+        "discounts": lambda: programs.discounts(o, i, x),
         "sales_trend": lambda: sales.sales_trend(o, i),
-        "top_performing_location": lambda: sales.locations(totals()),
+        "locations": lambda: sales.locations(totals()),
     }
 
 

@@ -70,14 +70,14 @@ LOCATIONS = _s(("location_id", STR), ("total_revenue", DBL), ("revenue_rank", IN
                ("avg_order_value", DBL), ("orders_per_day", DBL), ("orders_per_week", DBL))
 
 REPORT_SCHEMAS = {
-    "customer_lifetime_value": CLV,
-    "customer_segmentation_behavior": RFM,
-    "churn_indicator": CHURN,
-    "loyalty_program_impact": LOYALTY,
-    "pricing_discount_effectiveness": DISCOUNTS,
+    "clv": CLV,
+    "rfm": RFM,
+    "churn": CHURN,
+    "loyalty": LOYALTY,
+    "discounts": DISCOUNTS,
     "sales_trend": SALES_TREND,
-    "top_performing_location": LOCATIONS,
-    "get_date_detail": DATE_DIM,
+    "locations": LOCATIONS,
+    "date_detail": DATE_DIM,
 }
 
 
