@@ -33,6 +33,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast decisions on measured sizes only: the planner's file-size
+        # estimate is off for compressed columnar files, AQE's runtime size of
+        # a finished shuffle stage is not. Explicit broadcast hints (bounded
+        # sides) still apply.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 << 20))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
