@@ -22,7 +22,7 @@ the row number and the total count alone.
 
 Small inputs: the range-partitioned path costs a few extra jobs, which only
 pays off when the rows would not fit one task comfortably. The input (the
-per-user frame) is persisted and its size checked with ``limit(max + 1)``;
+per-user frame) is persisted and counted (which fills the cache once);
 at or below ``max`` rows (``orderlens.ranking.singleTaskMaxRows``, default
 1,000,000) the numbers come from native windows in one task — a bounded
 amount of work, like a broadcast join behind a size check. Either way the
@@ -48,7 +48,8 @@ def single_task_max_rows(df: DataFrame) -> int:
 
 
 def _fits_one_task(df: DataFrame, limit: int) -> bool:
-    return limit > 0 and df.limit(limit + 1).count() <= limit
+    """Count the (persisted) input once; both paths then read it from the cache."""
+    return limit > 0 and df.count() <= limit
 
 
 def _native_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,

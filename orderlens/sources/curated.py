@@ -1,34 +1,77 @@
-"""The curated zone: the star tables as Parquet, read with declared schemas."""
+"""The curated zone: the star tables as Parquet, read with declared schemas.
+
+Two layouts:
+
+* plain: ``fact_orders`` partitioned by order month, the other tables as-is;
+* bucketed (``buckets=n``): the three fact tables bucketed by ``order_id``
+  into the same ``n`` buckets (catalog tables over the given folders). Every
+  report starts by summing items and options per order and joining them to
+  the orders; on bucketed tables those aggregations and joins read matching
+  buckets and need no shuffle — the facts are shuffled once, when written,
+  instead of once per report.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
 from orderlens.sources.testdata import Star
 
-STAR_TABLES = ("fact_orders", "fact_items", "fact_items_options", "date_dim")
+FACTS = ("fact_orders", "fact_items", "fact_items_options")
+BUCKET_KEY = "order_id"
+
+STAR_ORDERS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_ORDERS.fields
+                        if f.name != "app_id")
+DDL = {
+    "fact_orders": STAR_ORDERS,
+    "fact_items": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_ITEMS.fields),
+    "fact_items_options": ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                    for f in schemas.FACT_ITEMS_OPTIONS.fields),
+}
 
 
-def write_star(star: Star, out: str) -> None:
-    """Write the star; ``fact_orders`` partitioned by order month (time filters prune folders)."""
-    from pyspark.sql import functions as F
+def table_name(out: str, name: str) -> str:
+    """Catalog name of a bucketed table stored under ``out`` (one name per folder)."""
+    return f"ol_{hashlib.sha1(out.rstrip('/').encode()).hexdigest()[:12]}_{name}"
+
+
+def write_star(star: Star, out: str, buckets: int | None = None) -> None:
     base = out.rstrip("/")
-    (star.fact_orders.withColumn("order_month", F.date_format("creation_time_utc", "yyyy-MM"))
-     .write.mode("overwrite").partitionBy("order_month").parquet(f"{base}/fact_orders"))
-    star.fact_items.write.mode("overwrite").parquet(f"{base}/fact_items")
-    star.fact_items_options.write.mode("overwrite").parquet(f"{base}/fact_items_options")
+    if buckets is None:
+        (star.fact_orders.withColumn("order_month", F.date_format("creation_time_utc", "yyyy-MM"))
+         .write.mode("overwrite").partitionBy("order_month").parquet(f"{base}/fact_orders"))
+        star.fact_items.write.mode("overwrite").parquet(f"{base}/fact_items")
+        star.fact_items_options.write.mode("overwrite").parquet(f"{base}/fact_items_options")
+    else:
+        for name in FACTS:
+            # one shuffle into the buckets, so each task writes one file per bucket it owns
+            (getattr(star, name).repartition(buckets, BUCKET_KEY)
+             .write.mode("overwrite").bucketBy(buckets, BUCKET_KEY)
+             .option("path", f"{base}/{name}").saveAsTable(table_name(out, name)))
     star.date_dim.write.mode("overwrite").parquet(f"{base}/date_dim")
 
 
-def read_star(spark: SparkSession, path: str) -> Star:
+def _bucketed(spark: SparkSession, out: str, name: str, buckets: int) -> DataFrame:
+    table = table_name(out, name)
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
+                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS "
+                  f"LOCATION '{out.rstrip('/')}/{name}'")
+    return spark.table(table)
+
+
+def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Star:
     base = path.rstrip("/")
-    orders_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_ORDERS.fields
-                              if f.name != "app_id")
+    date_dim = spark.read.schema(schemas.DATE_DIM).parquet(f"{base}/date_dim")
+    if buckets is not None:
+        return Star(*(_bucketed(spark, path, n, buckets) for n in FACTS), date_dim=date_dim)
     return Star(
-        fact_orders=spark.read.schema(orders_schema + ", order_month string")
+        fact_orders=spark.read.schema(STAR_ORDERS + ", order_month string")
         .parquet(f"{base}/fact_orders").drop("order_month"),
         fact_items=spark.read.schema(schemas.FACT_ITEMS).parquet(f"{base}/fact_items"),
         fact_items_options=spark.read.schema(schemas.FACT_ITEMS_OPTIONS).parquet(f"{base}/fact_items_options"),
-        date_dim=spark.read.schema(schemas.DATE_DIM).parquet(f"{base}/date_dim"),
+        date_dim=date_dim,
     )
