@@ -53,10 +53,11 @@ def _fits_one_task(df: DataFrame, limit: int) -> bool:
 
 
 def _native_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
-                    rank_name: str | None) -> DataFrame:
-    """Row number (and rank) from windows without a partition key: bounded input only."""
-    cols = [F.row_number().over(Window.orderBy(*order)).cast("long").alias(name),
-            F.count(F.lit(1)).over(Window.partitionBy()).alias(count_name)]
+                    rank_name: str | None, need_rn: bool = True) -> DataFrame:
+    """Row number and/or rank from windows without a partition key: bounded input only."""
+    cols = [F.count(F.lit(1)).over(Window.partitionBy()).alias(count_name)]
+    if need_rn:
+        cols.append(F.row_number().over(Window.orderBy(*order)).cast("long").alias(name))
     if rank_name is not None:
         cols.append(F.rank().over(Window.orderBy(order[0])).cast("long").alias(rank_name))
     return df.select("*", *cols)
@@ -81,18 +82,19 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
 
 def _numbered(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
               partitions: int | None, single_task_max: int | None,
-              rank_value: Column | None = None, rank_name: str | None = None) -> DataFrame:
+              rank_value: Column | None = None, rank_name: str | None = None,
+              need_rn: bool = True) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     limit = single_task_max_rows(df) if single_task_max is None else single_task_max
     source = df.persist()
     try:
         if _fits_one_task(source, limit):
-            return _native_numbers(source, order, name, count_name, rank_name) \
+            return _native_numbers(source, order, name, count_name, rank_name, need_rn) \
                 .checkpoint(eager=True)
         numbered = _range_numbers(source, order, name, count_name, partitions)
         if rank_value is not None:
             numbered = _ranks_from_numbers(numbered, rank_value, name, rank_name)
-        return numbered
+        return numbered if need_rn else numbered.drop(name)
     finally:
         source.unpersist()
 
@@ -129,9 +131,8 @@ def with_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "r
               count_name: str = "_n", partitions: int | None = None,
               single_task_max: int | None = None) -> DataFrame:
     """SQL RANK over ``order`` (whose first key is ``value``): ties share the lowest number."""
-    numbered = _numbered(df, order, "_rn", count_name, partitions, single_task_max,
-                         rank_value=F.col(value), rank_name=name)
-    return numbered.drop("_rn")
+    return _numbered(df, order, "_rn", count_name, partitions, single_task_max,
+                     rank_value=F.col(value), rank_name=name, need_rn=False)
 
 
 def with_percent_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "percent_rank",
