@@ -32,13 +32,19 @@ def option_totals(options: DataFrame, discount_flag: bool = False) -> DataFrame:
     return options.groupBy("order_id").agg(*aggs)
 
 
-def order_totals(orders: DataFrame, items: DataFrame, options: DataFrame,
-                 null_policy: str = "zero_each", discount_flag: bool = False) -> DataFrame:
-    """Order rows with ``item_total``, ``option_total`` and ``order_total`` (DECIMAL)."""
+def order_sums(orders: DataFrame, items: DataFrame, options: DataFrame) -> DataFrame:
+    """Order rows with the raw per-order sums (NULL when absent) and the discount flag.
+
+    The policy-free part of R0: one frame that every report can share.
+    """
+    return (orders.join(item_totals(items), "order_id", "left")
+            .join(option_totals(options, discount_flag=True), "order_id", "left"))
+
+
+def apply_policy(sums: DataFrame, null_policy: str = "zero_each", discount_flag: bool = False) -> DataFrame:
+    """``order_total`` (and coalesced sums) from ``order_sums`` under a NULL policy."""
     if null_policy not in POLICIES:
         raise ValueError(f"null_policy must be one of {POLICIES}")
-    joined = (orders.join(item_totals(items), "order_id", "left")
-              .join(option_totals(options, discount_flag), "order_id", "left"))
     item, option = F.col("item_total"), F.col("option_total")
     zero = F.lit(0).cast("decimal(18,2)")
     if null_policy == "zero_each":
@@ -49,9 +55,18 @@ def order_totals(orders: DataFrame, items: DataFrame, options: DataFrame,
     else:
         option = F.coalesce(option, zero)
         total = item + option
-    out = (joined.withColumn("item_total", item)
-           .withColumn("option_total", option)
-           .withColumn("order_total", total))
+    keep = [c for c in sums.columns if c not in ("item_total", "option_total", "has_discount")]
+    cols = [*keep, item.alias("item_total"), option.alias("option_total"), total.alias("order_total")]
     if discount_flag:
-        out = out.withColumn("has_discount", F.coalesce(F.col("has_discount"), F.lit(0)))
-    return out
+        cols.append(F.coalesce(F.col("has_discount"), F.lit(0)).alias("has_discount"))
+    return sums.select(*cols)
+
+
+def order_totals(orders: DataFrame, items: DataFrame, options: DataFrame,
+                 null_policy: str = "zero_each", discount_flag: bool = False) -> DataFrame:
+    """Order rows with ``item_total``, ``option_total`` and ``order_total`` (DECIMAL)."""
+    if null_policy not in POLICIES:
+        raise ValueError(f"null_policy must be one of {POLICIES}")
+    joined = (orders.join(item_totals(items), "order_id", "left")
+              .join(option_totals(options, discount_flag), "order_id", "left"))
+    return apply_policy(joined, null_policy, discount_flag)

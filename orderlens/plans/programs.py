@@ -37,14 +37,20 @@ def loyalty(totals: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- R5
 def discounts(orders: DataFrame, items: DataFrame, options: DataFrame, ordered: bool = True) -> DataFrame:
+    """R5 from the fact tables (see ``discounts_from_totals``)."""
+    ot = order_totals(orders, items, options, null_policy="keep_item_null", discount_flag=True)
+    return discounts_from_totals(ot, ordered)
+
+
+def discounts_from_totals(ot: DataFrame, ordered: bool = True) -> DataFrame:
     """Orders with any negative option price vs. the rest.
 
     Per (order, user, restaurant): item sum kept NULL when the order has no
     items (so its total is NULL and skipped by SUM/AVG but still counted as
     an order). The per-order grouping keys contain ``order_id``, on which the
     joined rows are already hash-partitioned: no extra shuffle.
+    ``ot`` is ``order_totals(..., "keep_item_null", discount_flag=True)``.
     """
-    ot = order_totals(orders, items, options, null_policy="keep_item_null", discount_flag=True)
     per_order = ot.groupBy("order_id", "user_id", "restaurant_id").agg(
         F.sum("order_total").alias("order_total"),
         F.max("has_discount").alias("has_discount"))

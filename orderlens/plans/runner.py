@@ -3,7 +3,9 @@
 The source ran the report files one after another on a hosted SQL service and
 polled their state every 2 s. Here each report is a DataFrame job; writing
 its result is the action, so there is nothing to poll. One failing report
-does not stop the others: its state is FAILED with the error text.
+does not stop the others: its state is FAILED with the error text. The
+per-order sums that six reports start from are computed once and
+checkpointed (lineage cut, shared storage), not recomputed per report.
 """
 
 from __future__ import annotations
@@ -13,19 +15,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.operators.order_totals import order_totals
+from orderlens.operators.order_totals import apply_policy, order_sums, order_totals
 from orderlens.plans import customers, programs, sales
 from orderlens.sources.results import new_run_id, write_result
 
 Report = Callable[[], DataFrame]
 
 
-def reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, Report]:
-    """The eight reports over ``tables`` (fact_orders, fact_items, fact_items_options, date_dim)."""
+def reports(tables: dict[str, DataFrame], as_of: dt.date,
+            sums: DataFrame | None = None) -> dict[str, Report]:
+    """The eight reports over ``tables`` (fact_orders, fact_items, fact_items_options, date_dim).
+
+    ``sums`` (``order_sums`` of the facts) is shared by the six reports built on
+    per-order totals; without it each report computes its own.
+    """
     o, i, x = tables["fact_orders"], tables["fact_items"], tables["fact_items_options"]
 
-    def totals(policy: str = "zero_each") -> DataFrame:
-        return order_totals(o, i, x, policy)
+    def totals(policy: str = "zero_each", flag: bool = False) -> DataFrame:
+        if sums is not None:
+            return apply_policy(sums, policy, flag)
+        return order_totals(o, i, x, policy, flag)
 
     return {
         "churn": lambda: customers.churn(totals("zero_sum"), as_of),
@@ -33,7 +42,7 @@ def reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, Report]:
         "rfm": lambda: customers.rfm(totals(), as_of),
         "date_detail": lambda: sales.date_detail(tables["date_dim"]),
         "loyalty": lambda: programs.loyalty(totals()),
-        "discounts": lambda: programs.discounts(o, i, x),
+        "discounts": lambda: programs.discounts_from_totals(totals("keep_item_null", True)),
         "sales_trend": lambda: sales.sales_trend(o, i),
         "locations": lambda: sales.locations(totals()),
     }
@@ -43,7 +52,10 @@ def run_reports(spark: SparkSession, tables: dict[str, DataFrame], out: str, as_
                 names: list[str] | None = None, run_id: str | None = None) -> DataFrame:
     """Run the reports, write ``out/<report>/run_id=<id>/``; return (report, state, rows, detail)."""
     run_id = run_id or new_run_id()
-    todo = reports(tables, as_of)
+    # per-order sums once, written to the shared checkpoint folder, read by six reports
+    sums = order_sums(tables["fact_orders"], tables["fact_items"], tables["fact_items_options"]) \
+        .checkpoint(eager=True)
+    todo = reports(tables, as_of, sums)
     status = []
     for name in names or sorted(todo):
         try:
