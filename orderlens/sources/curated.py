@@ -75,3 +75,26 @@ def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Sta
         fact_items_options=spark.read.schema(schemas.FACT_ITEMS_OPTIONS).parquet(f"{base}/fact_items_options"),
         date_dim=date_dim,
     )
+
+
+def append_bucketed(df: DataFrame, out: str, name: str, buckets: int) -> None:
+    """Append a batch to a bucketed fact table under ``out`` (created on first use).
+
+    A table written by an earlier session is registered over its folder first,
+    so later runs append into the same buckets.
+    """
+    spark = df.sparkSession
+    table = table_name(out, name)
+    path = f"{out.rstrip('/')}/{name}"
+    if not spark.catalog.tableExists(table) and _has_files(spark, path):
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet CLUSTERED BY ({BUCKET_KEY}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    (df.repartition(buckets, BUCKET_KEY).write.mode("append").bucketBy(buckets, BUCKET_KEY)
+     .option("path", path).saveAsTable(table))
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

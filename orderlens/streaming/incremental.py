@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
 from orderlens.operators import conform
+from orderlens.sources import curated
 from orderlens.sources.landing import load_landing
 
 CURATED_TABLES = ("date_dim", "dim_app", "fact_orders", "fact_items", "fact_items_options")
@@ -76,17 +77,20 @@ def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
 
 # --------------------------------------------------------------------------- E11
 def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | None = None,
-                  fact_mode: str = "append") -> None:
+                  fact_mode: str = "append", buckets: int | None = None) -> None:
     """Write the five curated tables as Parquet.
 
     Dimensions are overwritten (the dimension passed in is complete). Facts are
-    partitioned by order month when they carry a creation time, so report
-    filters on time prune folders. With ``batch_id`` every table goes to its
+    appended, either bucketed by ``order_id`` (``buckets``: the layout the
+    reports read without per-order shuffles) or partitioned by order month
+    when they carry a creation time. With ``batch_id`` every table goes to its
     own ``batch=<id>`` folder in overwrite mode (idempotent replays).
     """
     for name, df in tables.items():
         path = f"{out.rstrip('/')}/{name}"
-        if batch_id is not None:
+        if buckets is not None and name.startswith("fact_") and batch_id is None:
+            curated.append_bucketed(df, out, name, buckets)
+        elif batch_id is not None:
             df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         elif name.startswith("fact_"):
             writer = df.write.mode(fact_mode)
@@ -111,7 +115,8 @@ def transform(order_items: DataFrame, options: DataFrame, date_dim: DataFrame,
     }
 
 
-def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str) -> dt.datetime | None:
+def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str,
+              buckets: int | None = None) -> dt.datetime | None:
     """The batch transform job with a stored high-water mark; returns the new mark."""
     src = load_landing(spark, landing)
     last = read_mark(spark, mark_path)
@@ -124,7 +129,7 @@ def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str) -> dt
         tables = transform(batch, src["order_item_options"], src["date_dim"], existing)
         apps = tables.pop("dim_app").persist()
         apps.count()
-        write_curated(tables, out)
+        write_curated(tables, out, buckets=buckets)
         apps.write.mode("overwrite").parquet(f"{out.rstrip('/')}/dim_app_next")
         mark = next_mark(batch, last)
     finally:

@@ -67,3 +67,18 @@ def test_runner_with_shared_sums_equals_reports(spark):
         got = sorted(map(tuple, results.read_latest(spark, out, name).collect()), key=repr)
         want = sorted(map(tuple, direct(spark, SF).collect()), key=repr)
         assert got == want, name
+
+
+def test_batch_runs_append_into_buckets(spark):
+    """Two batch runs into the bucketed layout = one full run; reports read it shuffle-free."""
+    from orderlens.sources import curated
+    src, out, mark = (scratch_path(spark, n) for n in ("landing", "curated", "mark"))
+    catalog._write_test_landing(spark, SF, src, "before")
+    incremental.run_batch(spark, src, out, mark, buckets=4)
+    catalog._write_test_landing(spark, SF, src, "after")
+    incremental.run_batch(spark, src, out, mark, buckets=4)
+    star = curated.read_star(spark, out, buckets=4)
+    full = catalog.q_fact_items(spark, SF)
+    assert star.fact_items.count() == full.count()
+    plan = star.fact_items.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
