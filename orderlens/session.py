@@ -9,7 +9,6 @@ the session runs in local mode and has none (tests, the driver's smoke run).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,7 +47,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a local one only in local mode."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server side owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -67,12 +72,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate output."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/orderlens-scratch/{uuid.uuid4().hex}/{name}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (for local-mode helpers that list folders)."""
-    if uri.startswith("file:"):
-        uri = uri[len("file:"):]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.abspath(uri)
