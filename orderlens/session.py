@@ -39,6 +39,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 << 20))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove checkpoint files once the checkpointed data is no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
