@@ -60,7 +60,8 @@ def _bucketed(spark: SparkSession, out: str, name: str, buckets: int) -> DataFra
         spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
                   f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS "
                   f"LOCATION '{out.rstrip('/')}/{name}'")
-    return spark.table(table)
+    df = spark.table(table)
+    return df.drop("batch") if "batch" in df.columns else df
 
 
 def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Star:
@@ -77,21 +78,32 @@ def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Sta
     )
 
 
-def append_bucketed(df: DataFrame, out: str, name: str, buckets: int) -> None:
-    """Append a batch to a bucketed fact table under ``out`` (created on first use).
+def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch: str) -> None:
+    """Write one batch into a bucketed fact table partitioned by ``batch``.
 
-    A table written by an earlier session is registered over its folder first,
-    so later runs append into the same buckets.
+    The partition is replaced, not appended to (dynamic partition overwrite):
+    rerunning a batch after a failure rewrites the same partition, so no row is
+    loaded twice. A table written by an earlier session is registered over its
+    folder first.
     """
     spark = df.sparkSession
     table = table_name(out, name)
     path = f"{out.rstrip('/')}/{name}"
-    if not spark.catalog.tableExists(table) and _has_files(spark, path):
+    if not spark.catalog.tableExists(table):
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet CLUSTERED BY ({BUCKET_KEY}) "
-                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
-    (df.repartition(buckets, BUCKET_KEY).write.mode("append").bucketBy(buckets, BUCKET_KEY)
-     .option("path", path).saveAsTable(table))
+        spark.sql(f"CREATE TABLE {table} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
+                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        if _has_files(spark, path):
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    cols = [c for c in spark.table(table).columns if c != "batch"]
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")  # replace only this batch's partition
+    try:
+        (df.select(*cols, F.lit(batch).alias("batch")).repartition(buckets, BUCKET_KEY)
+         .write.insertInto(table, overwrite=True))
+    finally:
+        spark.conf.set(key, previous)
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:

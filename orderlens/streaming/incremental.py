@@ -76,28 +76,35 @@ def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
 
 
 # --------------------------------------------------------------------------- E11
-def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | None = None,
-                  fact_mode: str = "append", buckets: int | None = None) -> None:
+def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | str | None = None,
+                  fact_mode: str = "append", buckets: int | None = None,
+                  dims_per_batch: bool = False) -> None:
     """Write the five curated tables as Parquet.
 
-    Dimensions are overwritten (the dimension passed in is complete). Facts are
-    appended, either bucketed by ``order_id`` (``buckets``: the layout the
-    reports read without per-order shuffles) or partitioned by order month
-    when they carry a creation time. With ``batch_id`` every table goes to its
-    own ``batch=<id>`` folder in overwrite mode (idempotent replays).
+    With ``batch_id`` the facts of a batch go to their own ``batch=<id>``
+    partition, replaced on a rerun (idempotent): plain Parquet folders, or
+    bucketed by ``order_id`` (``buckets``: the layout the reports read without
+    per-order shuffles). Without ``batch_id`` facts are appended, partitioned by
+    order month when they carry a creation time. Dimensions are overwritten
+    whole (the dimension passed in is complete), or kept as one copy per batch
+    (``dims_per_batch``, the stream).
     """
     for name, df in tables.items():
         path = f"{out.rstrip('/')}/{name}"
-        if buckets is not None and name.startswith("fact_") and batch_id is None:
-            curated.append_bucketed(df, out, name, buckets)
-        elif batch_id is not None:
-            df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        elif name.startswith("fact_"):
+        fact = name.startswith("fact_")
+        if fact and batch_id is not None:
+            if buckets is not None:
+                curated.write_batch_bucketed(df, out, name, buckets, str(batch_id))
+            else:
+                df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        elif fact:
             writer = df.write.mode(fact_mode)
             if "creation_time_utc" in df.columns:
                 df = df.withColumn("order_month", F.date_format("creation_time_utc", "yyyy-MM"))
                 writer = df.write.mode(fact_mode).partitionBy("order_month")
             writer.parquet(path)
+        elif dims_per_batch and batch_id is not None:
+            df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         else:
             df.write.mode("overwrite").parquet(path)
 
@@ -129,7 +136,10 @@ def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str,
         tables = transform(batch, src["order_item_options"], src["date_dim"], existing)
         apps = tables.pop("dim_app").persist()
         apps.count()
-        write_curated(tables, out, buckets=buckets)
+        # the batch is "rows after <last mark>": a rerun after a failure before the
+        # mark is stored rewrites the same partition instead of loading rows twice
+        token = "initial" if last is None else last.strftime("%Y%m%dT%H%M%S%f")
+        write_curated(tables, out, batch_id=token, buckets=buckets)
         apps.write.mode("overwrite").parquet(f"{out.rstrip('/')}/dim_app_next")
         mark = next_mark(batch, last)
     finally:
@@ -168,7 +178,7 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
         items = conform.conform_orders(batch)
         prior = _latest_apps(spark, out_base, batch_id)
         tables = transform(items, options, dates, prior)
-        write_curated(tables, out_base, batch_id=batch_id)
+        write_curated(tables, out_base, batch_id=batch_id, dims_per_batch=True)
 
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint)
@@ -188,8 +198,10 @@ def _latest_apps(spark: SparkSession, out: str, before_batch: int) -> DataFrame
 
 
 def read_curated(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """A curated table written by ``run_incremental`` (all batches; the latest for dim_app)."""
+    """A curated table written in batch folders (all batches; the latest dimension copy)."""
     df = spark.read.parquet(f"{out.rstrip('/')}/{name}")
+    if "batch" not in df.columns:
+        return df
     if name in ("dim_app", "date_dim"):
         df = df.filter(F.col("batch") == df.agg(F.max("batch")).scalar())
     return df.drop("batch")
