@@ -172,7 +172,8 @@ def churn(totals: DataFrame, as_of: dt.date, at_risk_days: int = AT_RISK_DAYS,
         F.sum("order_total").alias("monthly_total"),
         F.max(d).alias("_last"), F.min(d).alias("_first"), F.count(d).alias("_n"))
     latest = monthly.agg(F.max("month_start")).scalar()
-    month, total = F.col("month_start"), F.col("monthly_total")
+    monthly = monthly.withColumn("_latest", latest)  # one subquery, used twice below
+    month, total, latest = F.col("month_start"), F.col("monthly_total"), F.col("_latest")
     per_user = monthly.groupBy("user_id").agg(
         F.max("_last").alias("last_order_date"),
         F.min("_first").alias("_first"),
