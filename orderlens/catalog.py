@@ -24,7 +24,7 @@ from orderlens.operators.ranking import with_ntile, with_percent_rank
 from orderlens.plans import customers, programs, sales
 from orderlens.plans.runner import run_reports
 from orderlens.session import scratch_path
-from orderlens.sources import landing, results, testdata
+from orderlens.sources import curated, landing, results, testdata
 from orderlens.streaming import incremental
 
 # Fixed parameters of the checked runs (FIXTURES.md §4).
@@ -219,6 +219,13 @@ def q_incremental_stream(spark, sf):
     return incremental.read_curated(spark, out, "fact_items")
 
 
+def q_write_curated(spark, sf):
+    """The star written to the curated zone (facts bucketed by order_id), read back."""
+    out = scratch_path(spark, "curated")
+    curated.write_star(testdata.star(spark, sf), out, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return curated.read_star(spark, out, buckets=int(spark.conf.get("spark.sql.shuffle.partitions"))).fact_items
+
+
 def _star_tables(spark, sf):
     s = testdata.star(spark, sf)
     return {"fact_orders": s.fact_orders, "fact_items": s.fact_items,
@@ -299,6 +306,7 @@ def queries() -> dict[str, Query]:
         "high_water_mark": q_high_water_mark,
         # E2, E11-E15
         "load_landing": q_load_landing,
+        "write_curated": q_write_curated,
         "incremental_batch": q_incremental_batch,
         "incremental_stream": q_incremental_stream,
         "run_reports": q_run_reports,

@@ -380,6 +380,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_item_options": FACT_OPTIONS_E10,
         "high_water_mark": HIGH_WATER_MARK,
         "load_landing": LOAD_LANDING,
+        "write_curated": FACT_ITEMS_E9,
         "incremental_batch": FACT_ITEMS_E9,
         "incremental_stream": FACT_ITEMS_E9,
         "read_latest_result": LOCATIONS,
