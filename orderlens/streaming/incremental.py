@@ -162,11 +162,14 @@ def _promote_apps(spark: SparkSession, out: str) -> None:
 
 
 # --------------------------------------------------------------------------- E13
-def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str) -> None:
+def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str,
+                    buckets: int | None = None) -> None:
     """Conform every new landing file once, as a Structured Streaming job.
 
     ``trigger(availableNow=True)`` processes what has arrived and stops, so
-    the job can be scheduled like the batch one.
+    the job can be scheduled like the batch one. With ``buckets`` the facts
+    of each micro-batch replace their own batch partition of the bucketed
+    fact tables (the layout the reports read).
     """
     base = landing.rstrip("/")
     stream = spark.readStream.schema(schemas.ORDER_ITEMS).parquet(f"{base}/order_items")
@@ -178,7 +181,7 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
         items = conform.conform_orders(batch)
         prior = _latest_apps(spark, out_base, batch_id)
         tables = transform(items, options, dates, prior)
-        write_curated(tables, out_base, batch_id=batch_id, dims_per_batch=True)
+        write_curated(tables, out_base, batch_id=batch_id, buckets=buckets, dims_per_batch=True)
 
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint)

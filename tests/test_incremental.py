@@ -101,3 +101,16 @@ def test_batch_rerun_after_failure_before_mark_loads_nothing_twice(spark):
             from orderlens.sources import curated
             items = curated.read_star(spark, out, buckets).fact_items
             assert items.count() == catalog.q_fact_items(spark, SF).count()
+
+
+def test_stream_into_buckets_equals_full_run(spark):
+    from orderlens.sources import curated
+    src, out, ckpt = (scratch_path(spark, n) for n in ("landing", "curated", "ckpt"))
+    catalog._write_test_landing(spark, SF, src, "before")
+    incremental.run_incremental(spark, src, out, ckpt, buckets=4)
+    catalog._write_test_landing(spark, SF, src, "after")
+    incremental.run_incremental(spark, src, out, ckpt, buckets=4)
+    items = curated.read_star(spark, out, buckets=4).fact_items
+    assert items.count() == catalog.q_fact_items(spark, SF).count()
+    plan = items.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
