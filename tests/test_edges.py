@@ -273,3 +273,35 @@ def test_d4_histogram_single_value(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5)], "user_id string, days_since_last_order int")
     got = ich.days_histogram(df).collect()
     assert [(r.bin, r.customer_count) for r in got] == [(0, 2)]
+
+
+def test_d16_no_orders_gives_zero_mean(spark):
+    from orderlens.insights import programs as iprog
+    df = spark.createDataFrame([("Discounted Order", 0, None), ("Non-Discounted Order", 0, None)],
+                               "order_type string, total_orders long, total_revenue double")
+    got = iprog.discount_totals(df).collect()[0]
+    assert got.total_orders == 0 and got.avg_order_value == 0.0
+
+
+def test_d18_verdict(spark):
+    from orderlens.insights import programs as iprog
+    df = spark.createDataFrame([("Discounted Order", 3, 10.5), ("Non-Discounted Order", 2, 10.25)],
+                               "order_type string, total_orders long, total_revenue double")
+    got = iprog.discount_verdict(df).collect()[0]
+    assert got.discounted_revenue == 10.5 and got.discounts_drive_revenue is True
+
+
+def test_d22_null_starts_dropped_and_summed(spark):
+    rows = spark.createDataFrame([("M", dt.date(2001, 1, 1), "A", "c", 1.25), ("M", dt.date(2001, 1, 1), "B", "c", 2.5),
+                                  ("M", None, "A", "c", 9.0)],
+                                 "period_type string, period_start date, restaurant_id string, "
+                                 "item_category string, revenue double")
+    got = [(r.period_start, r.revenue) for r in itr.revenue_over_time(rows).collect()]
+    assert got == [(dt.date(2001, 1, 1), 3.75)]
+
+
+def test_d1_mean_days_rounds_half_up_exactly(spark):
+    df = spark.createDataFrame([("a", 1, "Active"), ("b", 2, "Active"), ("c", 2, "Active"), ("d", 2, "Active")],
+                               "user_id string, days_since_last_order int, activity_status string")
+    got = ich.kpis(df).collect()[0]  # mean 1.75 -> 1.8
+    assert got.avg_days_since_last_order == 1.8 and got.total_customers == 4 and got.at_risk_customers == 0
