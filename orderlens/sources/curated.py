@@ -55,15 +55,32 @@ def write_star(star: Star, out: str, buckets: int | None = None) -> None:
 
 
 def _bucketed(spark: SparkSession, out: str, name: str, buckets: int) -> DataFrame:
+    """The bucketed table over ``out/name``; registered from its files when the catalog lacks it."""
     table = table_name(out, name)
+    path = f"{out.rstrip('/')}/{name}"
     if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
-                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS "
-                  f"LOCATION '{out.rstrip('/')}/{name}'")
+        if _has_batches(spark, path):  # written batch by batch (run_batch / run_incremental)
+            files = spark.read.parquet(path)  # schema of the files (footer read) + batch column
+            ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema.fields
+                            if f.name != "batch")
+            spark.sql(f"CREATE TABLE {table} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
+                      f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        else:
+            spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
+                      f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
     df = spark.table(table)
     return df.drop("batch") if "batch" in df.columns else df
 
 
+def _has_batches(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(st.isDirectory() and st.getPath().getName().startswith("batch=")
+                                for st in fs.listStatus(p))
+
+
 def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Star:
     base = path.rstrip("/")
     date_dim = spark.read.schema(schemas.DATE_DIM).parquet(f"{base}/date_dim")
