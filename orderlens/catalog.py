@@ -33,6 +33,7 @@ INCREMENT_MARK = dt.datetime(2001, 6, 1)
 TREND_PERIOD = "Weekly"
 TREND_RESTAURANT = "NATION_3"
 LOCATION_METRIC = "orders_per_day"
+WRITE_CURATED_MAX_BUCKETS = 64  # bucket count of the checked write (fixtures are small)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,8 +223,9 @@ def q_incremental_stream(spark, sf):
 def q_write_curated(spark, sf):
     """The star written to the curated zone (facts bucketed by order_id), read back."""
     out = scratch_path(spark, "curated")
-    curated.write_star(testdata.star(spark, sf), out, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return curated.read_star(spark, out, buckets=int(spark.conf.get("spark.sql.shuffle.partitions"))).fact_items
+    buckets = min(WRITE_CURATED_MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    curated.write_star(testdata.star(spark, sf), out, buckets=buckets)
+    return curated.read_star(spark, out, buckets=buckets).fact_items
 
 
 def _star_tables(spark, sf):
