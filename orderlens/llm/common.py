@@ -70,6 +70,16 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return near.join(ids.select(key).distinct(), key, "left_semi")
 
 
+def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of df whose key is not in ids (null keys stay); only rows that share a hash slot
+    with an id are shuffled for the exact anti-join."""
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(ID_SLOTS))
+    slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
+    marked = df.withColumn("_slot", slot)
+    near = marked.join(slots, "_slot", "left_semi").join(ids.select(key).distinct(), key, "left_anti")
+    return marked.join(slots, "_slot", "left_anti").unionByName(near).drop("_slot")
+
+
 # --- hashing ---------------------------------------------------------------------------
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser (splitmix64): every input bit reaches every output bit."""

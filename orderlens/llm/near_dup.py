@@ -175,29 +175,56 @@ def _block_pairs(rows: DataFrame, best_only: bool) -> DataFrame:
                         "id", "comp", "sketch", "minor")
     least = int(MIN_AGREE * COORDS)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["left"]], pdf[~pdf["left"]]
-        found, band = [], pdf["key"].iloc[0] % BANDS
-        if len(x) and len(y):
-            sk = np.frombuffer(b"".join(y["sketch"]), np.uint16).reshape(len(y), -1)
-            ids, comps, minor = (y[k].to_numpy() for k in ("id", "comp", "minor"))
-            for a, comp, s in zip(x["id"], x["comp"], x["sketch"], strict=True):
-                same = sk == np.frombuffer(s, np.uint16)
-                agree = same.sum(1)
-                # of two minor classes the smaller id asks, so that each pair is met once
-                ok = (agree >= least) & (comps != comp) & (~minor | (ids > a) | best_only)
-                if not ok.any():
-                    continue
-                if best_only:
-                    found.append((a, ids[np.where(ok, agree, -1).argmax()]))
-                    continue
-                at = np.flatnonzero(ok)
-                shared = same[at].reshape(len(at), -1, ROWS).all(2)
-                found.extend((a, b) for b in ids[at[shared.argmax(1) == band]])
-        return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"]).astype("int64")
-
-    return (left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-            .distinct())
+    def group(key, left, ids, comps, minor, sk):
+        n, band = int(left.sum()), key % BANDS  # left rows come first
+        step = max(1, (1 << 16) // max(1, len(ids) - n))
+        for at in range(0, n, step):
+            x, y = slice(at, min(at + step, n)), slice(n, len(ids))
+            same = sk[x, None] == sk[None, y]
+            agree = same.sum(2)
+            # of two minor classes the smaller id asks, so that each pair is met once
+            ok = (agree >= least) & (comps[x, None] != comps[None, y]) & (
+                ~minor[None, y] | (ids[None, y] > ids[x, None]) | best_only)
+            if best_only:
+                a = np.flatnonzero(ok.any(1))
+                b = np.where(ok[a], agree[a], -1).argmax(1)
+            else:
+                a, b = np.nonzero(ok)
+                first = same[a, b].reshape(len(a), BANDS, ROWS).all(2).argmax(1)
+                a, b = a[first == band], b[first == band]
+            if len(a):
+                a, b = ids[x][a], ids[y][b]
+                yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+
+    def run(batches):
+        rest = None  # rows of the group that the next batch may go on with
+        for batch in batches:
+            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables(
+                [rest, pa.Table.from_batches([batch])])
+            starts = _starts(rest)
+            yield from groups(rest.slice(0, starts[-1]), starts[:-1])
+            rest = rest.slice(starts[-1])
+        if rest is not None:
+            yield from groups(rest, _starts(rest))
+
+    def groups(table, starts):
+        if not table.num_rows:
+            return
+        key, left, ids, comps, minor = (table.column(x).to_numpy() for x in ("key", "left", "id", "comp", "minor"))
+        sk = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(key), -1)
+        for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
+            yield from group(key[a], left[a:b], ids[a:b], comps[a:b], minor[a:b], sk[a:b])
+
+    both = left.unionByName(right)
+    return (both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", F.desc("left"))
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def _starts(table: pa.Table) -> list[int]:
+    """Row numbers at which another (key, i, j) begins."""
+    key, i, j = (table.column(x).to_numpy() for x in ("key", "i", "j"))
+    new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    return [0, *(np.flatnonzero(new) + 1).tolist()]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -3,7 +3,22 @@
 from __future__ import annotations
 
 from orderlens.llm import common as c
-from orderlens.llm import near_dup
+from orderlens.llm import decontam, extract, labelmodel, near_dup, packing, quality_rules, suffix_dedup, toxicity
+
+
+def op1_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a test item, exact or edited, with the alignment's score and place."""
+    return decontam.contaminated(c.read(spark, sf_dir, "documents"), c.read(spark, sf_dir, "benchmark"))
+
+
+def op2_quality_rules(spark, sf_dir):
+    """Text statistics, base rule and the perplexity band of each document's language."""
+    return quality_rules.quality_rules(c.read(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents; the labels of every fifth are held out."""
+    return toxicity.toxicity(c.read(spark, sf_dir, "documents"), c.read(spark, sf_dir, "labels"))
 
 
 def op6_minhash_near_dedup(spark, sf_dir):
@@ -11,6 +26,26 @@ def op6_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(c.read(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op7_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return extract.extract(c.read(spark, sf_dir, "pages"))
+
+
+def op8_quality_classifier(spark, sf_dir):
+    """Posterior of the label model and score of the trained linear scorer for all documents."""
+    return labelmodel.quality(c.read(spark, sf_dir, "documents"))
+
+
+def op9_best_fit_packing(spark, sf_dir):
+    """Places of all pieces in sequences of at most 2,048 tokens."""
+    return packing.pack(c.read(spark, sf_dir, "documents"))
+
+
+def op10_suffix_array_dedup(spark, sf_dir):
+    """What is left of each document without the 400-byte strings that start twice."""
+    return suffix_dedup.remove_repeats(c.read(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
