@@ -200,8 +200,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .filter("a <> b").distinct())
-    state = None
     while True:
+        # done when every edge leads to a node that has no smaller one, and each node has one edge
+        again = (edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
+                 .union(edges.groupBy("a").count().filter("count > 1").select("a")))
+        if again.isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(low, "a").filter("b > a")
@@ -211,9 +215,5 @@ def components(links: DataFrame) -> DataFrame:
         edges = cut(small.select(F.col("x").alias("a"), F.col("m").alias("b"))
                     .unionByName(small.select("a", F.col("m").alias("b")))
                     .filter("a <> b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     tops = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(tops)

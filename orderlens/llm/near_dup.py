@@ -134,14 +134,19 @@ def _band_keys(sketched: DataFrame) -> DataFrame:
             .select((F.shiftleft(F.shiftright(h, 5), 5) + F.col("_band")).alias("key"), "id"))
 
 
-def _hub_pairs(keys: DataFrame) -> DataFrame:
+def _shared_keys(keys: DataFrame) -> DataFrame:
+    """The rows of keys whose bucket holds two classes or more (few of all)."""
+    twice = c.written(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "buckets")
+    return c.only_ids(keys, twice, "key")
+
+
+def _hub_pairs(shared: DataFrame) -> DataFrame:
     """(a, b): each class of a bucket with the bucket's hub."""
-    size = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = keys.join(size, "key")
-    degree = shared.groupBy("id").agg(F.sum("n").alias("degree"))
+    size = shared.groupBy("key").agg(F.count("*").alias("n"))
+    degree = shared.join(size, "key").groupBy("id").agg(F.sum("n").alias("degree"))
     hub = (shared.join(degree, "id").groupBy("key")
            .agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("hub")))
-    return (keys.join(hub, "key").filter("id <> hub")
+    return (shared.join(hub, "key").filter("id <> hub")
             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
 
 
@@ -236,7 +241,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sketched = c.written(rows.join(head, (rows["set_id"] == head["set_id"])
                                    & (rows["doc_id"] == head["head"]), "left_semi")
                          .dropDuplicates(["doc_id"]).select("doc_id", "sketch"), "classes")
-    keys = c.written(_band_keys(sketched), "keys")
+    keys = c.written(_shared_keys(_band_keys(sketched)), "keys")
     links = _verify(_hub_pairs(keys), docs, sketched, words, percent)
     for best_only in (True, False):
         comp = c.components(links)

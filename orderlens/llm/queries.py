@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from orderlens.llm import common as c
-from orderlens.llm import decontam, extract, labelmodel, near_dup, packing, quality_rules, suffix_dedup, toxicity
+from orderlens.llm import (decontam, extract, labelmodel, licences, near_dup, packing, quality_rules, suffix_dedup,
+                           toxicity, urllists)
 
 
 def op1_benchmark_decontamination(spark, sf_dir):
@@ -16,11 +17,21 @@ def op2_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(c.read(spark, sf_dir, "documents"))
 
 
+def op3_license_scans(spark, sf_dir):
+    """Licence passages of all documents with their family, probability and template similarity."""
+    return licences.scan(c.read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark, sf_dir):
     """Toxicity scores of all documents; the labels of every fifth are held out."""
     return toxicity.toxicity(c.read(spark, sf_dir, "documents"), c.read(spark, sf_dir, "labels"))
 
 
+def op5_url_filters(spark, sf_dir):
+    """Every page judged by the list entries that held when it was fetched."""
+    return urllists.out_times(urllists.judge(urllists.captures_of(spark, sf_dir), urllists.entries_of(spark, sf_dir)))
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components on 4-word shingles at a similarity of 0.8."""
     return near_dup.near_duplicates(c.read(spark, sf_dir, "documents"), words=4, percent=80)
@@ -51,4 +62,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op5_url_filters": urllists.ORACLE_SQL}
