@@ -67,7 +67,7 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     slot = F.pmod(F.xxhash64(F.col(key)), F.lit(ID_SLOTS))
     slots = ids.select(slot.alias("_slot")).distinct()
     near = df.withColumn("_slot", slot).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
-    return near.join(ids.select(key).distinct(), key, "left_semi")
+    return near.join(ids.select(key), key, "left_semi")
 
 
 def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -76,7 +76,7 @@ def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame
     slot = F.pmod(F.xxhash64(F.col(key)), F.lit(ID_SLOTS))
     slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
     marked = df.withColumn("_slot", slot)
-    near = marked.join(slots, "_slot", "left_semi").join(ids.select(key).distinct(), key, "left_anti")
+    near = marked.join(slots, "_slot", "left_semi").join(ids.select(key), key, "left_anti")
     return marked.join(slots, "_slot", "left_anti").unionByName(near).drop("_slot")
 
 

@@ -24,9 +24,9 @@ from orderlens.llm import charlm, common as c
 MIN_WORDS = 20
 WINDOW = 8
 REPEAT_PERCENT = 30
-BELOW = 4.0
+BELOW = 2.0
 ABOVE = 4.0
-SHORT = 1.0
+SHORT = 1.2
 _SIGNS = np.zeros(256, bool)
 _SIGNS[list(b"#*$%&|<>")] = True
 

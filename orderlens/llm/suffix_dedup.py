@@ -166,7 +166,7 @@ def repeated_windows(keyed: DataFrame, batches: int = BATCHES) -> DataFrame:
         found = family.add(every.filter(F.col("batch") == k))
         met = found if met is None else met.union(found)
     # a key met in one batch may have its first suffix in an earlier one: all entries are kept
-    near = c.written(every.join(met.distinct(), "h", "left_semi").drop("batch"), "candidates")
+    near = c.written(every.join(met, "h", "left_semi").drop("batch"), "candidates")
     per = near.groupBy("h", "ctx").agg(
         F.count("*").alias("n"),
         F.min_by(F.struct("_key", "p", "first", "last"), F.struct("_key", "first")).alias("r"))
