@@ -2,31 +2,20 @@
 
 ``percent_rank().over(Window.orderBy(x))`` has no partition key, so Spark
 plans ``Exchange SinglePartition``: every user row goes through one task. Here
-the same numbers come from a range-partitioned sort instead:
-
-1. ``repartitionByRange(n, order...)`` + ``sortWithinPartitions``: partition
-   ``p`` holds a contiguous slice of the global order. The order always ends
-   with a unique tie key, so one hot value is spread over many partitions.
-2. ``monotonically_increasing_id`` stamps each row with (partition, position).
-   The frame is then checkpointed to the shared checkpoint folder: range
-   bounds come from sampling, and the stamps must not change if a task or an
-   executor is lost and the frame is recomputed.
-3. Per-partition row counts (at most ``n`` rows) give running offsets; the
-   offset table is broadcast (its size is bounded by ``n``), so the global row
-   number is ``offset + position + 1`` with no further shuffle.
-
-Ranks with ties take the smallest row number of their value
-(``groupBy(value).min``: partial aggregation, so a value shared by a third
-of the rows still arrives as one row per map task); ntile buckets follow from
-the row number and the total count alone.
-
-Small inputs: the range-partitioned path costs a few extra jobs, which only
-pays off when the rows would not fit one task comfortably. The input (the
-per-user frame) is persisted and counted (which fills the cache once);
-at or below ``max`` rows (``orderlens.ranking.singleTaskMaxRows``, default
-1,000,000) the numbers come from native windows in one task — a bounded
-amount of work, like a broadcast join behind a size check. Either way the
-result is checkpointed and the input released.
+the same numbers come from a range-partitioned sort, whatever the size:
+
+1. ``repartitionByRange(n, order...)`` puts a contiguous slice of the global
+   order into each partition. The order always ends with a unique tie key, so
+   one hot value is spread over many partitions; the partition id is kept.
+2. Windows inside each slice give the local row number and rank. The frame is
+   then checkpointed to the shared checkpoint folder: range bounds come from
+   sampling, and they must not change if an executor is lost.
+3. One row per slice (its size, its first and last value, and where its last
+   value began) gives each slice its offset and, for a value that began in an
+   earlier slice, that value's rank. This table of at most ``n`` rows is
+   broadcast; rows are never grouped or joined on the ranked value.
+
+Ntile buckets follow from the row number and the total count alone.
 """
 
 from __future__ import annotations
@@ -37,108 +26,67 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderlens.session import checkpoint_dir
 
-_POSITION_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
-MAX_RANGE_PARTITIONS = 100_000
-SINGLE_TASK_CONF = "orderlens.ranking.singleTaskMaxRows"
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def single_task_max_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(SINGLE_TASK_CONF, str(SINGLE_TASK_MAX_ROWS)))
-
-
-def _fits_one_task(df: DataFrame, limit: int) -> bool:
-    """Count the (persisted) input once; both paths then read it from the cache."""
-    return limit > 0 and df.count() <= limit
-
-
-def _native_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
-                    rank_name: str | None, need_rn: bool = True) -> DataFrame:
-    """Row number and/or rank from windows without a partition key: bounded input only."""
-    cols = [F.count(F.lit(1)).over(Window.partitionBy()).alias(count_name)]
-    if need_rn:
-        cols.append(F.row_number().over(Window.orderBy(*order)).cast("long").alias(name))
-    if rank_name is not None:
-        cols.append(F.rank().over(Window.orderBy(order[0])).cast("long").alias(rank_name))
-    return df.select("*", *cols)
-
-
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(int(partitions), MAX_RANGE_PARTITIONS))
-
 
 def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
-                    count_name: str = "_n", partitions: int | None = None,
-                    single_task_max: int | None = None) -> DataFrame:
+                    count_name: str = "_n", partitions: int | None = None) -> DataFrame:
     """Add the 1-based global row number over ``order`` and the total row count.
 
     ``order`` must be a total order (end it with a unique key) for the numbers
     to be repeatable.
     """
-    return _numbered(df, order, name, count_name, partitions, single_task_max)
-
-
-def _numbered(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
-              partitions: int | None, single_task_max: int | None,
-              rank_value: Column | None = None, rank_name: str | None = None,
-              need_rn: bool = True) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    limit = single_task_max_rows(df) if single_task_max is None else single_task_max
-    source = df.persist()
-    try:
-        if _fits_one_task(source, limit):
-            return _native_numbers(source, order, name, count_name, rank_name, need_rn) \
-                .checkpoint(eager=True)
-        numbered = _range_numbers(source, order, name, count_name, partitions)
-        if rank_value is not None:
-            numbered = _ranks_from_numbers(numbered, rank_value, name, rank_name)
-        return numbered if need_rn else numbered.drop(name)
-    finally:
-        source.unpersist()
-
-
-def _range_numbers(df: DataFrame, order: Sequence[Column], name: str, count_name: str,
-                   partitions: int | None) -> DataFrame:
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    pid = F.shiftright(F.col("_mid"), _POSITION_BITS)
-    position = F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    sizes = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # at most n rows: the partition count bounds this frame (single task is fine)
-    offsets = sizes.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias(count_name))
-    return (ranged.withColumn("_pid", pid)
-            .join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + position + F.lit(1))
-            .drop("_mid", "_pid", "_off"))
-
-
-def _ranks_from_numbers(numbered: DataFrame, value: Column, rn: str, rank_name: str) -> DataFrame:
-    """RANK = the smallest row number among rows with the same value."""
-    firsts = numbered.groupBy(value.alias("_v")).agg(F.min(rn).alias(rank_name))
-    return numbered.join(firsts, value.eqNullSafe(firsts["_v"])).drop("_v")
+    return _numbered(df, order, partitions, count_name, rn=name)
+
+
+def _numbered(df: DataFrame, order: Sequence[Column], partitions: int | None, count_name: str,
+              rn: str | None = None, value: str | None = None, rank: str | None = None) -> DataFrame:
+    """Row number (``rn``) and/or rank over the first key (``rank``, of column ``value``)."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = max(1, int(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
+    local = Window.partitionBy("_pid").orderBy(*order)
+    cols = [F.row_number().over(local).cast("long").alias("_pos")]
+    if rank is not None:
+        cols.append(F.rank().over(Window.partitionBy("_pid").orderBy(order[0])).cast("long").alias("_local"))
+    sliced = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+              .select(*df.columns, "_pid", *cols).checkpoint(eager=True))
+
+    edges = [F.count(F.lit(1)).alias("_cnt")]
+    if rank is not None:
+        edges += [F.min_by(F.struct(value), "_pos").alias("_first"), F.max_by(F.struct(value), "_pos").alias("_last"),
+                  F.max("_local").alias("_began")]
+    sizes = sliced.groupBy("_pid").agg(*edges)
+    # at most n rows from here on: the partition count bounds this frame
+    up = Window.orderBy("_pid")
+    before = up.rowsBetween(Window.unboundedPreceding, -1)
+    slices = sizes.select("*", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                          F.sum("_cnt").over(Window.partitionBy()).alias(count_name))
+    if rank is not None:
+        # the last value of a slice began here, unless the whole slice goes on with the
+        # value that the slice before ended with
+        whole = F.col("_first").eqNullSafe(F.col("_last")) & F.col("_first").eqNullSafe(F.lag("_last").over(up))
+        slices = slices.withColumn("_start", F.when(~F.coalesce(whole, F.lit(False)), F.col("_off") + F.col("_began")))
+        slices = (slices.withColumn("_carried", F.last("_start", ignorenulls=True).over(before))
+                  .withColumn("_into", F.lag("_last").over(up)))
+    slices = slices.drop("_cnt", "_first", "_last", "_began", "_start")
+    out = sliced.join(F.broadcast(slices), "_pid")
+    if rn is not None:
+        out = out.withColumn(rn, F.col("_off") + F.col("_pos"))
+    if rank is not None:
+        out = out.withColumn(rank, F.when(F.struct(value).eqNullSafe(F.col("_into")), F.col("_carried"))
+                             .otherwise(F.col("_off") + F.col("_local")))
+    return out.drop("_pid", "_pos", "_local", "_off", "_carried", "_into")
 
 
 def with_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "rank",
-              count_name: str = "_n", partitions: int | None = None,
-              single_task_max: int | None = None) -> DataFrame:
+              count_name: str = "_n", partitions: int | None = None) -> DataFrame:
     """SQL RANK over ``order`` (whose first key is ``value``): ties share the lowest number."""
-    return _numbered(df, order, "_rn", count_name, partitions, single_task_max,
-                     rank_value=F.col(value), rank_name=name, need_rn=False)
+    return _numbered(df, order, partitions, count_name, value=value, rank=name)
 
 
 def with_percent_rank(df: DataFrame, value: str, order: Sequence[Column], name: str = "percent_rank",
-                       partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """SQL PERCENT_RANK: (rank - 1) / (n - 1), 0 for a single row."""
-    ranked = with_rank(df, value, order, "_rank", "_n", partitions, single_task_max)
+    ranked = with_rank(df, value, order, "_rank", "_n", partitions)
     pr = F.when(F.col("_n") > 1,
                 (F.col("_rank") - 1).cast("double") / (F.col("_n") - 1).cast("double")
                 ).otherwise(F.lit(0.0))
@@ -159,32 +107,17 @@ def ntile_of(row_number: Column, total: Column, k: int) -> Column:
 
 
 def with_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str = "ntile",
-               partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """SQL NTILE(k) over ``order`` (a total order)."""
-    numbered = with_row_number(df, order, "_rn", "_n", partitions, single_task_max)
+    numbered = with_row_number(df, order, "_rn", "_n", partitions)
     return numbered.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
 
 
 def with_ntiles(df: DataFrame, k: int, orders: dict[str, Sequence[Column]],
-                partitions: int | None = None, single_task_max: int | None = None) -> DataFrame:
-    """Several NTILE(k) columns, one per ``{name: order}`` (each a total order).
-
-    Bounded input: one size check and one pass with all windows. Otherwise one
-    range-partitioned numbering per order, each on the previous checkpoint.
-    """
-    checkpoint_dir(df.sparkSession)
-    limit = single_task_max_rows(df) if single_task_max is None else single_task_max
-    source = df.persist()
-    try:
-        if _fits_one_task(source, limit):
-            numbers = [F.row_number().over(Window.orderBy(*o)).alias(f"_rn_{name}") for name, o in orders.items()]
-            counted = source.select("*", F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"), *numbers)
-            tiles = [ntile_of(F.col(f"_rn_{name}"), F.col("_n"), k).alias(name) for name in orders]
-            return counted.select(*df.columns, *tiles).checkpoint(eager=True)
-        out = source
-        for name, order in orders.items():
-            numbered = _range_numbers(out, order, "_rn", "_n", partitions)
-            out = numbered.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
-        return out
-    finally:
-        source.unpersist()
+                partitions: int | None = None) -> DataFrame:
+    """Several NTILE(k) columns, one per ``{name: order}`` (each a total order): one
+    range-partitioned numbering per order, each on the previous checkpoint."""
+    out = df
+    for name, order in orders.items():
+        out = with_ntile(out, k, order, name, partitions)
+    return out

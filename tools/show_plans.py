@@ -17,7 +17,6 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from orderlens.operators.order_totals import order_totals  # noqa: E402
-from orderlens.operators.ranking import SINGLE_TASK_CONF  # noqa: E402
 from orderlens.plans import customers, programs, sales  # noqa: E402
 from orderlens.session import local_session, scratch_path  # noqa: E402
 from orderlens.sources import curated, testdata  # noqa: E402
@@ -33,7 +32,6 @@ def main() -> None:
     curated.write_star(testdata.star(spark, sf), out, BUCKETS)
     s = curated.read_star(spark, out, BUCKETS)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set(SINGLE_TASK_CONF, "0")  # show the range-partitioned ranking
 
     def tot(policy="zero_each"):
         return order_totals(s.fact_orders, s.fact_items, s.fact_items_options, policy)
