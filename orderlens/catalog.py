@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderlens.functions.numeric import money_out
 from orderlens.insights import churn as ich
@@ -33,7 +33,6 @@ INCREMENT_MARK = dt.datetime(2001, 6, 1)
 TREND_PERIOD = "Weekly"
 TREND_RESTAURANT = "NATION_3"
 LOCATION_METRIC = "orders_per_day"
-WRITE_CURATED_MAX_BUCKETS = 64  # bucket count of the checked write (fixtures are small)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,52 +178,78 @@ def q_high_water_mark(spark, sf):
 
 
 # --- sources, sinks, incremental runs (E2, E11, E13-E15) -------------------------
-def _write_test_landing(spark, sf, path, part: str | None = None):
-    """Source-shaped test tables into a landing folder; ``part`` = 'before'/'after' the mark."""
+def _dates_with_week(spark, sf):
+    """The date source with a column that no schema declares: it must come through."""
+    d = testdata.date_dim_source(spark, sf)
+    return d.withColumn("week", F.weekofyear(F.to_date("date_key", "dd-MM-yyyy")))
+
+
+def _write_test_landing(spark, sf, path, part: Column | None = None, rest: bool = True):
+    """Source-shaped test tables into a landing folder; ``part`` picks the order lines of this run."""
     items = testdata.order_items_source(spark, sf)
-    if part is not None:
-        t = F.col("creation_time_utc")
-        cut = F.lit(INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z"))
-        items = items.filter(t <= cut) if part == "before" else items.filter(t > cut)
-    landing.write_landing({"order_items": items}, path, mode="append")
-    if part in (None, "before"):
+    landing.write_landing({"order_items": items if part is None else items.filter(part)}, path, mode="append")
+    if rest:
         landing.write_landing({"order_item_options": testdata.order_item_options_source(spark, sf),
-                               "date_dim": testdata.date_dim_source(spark, sf)}, path)
+                               "date_dim": _dates_with_week(spark, sf)}, path)
+
 
+def q_load_landing(table: str) -> Query:
+    def run(spark, sf):
+        path = scratch_path(spark, "landing")
+        _write_test_landing(spark, sf, path)
+        return landing.load_landing(spark, path)[table]
+    return run
 
-def q_load_landing(spark, sf):
-    path = scratch_path(spark, "landing")
-    _write_test_landing(spark, sf, path)
-    return landing.load_landing(spark, path)["order_items"]
 
+def _run_result(spark, out: str, table: str) -> DataFrame:
+    """A table of an incremental run, or the lifetime values over it."""
+    if table != "clv":
+        return incremental.read_curated(spark, out, table)
+    facts = [incremental.read_curated(spark, out, t) for t in ("fact_orders", "fact_items", "fact_items_options")]
+    return customers.clv(order_totals(*facts))
 
-def q_incremental_batch(spark, sf):
+
+def q_incremental_batch(table: str) -> Query:
     """Two batch runs with a stored mark (rows up to the mark, then the rest) = one full run."""
-    src, out = scratch_path(spark, "landing"), scratch_path(spark, "curated")
-    mark = scratch_path(spark, "mark")
-    _write_test_landing(spark, sf, src, "before")
-    incremental.run_batch(spark, src, out, mark)
-    _write_test_landing(spark, sf, src, "after")
-    incremental.run_batch(spark, src, out, mark)
-    return incremental.read_curated(spark, out, "fact_items")
-
-
-def q_incremental_stream(spark, sf):
-    """The stream over the landing folder, run twice as files arrive = one full run."""
-    src, out = scratch_path(spark, "landing"), scratch_path(spark, "curated")
-    ckpt = scratch_path(spark, "stream-checkpoint")
-    _write_test_landing(spark, sf, src, "before")
-    incremental.run_incremental(spark, src, out, ckpt)
-    _write_test_landing(spark, sf, src, "after")
-    incremental.run_incremental(spark, src, out, ckpt)
-    return incremental.read_curated(spark, out, "fact_items")
-
-
-def q_write_curated(spark, sf):
-    """The star written to the curated zone (facts bucketed by order_id), read back."""
-    out = scratch_path(spark, "curated")
-    buckets = min(WRITE_CURATED_MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    curated.write_star(testdata.star(spark, sf), out, buckets=buckets)
+    def run(spark, sf):
+        src, out, mark = (scratch_path(spark, x) for x in ("landing", "curated", "mark"))
+        early = F.col("creation_time_utc") <= INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        _write_test_landing(spark, sf, src, early)
+        incremental.run_batch(spark, src, out, mark)
+        _write_test_landing(spark, sf, src, ~early, rest=False)
+        incremental.run_batch(spark, src, out, mark)
+        return _run_result(spark, out, table)
+    return run
+
+
+def q_incremental_stream(table: str) -> Query:
+    """The stream run twice as files arrive, the lines of an order in both = one full run."""
+    def run(spark, sf):
+        src, out, ckpt = (scratch_path(spark, x) for x in ("landing", "curated", "stream-checkpoint"))
+        odd = F.col("lineitem_id").cast("int") % 2 == 1
+        _write_test_landing(spark, sf, src, odd)
+        incremental.run_incremental(spark, src, out, ckpt)
+        _write_test_landing(spark, sf, src, ~odd, rest=False)
+        incremental.run_incremental(spark, src, out, ckpt)
+        return _run_result(spark, out, table)
+    return run
+
+
+def q_write_curated(table: str) -> Query:
+    """The five tables appended to the curated zone (facts by order month), one read back."""
+    def run(spark, sf):
+        out, items = scratch_path(spark, "curated"), _conformed(spark, sf)
+        incremental.write_curated(incremental.transform(items, testdata.order_item_options_source(spark, sf),
+                                                        testdata.date_dim_source(spark, sf)), out)
+        return spark.read.parquet(f"{out}/{table}").drop("order_month")
+    return run
+
+
+def q_write_bucketed(spark, sf):
+    """The star written bucketed by order_id (buckets from the row count), read back."""
+    out, star = scratch_path(spark, "curated"), testdata.star(spark, sf)
+    buckets = curated.bucket_count(star.fact_items.count())
+    curated.write_star(star, out, buckets=buckets)
     return curated.read_star(spark, out, buckets=buckets).fact_items
 
 
@@ -235,7 +260,7 @@ def _star_tables(spark, sf):
 
 
 def q_run_reports(spark, sf):
-    return run_reports(spark, _star_tables(spark, sf), scratch_path(spark, "results"), AS_OF)
+    return run_reports(spark, _star_tables(spark, sf), scratch_path(spark, "results"), AS_OF, run_id="checked")
 
 
 def q_read_latest_result(spark, sf):
@@ -307,10 +332,16 @@ def queries() -> dict[str, Query]:
         "fact_item_options": q_fact_item_options,
         "high_water_mark": q_high_water_mark,
         # E2, E11-E15
-        "load_landing": q_load_landing,
-        "write_curated": q_write_curated,
-        "incremental_batch": q_incremental_batch,
-        "incremental_stream": q_incremental_stream,
+        "load_landing": q_load_landing("order_items"),
+        "load_landing_options": q_load_landing("order_item_options"),
+        "load_landing_dates": q_load_landing("date_dim"),
+        "write_curated": q_write_curated("fact_items"),
+        "write_curated_orders": q_write_curated("fact_orders"),
+        "write_bucketed": q_write_bucketed,
+        **{f"incremental_{job}{suffix}": q(table)
+           for job, q in (("batch", q_incremental_batch), ("stream", q_incremental_stream))
+           for suffix, table in (("", "fact_items"), ("_orders", "fact_orders"), ("_options", "fact_items_options"),
+                                 ("_apps", "dim_app"), ("_dates", "date_dim"), ("_clv", "clv"))},
         "run_reports": q_run_reports,
         "read_latest_result": q_read_latest_result,
         # D1-D27
@@ -329,7 +360,7 @@ def queries() -> dict[str, Query]:
         "top5_locations": _on(q_locations, iloc.top),
         "bottom5_locations": _on(q_locations, iloc.bottom),
         "locations_by_metric": _on(q_locations, lambda d: iloc.by_metric(d, LOCATION_METRIC)),
-        "loyalty_table": _on(q_loyalty, iprog.loyalty_table),
+        "loyalty_table": lambda spark, sf: iprog.loyalty_table(programs.loyalty(_totals(spark, sf), with_flag=True)),
         "discount_totals": _on(q_discounts, iprog.discount_totals),
         "order_type_share": _on(q_discounts, iprog.order_type_share),
         "discount_verdict": _on(q_discounts, iprog.discount_verdict),

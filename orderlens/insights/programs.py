@@ -13,16 +13,20 @@ LOYALTY_LABELS = (
     ("avg_order_value", "Avg. Order Value ($)"),
 )
 CUSTOMER_TYPES = ("Loyalty Customers", "Non-Loyalty Customers")
+NO_FLAG = "Non-Loyalty Customers (no flag)"
 DISCOUNTED, NOT_DISCOUNTED = "Discounted Order", "Non-Discounted Order"
 
 
 def loyalty_table(loyalty: DataFrame) -> DataFrame:
-    """Metrics rounded to 2, one row per metric, one column per customer type."""
-    rounded = loyalty.select("customer_type", *[F.round(c, 2).alias(label) for c, label in LOYALTY_LABELS])
-    long = rounded.unpivot("customer_type", [F.col(f"`{label}`") for _, label in LOYALTY_LABELS],
-                           "metric", "value")
-    return (long.groupBy("metric").pivot("customer_type", list(CUSTOMER_TYPES))
-            .agg(F.first("value")))
+    """Metrics rounded to 2, one row per metric, one column per customer type.
+
+    ``loyalty`` is ``loyalty(totals, with_flag=True)``: customers without a flag have the label
+    of the non-loyal ones and get a column of their own.
+    """
+    key = F.when(F.col("is_loyalty").isNull(), NO_FLAG).otherwise(F.col("customer_type"))
+    rounded = loyalty.select(key.alias("_key"), *[F.round(c, 2).alias(label) for c, label in LOYALTY_LABELS])
+    long = rounded.unpivot("_key", [F.col(f"`{label}`") for _, label in LOYALTY_LABELS], "metric", "value")
+    return long.groupBy("metric").pivot("_key", [*CUSTOMER_TYPES, NO_FLAG]).agg(F.first("value"))
 
 
 def discount_totals(discounts: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ def normalise_period_start(trend: DataFrame) -> DataFrame:
     if isinstance(t, T.NumericType):
         ts = F.timestamp_seconds(c).cast("timestamp_ntz")
     elif isinstance(t, T.StringType):
-        ts = F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
-                        F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))).cast("timestamp_ntz")
+        # any ISO form, with a blank or T, with or without time, fraction or zone
+        ts = c.try_cast("timestamp_ntz")
     else:
         ts = c.cast("timestamp_ntz")
     return trend.withColumn("period_start", ts)

@@ -46,7 +46,7 @@ def apply_policy(sums: DataFrame, null_policy: str = "zero_each", discount_flag:
     if null_policy not in POLICIES:
         raise ValueError(f"null_policy must be one of {POLICIES}")
     item, option = F.col("item_total"), F.col("option_total")
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(30,4)")
     if null_policy == "zero_each":
         item, option = F.coalesce(item, zero), F.coalesce(option, zero)
         total = item + option

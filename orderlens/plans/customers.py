@@ -123,8 +123,8 @@ def recency(orders: DataFrame, as_of: dt.date) -> DataFrame:
 
 def _pct_change(cur, prev):
     """round((cur - prev) / prev * 100, 2) in exact decimals; NULL if prev is NULL or < 1."""
-    c = cur.cast("decimal(24,4)")
-    p = prev.cast("decimal(24,4)")
+    c = cur.try_cast("decimal(24,4)")
+    p = prev.try_cast("decimal(24,4)")
     pct = F.round((c - p) * F.lit(100) / p, 2).cast("double")
     return F.when(prev.isNull() | (prev < 1), F.lit(None).cast("double")).otherwise(pct)
 

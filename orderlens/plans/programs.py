@@ -14,33 +14,28 @@ def mean(c: str) -> F.Column:
 
 
 # --------------------------------------------------------------------------- R4
-def loyalty(totals: DataFrame) -> DataFrame:
+def loyalty(totals: DataFrame, with_flag: bool = False) -> DataFrame:
     """Per-customer orders, spend and mean order, averaged per loyalty flag.
 
     ``totals`` is ``order_totals(..., null_policy="zero_each")``. A user with
     orders under both flags counts in both groups; a NULL flag is its own
-    group, labelled Non-Loyalty. The distinct count runs on (user, flag,
+    group, labelled Non-Loyalty (``with_flag`` tells it from the other). The distinct count runs on (user, flag,
     order) keys, which spread the hot anonymous user over all partitions.
-    A customer's mean order value is kept at 4 decimals (exact), so the
-    group means do not depend on summation order.
+    The means of the customers are added up as decimals of 12 digits after the
+    point, so a group's mean does not depend on the order of summation.
     """
     stats = totals.groupBy("user_id", "is_loyalty").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("order_total").alias("total_spend"),
         F.count("order_total").alias("_n"))
-    # each customer's mean order value as exact money units of 1/10000, rounded half
-    # away from zero: the mean over customers is then an exact integer sum, the same
-    # digits however the rows are partitioned
-    units = (F.col("total_spend") * F.lit(10000)).cast("bigint")
-    n = F.col("_n")
-    mean_units = (F.abs(units) * 2 + n - F.pmod(F.abs(units) * 2 + n, n * 2)) / (n * 2)
-    stats = stats.withColumn("_aov", F.when(n > 0, F.signum(units) * mean_units).cast("bigint"))
+    each = safe_ratio(F.col("total_spend"), F.col("_n")).cast("decimal(38,12)")
+    stats = stats.withColumn("_aov", each)
     per_flag = stats.groupBy("is_loyalty").agg(
         mean("total_spend").alias("avg_spend_per_customer"),
         mean("total_orders").alias("avg_repeat_orders"),
-        (mean("_aov") / F.lit(10000.0)).alias("avg_order_value"))
+        mean("_aov").alias("avg_order_value"))
     label = F.when(F.col("is_loyalty"), "Loyalty Customers").otherwise("Non-Loyalty Customers")
-    return per_flag.select(label.alias("customer_type"), "avg_spend_per_customer",
+    return per_flag.select(*["is_loyalty"] * with_flag, label.alias("customer_type"), "avg_spend_per_customer",
                            "avg_repeat_orders", "avg_order_value")
 
 

@@ -3,9 +3,10 @@
 The source ran the report files one after another on a hosted SQL service and
 polled their state every 2 s. Here each report is a DataFrame job; writing
 its result is the action, so there is nothing to poll. One failing report
-does not stop the others: its state is FAILED with the error text. The
-per-order sums that six reports start from are computed once and
-checkpointed (lineage cut, shared storage), not recomputed per report.
+does not stop the others: its state is FAILED with the whole error text. The
+per-order sums that six reports start from are computed once, when first
+needed, and checkpointed (lineage cut, shared storage). Reports may also be
+SQL files in a folder.
 """
 
 from __future__ import annotations
@@ -13,28 +14,29 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from orderlens.operators.order_totals import apply_policy, order_sums, order_totals
+from orderlens.operators.order_totals import apply_policy, order_sums
 from orderlens.plans import customers, programs, sales
+from orderlens.session import checkpoint_dir
 from orderlens.sources.results import new_run_id, write_result
 
 Report = Callable[[], DataFrame]
 
 
-def reports(tables: dict[str, DataFrame], as_of: dt.date,
-            sums: DataFrame | None = None) -> dict[str, Report]:
+def reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, Report]:
     """The eight reports over ``tables`` (fact_orders, fact_items, fact_items_options, date_dim).
 
-    ``sums`` (``order_sums`` of the facts) is shared by the six reports built on
-    per-order totals; without it each report computes its own.
+    The per-order sums that six of them start from are computed and checkpointed by the first
+    report that needs them; a failure there is that report's, and the next one tries again.
     """
-    o, i, x = tables["fact_orders"], tables["fact_items"], tables["fact_items_options"]
+    shared: list[DataFrame] = []
 
     def totals(policy: str = "zero_each", flag: bool = False) -> DataFrame:
-        if sums is not None:
-            return apply_policy(sums, policy, flag)
-        return order_totals(o, i, x, policy, flag)
+        if not shared:
+            shared.append(order_sums(tables["fact_orders"], tables["fact_items"], tables["fact_items_options"])
+                          .checkpoint(eager=True))
+        return apply_policy(shared[0], policy, flag)
 
     return {
         "churn": lambda: customers.churn(totals("zero_sum"), as_of),
@@ -43,27 +45,37 @@ def reports(tables: dict[str, DataFrame], as_of: dt.date,
         "date_detail": lambda: sales.date_detail(tables["date_dim"]),
         "loyalty": lambda: programs.loyalty(totals()),
         "discounts": lambda: programs.discounts_from_totals(totals("keep_item_null", True)),
-        "sales_trend": lambda: sales.sales_trend(o, i),
+        "sales_trend": lambda: sales.sales_trend(tables["fact_orders"], tables["fact_items"]),
         "locations": lambda: sales.locations(totals()),
     }
 
 
+def sql_reports(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, Report]:
+    """One report for each ``.sql`` file of a folder, named after the file; the curated tables are
+    temporary views of their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.sql").text(folder).select(
+        F.col("_metadata.file_name").alias("file"), "value").collect()  # report texts, a few files
+    return {r["file"].removesuffix(".sql"): (lambda q=r["value"]: spark.sql(q.strip().rstrip(";"))) for r in files}
+
+
 def run_reports(spark: SparkSession, tables: dict[str, DataFrame], out: str, as_of: dt.date,
-                names: list[str] | None = None, run_id: str | None = None) -> DataFrame:
-    """Run the reports, write ``out/<report>/run_id=<id>/``; return (report, state, rows, detail)."""
+                names: list[str] | None = None, run_id: str | None = None,
+                sql_folder: str | None = None) -> DataFrame:
+    """Run the reports, write ``out/<report>/run_id=<id>/``; return (report, state, rows, detail).
+
+    With ``sql_folder`` the reports are the SQL files of that folder instead of the built-in ones.
+    """
     run_id = run_id or new_run_id()
-    # per-order sums once, written to the shared checkpoint folder, read by six reports
-    sums = order_sums(tables["fact_orders"], tables["fact_items"], tables["fact_items_options"]) \
-        .checkpoint(eager=True)
-    todo = reports(tables, as_of, sums)
+    checkpoint_dir(spark)
+    todo = reports(tables, as_of) if sql_folder is None else sql_reports(spark, tables, sql_folder)
     status = []
     for name in names or sorted(todo):
         try:
-            df = todo[name]().persist()
-            rows = df.count()
-            write_result(df, out, name, run_id)
-            df.unpersist()
-            status.append((name, "SUCCEEDED", rows, run_id))
+            seen = Observation(f"rows-{run_id}-{name}")
+            write_result(todo[name]().observe(seen, F.count(F.lit(1)).alias("rows")), out, name, run_id)
+            status.append((name, "SUCCEEDED", seen.get["rows"], run_id))
         except Exception as e:  # keep going: one report's failure is its own
-            status.append((name, "FAILED", None, f"{type(e).__name__}: {str(e)[:300]}"))
+            status.append((name, "FAILED", None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(status, "report string, state string, rows long, detail string")

@@ -18,7 +18,7 @@ def order_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     i = items.select("order_id", "item_category", "item_total")
     return (o.join(i, "order_id")
             .select("order_date", "restaurant_id", "item_category",
-                    F.coalesce(F.col("item_total"), F.lit(0).cast("decimal(18,2)")).alias("revenue")))
+                    F.coalesce(F.col("item_total"), F.lit(0).cast("decimal(30,4)")).alias("revenue")))
 
 
 def _period(grain: str, d: str = "order_date") -> F.Column:
@@ -94,13 +94,14 @@ def locations(totals: DataFrame, ordered: bool = True) -> DataFrame:
     stats = by_orders.join(by_days, by_orders.location_id.eqNullSafe(by_days.location_id)).select(
         by_orders.location_id, "total_orders", "_revenue", "_cnt", "active_days", "_first", "_last")
     stats = stats.select(
-        "location_id",
+        "location_id", "_revenue",
         money_out("_revenue").alias("total_revenue"),
         safe_ratio(F.col("_revenue"), F.col("_cnt")).alias("avg_order_value"),
         safe_ratio(F.col("total_orders"), F.col("active_days")).alias("orders_per_day"),
         safe_ratio(F.col("total_orders"), whole_weeks_between("_first", "_last") + 1).alias("orders_per_week"))
-    ranked = with_rank(stats, "total_revenue",
-                       [F.col("total_revenue").desc_nulls_last(), F.col("location_id").asc_nulls_last()],
+    # the exact sum is ranked: two sums may meet in one double
+    ranked = with_rank(stats, "_revenue",
+                       [F.col("_revenue").desc_nulls_last(), F.col("location_id").asc_nulls_last()],
                        "revenue_rank")
     out = ranked.select("location_id", "total_revenue", F.col("revenue_rank").cast("int").alias("revenue_rank"),
                         "avg_order_value", "orders_per_day", "orders_per_week")

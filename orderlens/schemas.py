@@ -16,9 +16,10 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 STR, INT, LONG, DBL, BOOL = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()
 DATE, TS_NTZ = T.DateType(), T.TimestampNTZType()
-PRICE = T.DecimalType(12, 2)
-ITEM_TOTAL = T.DecimalType(18, 2)
-OPTION_MONEY = T.DecimalType(18, 4)
+PRICE = T.DecimalType(20, 4)       # 16 integer digits
+ITEM_TOTAL = T.DecimalType(30, 4)  # holds any INT quantity times any PRICE
+OPTION_MONEY = T.DecimalType(20, 4)
+OPTION_TOTAL = T.DecimalType(30, 4)
 OPTION_QTY = T.DecimalType(12, 4)
 
 # --- source (landing zone) --------------------------------------------------
@@ -48,7 +49,7 @@ FACT_ITEMS = _s(
 )
 FACT_ITEMS_OPTIONS = _s(
     ("lineitem_id", STR), ("order_id", STR), ("option_group_name", STR), ("option_name", STR),
-    ("option_quantity", OPTION_QTY), ("option_price", OPTION_MONEY), ("option_total", OPTION_MONEY),
+    ("option_quantity", OPTION_QTY), ("option_price", OPTION_MONEY), ("option_total", OPTION_TOTAL),
 )
 
 # --- report results (CSV outputs; inputs of the dashboard aggregates) -------

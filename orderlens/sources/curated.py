@@ -33,6 +33,11 @@ DDL = {
 }
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 2_000_000) -> int:
+    """Buckets for a fact table of so many rows: some hundred MB of Parquet each."""
+    return max(1, -(-rows // rows_per_bucket))
+
+
 def table_name(out: str, name: str) -> str:
     """Catalog name of a bucketed table stored under ``out`` (one name per folder)."""
     return f"ol_{hashlib.sha1(out.rstrip('/').encode()).hexdigest()[:12]}_{name}"
@@ -70,7 +75,24 @@ def _bucketed(spark: SparkSession, out: str, name: str, buckets: int) -> DataFra
             spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
                       f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
     df = spark.table(table)
-    return df.drop("batch") if "batch" in df.columns else df
+    return _once(df.drop("batch"), name) if "batch" in df.columns else df
+
+
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """Rows of all batches of a table: an order or option that came with the lines of several
+    batches counts once (lines are source rows and all count). On tables bucketed by
+    ``order_id`` the distinct needs no exchange."""
+    return df if name == "fact_items" else df.distinct()
+
+
+def read_batches(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A curated table written in batch folders: facts of all batches, a dimension's latest copy."""
+    df = spark.read.parquet(f"{out.rstrip('/')}/{name}")
+    if "batch" not in df.columns:
+        return df
+    if name in ("dim_app", "date_dim"):
+        return df.filter(F.col("batch") == df.agg(F.max("batch")).scalar()).drop("batch")
+    return _once(df.drop("batch"), name)
 
 
 def _has_batches(spark: SparkSession, path: str) -> bool:
@@ -83,7 +105,7 @@ def _has_batches(spark: SparkSession, path: str) -> bool:
 
 def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Star:
     base = path.rstrip("/")
-    date_dim = spark.read.schema(schemas.DATE_DIM).parquet(f"{base}/date_dim")
+    date_dim = read_batches(spark, path, "date_dim")
     if buckets is not None:
         return Star(*(_bucketed(spark, path, n, buckets) for n in FACTS), date_dim=date_dim)
     return Star(
@@ -113,14 +135,9 @@ def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch
         if _has_files(spark, path):
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     cols = [c for c in spark.table(table).columns if c != "batch"]
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")  # replace only this batch's partition
-    try:
-        (df.select(*cols, F.lit(batch).alias("batch")).repartition(buckets, BUCKET_KEY)
-         .write.insertInto(table, overwrite=True))
-    finally:
-        spark.conf.set(key, previous)
+    # the write's own option replaces only this batch's partition; no session setting changes
+    (df.select(*cols, F.lit(batch).alias("batch")).repartition(buckets, BUCKET_KEY)
+     .write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.sources.landing import LANDING_SCHEMAS, conform_to
+
 
 @dataclass(frozen=True)
 class Partitioning:
@@ -61,6 +63,8 @@ def ingest(spark: SparkSession, url: str, tables: dict[str, str], props: dict[st
     for name, table in tables.items():
         df = read_table(spark, url, table, props, partitioning.get(name))
         path = f"{out.rstrip('/')}/{name}"
+        if name in LANDING_SCHEMAS:  # what load_landing reads: declared columns in landing types
+            df = conform_to(df, LANDING_SCHEMAS[name])
         df.write.mode("overwrite").parquet(path)
         written[name] = path
     return written

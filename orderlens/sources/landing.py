@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from orderlens import schemas
+from orderlens.functions.dates import DATE_KEY_FORMAT, ISO_UTC_FORMAT
 
 LANDING_SCHEMAS = {
     "order_items": schemas.ORDER_ITEMS,
@@ -15,8 +16,22 @@ LANDING_SCHEMAS = {
 
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns, cast to the declared types (text stays text)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """The declared columns in the declared types (timestamps as ISO text), then all others.
+
+    Raises if a declared column is absent: a missing ``user_id`` must not read as anonymous.
+    """
+    schemas.validate(df, schema, "landing table")
+    declared = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType) and isinstance(df.schema[f.name].dataType,
+                                                               (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, ISO_UTC_FORMAT)
+        elif isinstance(f.dataType, T.StringType) and isinstance(df.schema[f.name].dataType, T.DateType):
+            c = F.date_format(c, DATE_KEY_FORMAT)
+        declared.append(c.cast(f.dataType).alias(f.name))
+    names = set(schema.fieldNames())
+    return df.select(*declared, *[F.col(f"`{x}`") for x in df.columns if x not in names])
 
 
 def write_landing(tables: dict[str, DataFrame], landing: str, mode: str = "overwrite") -> None:
@@ -24,7 +39,11 @@ def write_landing(tables: dict[str, DataFrame], landing: str, mode: str = "overw
         conform_to(df, LANDING_SCHEMAS[name]).write.mode(mode).parquet(f"{landing.rstrip('/')}/{name}")
 
 
+def load_table(spark: SparkSession, landing: str, name: str) -> DataFrame:
+    """One landing table: the files' own schema, checked and conformed, other columns kept."""
+    return conform_to(spark.read.parquet(f"{landing.rstrip('/')}/{name}"), LANDING_SCHEMAS[name])
+
+
 def load_landing(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
-    """The landing tables, read with their declared schemas (no inference)."""
-    base = landing.rstrip("/")
-    return {name: spark.read.schema(s).parquet(f"{base}/{name}") for name, s in LANDING_SCHEMAS.items()}
+    """The landing tables in their declared types; text or typed files alike."""
+    return {name: load_table(spark, landing, name) for name in LANDING_SCHEMAS}

@@ -29,19 +29,20 @@ def write_result(df: DataFrame, out: str, report: str, run_id: str) -> str:
 
 
 def _run_ids(spark: SparkSession, base: str) -> list[str]:
-    """Run folders under ``base`` (a file-system listing, no data read)."""
+    """Finished runs under ``base``: folders with a ``_SUCCESS`` marker (a listing, no data read)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("run_id="))
+    runs = [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted(p.getName().split("=", 1)[1] for p in runs if p.getName().startswith("run_id=")
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
 def read_latest(spark: SparkSession, out: str, report: str,
                 schema: T.StructType | None = None) -> DataFrame:
-    """The latest run of ``report`` with its declared schema (no inference)."""
+    """The latest finished run of ``report`` with its declared schema (no inference)."""
     base = f"{out.rstrip('/')}/{report}"
     runs = _run_ids(spark, base)
     if not runs:

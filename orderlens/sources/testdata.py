@@ -13,7 +13,6 @@ forced here; AQE broadcasts a side at run time when its measured size is under
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderlens.operators import conform
 
 # Fixed values of the mapping (FIXTURES.md §4).
-ORDER_CUTOFF = dt.datetime(2001, 8, 1)   # orders before this time form the order tables
 NULL_APP_EVERY = 97                      # every 97th order key has no app name
 ANONYMOUS_PRIORITY = "4-NOT SPECIFIED"   # with status 'P': anonymous user
 ANONYMOUS_STATUS = "P"
@@ -59,10 +57,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def _cutoff() -> F.Column:
-    return F.lit(ORDER_CUTOFF).cast("timestamp_ntz")
-
-
 def _creation_time() -> F.Column:
     hours = (F.col("o_orderkey") % HOURS_IN_DAY).cast("int")
     return F.col("o_orderdate") + F.make_dt_interval(hours=hours)
@@ -70,8 +64,7 @@ def _creation_time() -> F.Column:
 
 def _orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (read_table(spark, sf_dir, "orders")
-              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-              .filter(F.col("o_orderdate") < _cutoff()))
+              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -102,7 +95,7 @@ def order_items_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("item_category"),
         F.col("p_name").alias("item_name"),
         F.col("l_quantity").cast("int").alias("item_quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("item_price"),
+        F.col("l_extendedprice").cast("decimal(12,2)").cast("decimal(20,4)").alias("item_price"),
     )
 
 
@@ -128,7 +121,7 @@ def order_item_options_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(group).alias("option_group_name"),
             F.col(name_col).alias("option_name"),
             F.lit(1).alias("option_quantity"),
-            amount.cast("decimal(18,4)").alias("option_price"))
+            amount.cast("decimal(20,4)").alias("option_price"))
 
     discount = branch(F.col("l_discount") >= DISCOUNT_MIN, "DISCOUNT", "l_returnflag",
                       -price * F.col("l_discount").cast("decimal(4,2)"))

@@ -19,13 +19,16 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
 from orderlens.operators import conform
+from orderlens.session import scratch_path
 from orderlens.sources import curated
-from orderlens.sources.landing import load_landing
+from orderlens.sources.landing import conform_to, load_landing, load_table
 
+FIRST_BATCH = "00000000T000000000000"  # the batch partition of a run without a mark; sorts first
 CURATED_TABLES = ("date_dim", "dim_app", "fact_orders", "fact_items", "fact_items_options")
 
 
@@ -38,6 +41,15 @@ def new_rows(order_items: DataFrame, last: dt.datetime | None) -> DataFrame:
     return order_items.filter(F.col("creation_time_utc") > mark)
 
 
+def newer_text(order_items: DataFrame, last: dt.datetime | None) -> DataFrame:
+    """Landing rows whose time text sorts after the mark: a plain comparison of fixed-width ISO
+    text that reaches the file scan. ``new_rows`` still decides on the parsed time."""
+    if last is None:
+        return order_items
+    text = last.strftime("%Y-%m-%dT%H:%M:%S.") + f"{last.microsecond // 1000:03d}Z"
+    return order_items.filter(F.col("creation_time_utc") >= text)
+
+
 # --------------------------------------------------------------------------- E5
 def related_options(options: DataFrame, new_items: DataFrame) -> DataFrame:
     """Option rows whose (order_id, lineitem_id) occurs among the new item rows.
@@ -60,14 +72,28 @@ def next_mark(batch: DataFrame, previous: dt.datetime | None) -> dt.datetime | N
     return previous if value is None else value
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if nothing was written there yet. Any other failure
+    is raised: a table that cannot be read is no first run."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_mark(spark: SparkSession, path: str) -> dt.datetime | None:
+    """The stored mark; None before the first run. A mark that cannot be read is an error."""
     try:
-        row = spark.read.schema("last_processed_timestamp string").json(path).first()
-    except Exception:  # no mark written yet
-        return None
-    if row is None or row[0] is None:
-        return None
-    return dt.datetime.fromisoformat(row[0])
+        rows = spark.read.schema("last_processed_timestamp string").json(path).collect()  # one row
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if len(rows) != 1 or rows[0][0] is None:
+        raise ValueError(f"unreadable mark in {path}: {rows}")
+    return dt.datetime.fromisoformat(rows[0][0])
 
 
 def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
@@ -87,7 +113,7 @@ def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | str |
     per-order shuffles). Without ``batch_id`` facts are appended, partitioned by
     order month when they carry a creation time. Dimensions are overwritten
     whole (the dimension passed in is complete), or kept as one copy per batch
-    (``dims_per_batch``, the stream).
+    (``dims_per_batch``: a crash never harms the copy that readers and later runs use).
     """
     for name, df in tables.items():
         path = f"{out.rstrip('/')}/{name}"
@@ -124,41 +150,29 @@ def transform(order_items: DataFrame, options: DataFrame, date_dim: DataFrame,
 
 def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str,
               buckets: int | None = None) -> dt.datetime | None:
-    """The batch transform job with a stored high-water mark; returns the new mark."""
+    """The batch transform job with a stored high-water mark; returns the new mark.
+
+    The batch is "rows after <last mark>" and every table it writes goes to the partition
+    named after that mark: a rerun after a failure before the new mark is stored rewrites the
+    same partitions. The app dimension starts from the newest partition before this one, so
+    a half-written copy is never read.
+    """
     src = load_landing(spark, landing)
     last = read_mark(spark, mark_path)
-    batch = new_rows(conform.conform_orders(src["order_items"]), last)
-    if batch.isEmpty():
+    batch = new_rows(conform.conform_orders(newer_text(src["order_items"], last)), last)
+    # conformed once, then read by every output (shared folder: a lost executor costs its tasks only)
+    path = scratch_path(spark, "batch")
+    batch.write.parquet(path)
+    batch = spark.read.schema(batch.schema).parquet(path)
+    mark = high_water_mark(batch).first()[0]
+    if mark is None and batch.isEmpty():
         return last  # nothing new: write nothing, keep the mark
-    batch = batch.persist()
-    try:
-        existing = _existing_apps(spark, out)
-        tables = transform(batch, src["order_item_options"], src["date_dim"], existing)
-        apps = tables.pop("dim_app").persist()
-        apps.count()
-        # the batch is "rows after <last mark>": a rerun after a failure before the
-        # mark is stored rewrites the same partition instead of loading rows twice
-        token = "initial" if last is None else last.strftime("%Y%m%dT%H%M%S%f")
-        write_curated(tables, out, batch_id=token, buckets=buckets)
-        apps.write.mode("overwrite").parquet(f"{out.rstrip('/')}/dim_app_next")
-        mark = next_mark(batch, last)
-    finally:
-        batch.unpersist()
-    _promote_apps(spark, out)
-    write_mark(spark, mark_path, mark)
-    return mark
-
-
-def _existing_apps(spark: SparkSession, out: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schemas.DIM_APP).parquet(f"{out.rstrip('/')}/dim_app")
-    except Exception:  # first run
-        return None
-
-
-def _promote_apps(spark: SparkSession, out: str) -> None:
-    base = out.rstrip("/")
-    spark.read.parquet(f"{base}/dim_app_next").write.mode("overwrite").parquet(f"{base}/dim_app")
+    token = FIRST_BATCH if last is None else last.strftime("%Y%m%dT%H%M%S%f")
+    tables = transform(batch, src["order_item_options"], src["date_dim"], _latest_apps(spark, out, token))
+    write_curated(tables, out, batch_id=token, buckets=buckets, dims_per_batch=True)
+    if mark is not None:
+        write_mark(spark, mark_path, mark)
+    return last if mark is None else mark
 
 
 # --------------------------------------------------------------------------- E13
@@ -172,13 +186,17 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
     fact tables (the layout the reports read).
     """
     base = landing.rstrip("/")
-    stream = spark.readStream.schema(schemas.ORDER_ITEMS).parquet(f"{base}/order_items")
-    options = spark.read.schema(schemas.ORDER_ITEM_OPTIONS).parquet(f"{base}/order_item_options")
-    dates = spark.read.schema(schemas.DATE_DIM_SOURCE).parquet(f"{base}/date_dim")
+    files = spark.read.parquet(f"{base}/order_items").schema  # typed or text, with any other columns
+    stream = spark.readStream.schema(files).parquet(f"{base}/order_items")
+    options, dates = (load_table(spark, base, x) for x in ("order_item_options", "date_dim"))
     out_base = out.rstrip("/")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        items = conform.conform_orders(batch)
+        # conformed once, then read by every output
+        path = scratch_path(spark, f"batch-{batch_id}")
+        items = conform.conform_orders(conform_to(batch, schemas.ORDER_ITEMS))
+        items.write.parquet(path)
+        items = spark.read.schema(items.schema).parquet(path)
         prior = _latest_apps(spark, out_base, batch_id)
         tables = transform(items, options, dates, prior)
         write_curated(tables, out_base, batch_id=batch_id, buckets=buckets, dims_per_batch=True)
@@ -189,22 +207,20 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
     query.awaitTermination()
 
 
-def _latest_apps(spark: SparkSession, out: str, before_batch: int) -> DataFrame | None:
+def _latest_apps(spark: SparkSession, out: str, before: int | str) -> DataFrame | None:
     """The app dimension written by the latest earlier batch (ids stay stable)."""
-    try:
-        apps = spark.read.parquet(f"{out}/dim_app")
-    except Exception:
+    apps = read_if_there(spark, f"{out.rstrip('/')}/dim_app")
+    if apps is None:
+        return None
+    kind = "long" if isinstance(before, int) else "string"
+    batch = F.col("batch").cast(kind)
+    prior = apps.filter(batch < F.lit(before).cast(kind))
+    if prior.isEmpty():
         return None
-    prior = apps.filter(F.col("batch") < before_batch)
-    latest = prior.agg(F.max("batch")).scalar()
-    return prior.filter(F.col("batch") == latest).select("app_id", "app_name")
+    latest = prior.agg(F.max(batch)).scalar()
+    return prior.filter(batch == latest).select("app_id", "app_name")
 
 
 def read_curated(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """A curated table written in batch folders (all batches; the latest dimension copy)."""
-    df = spark.read.parquet(f"{out.rstrip('/')}/{name}")
-    if "batch" not in df.columns:
-        return df
-    if name in ("dim_app", "date_dim"):
-        df = df.filter(F.col("batch") == df.agg(F.max("batch")).scalar())
-    return df.drop("batch")
+    """A curated table of the batch or stream job (facts of all batches, latest dimension)."""
+    return curated.read_batches(spark, out, name)

@@ -1,5 +1,7 @@
 """Incremental runs: a rerun without new data adds nothing; a replayed batch replaces itself."""
 
+from pyspark.sql import functions as F
+
 from orderlens import catalog
 from orderlens.schemas import FACT_ITEMS
 from orderlens.session import scratch_path
@@ -8,6 +10,10 @@ from orderlens.streaming import incremental
 SF = "/root/testdata/sf0.001"
 
 
+def early():
+    return F.col("creation_time_utc") <= catalog.INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+
+
 def _items(spark, out):
     return spark.read.schema(FACT_ITEMS).parquet(f"{out}/fact_items").count()
 
@@ -24,12 +30,12 @@ def test_batch_rerun_without_new_rows_changes_nothing(spark):
 
 def test_batch_keeps_app_ids_between_runs(spark):
     src, out, mark = (scratch_path(spark, n) for n in ("landing", "curated", "mark"))
-    catalog._write_test_landing(spark, SF, src, "before")
+    catalog._write_test_landing(spark, SF, src, early())
     incremental.run_batch(spark, src, out, mark)
-    ids1 = {r.app_name: r.app_id for r in spark.read.parquet(f"{out}/dim_app").collect()}
-    catalog._write_test_landing(spark, SF, src, "after")
+    ids1 = {r.app_name: r.app_id for r in incremental.read_curated(spark, out, "dim_app").collect()}
+    catalog._write_test_landing(spark, SF, src, ~early(), rest=False)
     incremental.run_batch(spark, src, out, mark)
-    ids2 = {r.app_name: r.app_id for r in spark.read.parquet(f"{out}/dim_app").collect()}
+    ids2 = {r.app_name: r.app_id for r in incremental.read_curated(spark, out, "dim_app").collect()}
     assert all(ids2[k] == v for k, v in ids1.items())
     assert len(set(ids2.values())) == len(ids2)
 
@@ -73,9 +79,9 @@ def test_batch_runs_append_into_buckets(spark):
     """Two batch runs into the bucketed layout = one full run; reports read it shuffle-free."""
     from orderlens.sources import curated
     src, out, mark = (scratch_path(spark, n) for n in ("landing", "curated", "mark"))
-    catalog._write_test_landing(spark, SF, src, "before")
+    catalog._write_test_landing(spark, SF, src, early())
     incremental.run_batch(spark, src, out, mark, buckets=4)
-    catalog._write_test_landing(spark, SF, src, "after")
+    catalog._write_test_landing(spark, SF, src, ~early(), rest=False)
     incremental.run_batch(spark, src, out, mark, buckets=4)
     star = curated.read_star(spark, out, buckets=4)
     full = catalog.q_fact_items(spark, SF)
@@ -106,9 +112,9 @@ def test_batch_rerun_after_failure_before_mark_loads_nothing_twice(spark):
 def test_stream_into_buckets_equals_full_run(spark):
     from orderlens.sources import curated
     src, out, ckpt = (scratch_path(spark, n) for n in ("landing", "curated", "ckpt"))
-    catalog._write_test_landing(spark, SF, src, "before")
+    catalog._write_test_landing(spark, SF, src, early())
     incremental.run_incremental(spark, src, out, ckpt, buckets=4)
-    catalog._write_test_landing(spark, SF, src, "after")
+    catalog._write_test_landing(spark, SF, src, ~early(), rest=False)
     incremental.run_incremental(spark, src, out, ckpt, buckets=4)
     items = curated.read_star(spark, out, buckets=4).fact_items
     assert items.count() == catalog.q_fact_items(spark, SF).count()

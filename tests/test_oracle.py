@@ -56,14 +56,3 @@ def test_entry_runs(spark):
     assert df.columns == ["user_id", "total_item_cost", "total_option_cost", "total_cost_per_user",
                           "clv_percent", "clv_tag"]
     assert df.count() > 0
-
-
-@pytest.mark.parametrize("name", ["clv", "rfm_segments", "top_locations", "global_percent_rank", "global_ntile"])
-def test_range_partitioned_ranking_matches_oracle(spark, duck, name):
-    """The same reports with the single-task path switched off."""
-    from orderlens.operators.ranking import SINGLE_TASK_CONF
-    spark.conf.set(SINGLE_TASK_CONF, "0")
-    try:
-        test_matches_oracle(spark, duck, name)
-    finally:
-        spark.conf.unset(SINGLE_TASK_CONF)
