@@ -204,12 +204,12 @@ def components(links: DataFrame) -> DataFrame:
         # done when every edge leads to a node that has no smaller one, and each node has one edge
         again = (edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
                  .union(edges.groupBy("a").count().filter("count > 1").select("a")))
-        if again.isEmpty():
+        if again.agg(F.count("*")).first()[0] == 0:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(low, "a").filter("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("x"), "a", "m"))
         edges = cut(small.select(F.col("x").alias("a"), F.col("m").alias("b"))

@@ -14,12 +14,12 @@ probability (1 - 0.8^4)^32 < 1e-7. Candidates are never the pairs of a bucket:
 
 1. every class of a bucket is compared with the bucket's hub (the class that meets most
    others), and the links found are closed to components;
-2. a class outside its bucket's main component is compared with its most similar sketch of
-   another component, block by block;
-3. what is still in different components is compared where the sketches agree on at least
-   MIN_AGREE of the coordinates (more than four standard deviations below 0.8).
+2. the classes outside their bucket's main component are compared, block by block, with the
+   classes of other components whose sketches agree on at least MIN_AGREE of the coordinates
+   (more than four standard deviations below 0.8). Tasks get the blocks' sets and give back at
+   most one link for each component that they join, so rows grow with classes, not with pairs.
 
-Every candidate is confirmed on the full shingle sets before it counts as a link.
+Every link is confirmed on the full shingle sets.
 
 Defined cases: null text is empty; texts without words have no shingle and no link; a
 repeated row is answered for each of its rows; a row without doc_id keeps a null component
@@ -165,64 +165,37 @@ def _open_buckets(keys: DataFrame, comp: DataFrame, sketched: DataFrame) -> Data
             .select("key", "id", "comp", "sketch", "n", (F.col("comp") != F.col("main")).alias("minor")))
 
 
-def _block_pairs(rows: DataFrame, best_only: bool) -> DataFrame:
-    """(a, b) of different components whose sketches agree enough, from blocks of each bucket.
-
-    Blocks of BLOCK rows keep a task's memory bounded; a pair counts in the first bucket that
-    it shares. best_only: for each minor class only its most similar partner of a block.
-    """
+def _blocks(rows: DataFrame) -> DataFrame:
+    """rows dealt to blocks (key, i, j) of at most BLOCK minor classes (left) and BLOCK others."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("id", F.lit(7)), blocks).cast("int")
     each = F.explode(F.sequence(F.lit(0), blocks - 1))
-    left = rows.filter("minor").select("key", block.alias("i"), each.alias("j"), F.lit(True).alias("left"),
-                                       "id", "comp", "sketch", "minor")
-    right = rows.select("key", each.alias("i"), block.alias("j"), F.lit(False).alias("left"),
-                        "id", "comp", "sketch", "minor")
-    least = int(MIN_AGREE * COORDS)
-
-    def group(key, left, ids, comps, minor, sk):
-        n, band = int(left.sum()), key % BANDS  # left rows come first
-        step = max(1, (1 << 16) // max(1, len(ids) - n))
-        for at in range(0, n, step):
-            x, y = slice(at, min(at + step, n)), slice(n, len(ids))
-            same = sk[x, None] == sk[None, y]
-            agree = same.sum(2)
-            # of two minor classes the smaller id asks, so that each pair is met once
-            ok = (agree >= least) & (comps[x, None] != comps[None, y]) & (
-                ~minor[None, y] | (ids[None, y] > ids[x, None]) | best_only)
-            if best_only:
-                a = np.flatnonzero(ok.any(1))
-                b = np.where(ok[a], agree[a], -1).argmax(1)
-            else:
-                a, b = np.nonzero(ok)
-                first = same[a, b].reshape(len(a), BANDS, ROWS).all(2).argmax(1)
-                a, b = a[first == band], b[first == band]
-            if len(a):
-                a, b = ids[x][a], ids[y][b]
-                yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+    more = ["id", "comp", "sketch"]
+    left = rows.filter("minor").select("key", block.alias("i"), each.alias("j"), F.lit(True).alias("left"), *more)
+    right = rows.select("key", each.alias("i"), block.alias("j"), F.lit(False).alias("left"), *more)
+    return left.unionByName(right)
+
+
+def _by_block(rows: DataFrame, work, schema: str) -> DataFrame:
+    """work(columns of one block) for every block of rows; left rows come first."""
 
     def run(batches):
-        rest = None  # rows of the group that the next batch may go on with
+        rest = None  # rows of the block that the next batch may go on with
         for batch in batches:
-            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables(
-                [rest, pa.Table.from_batches([batch])])
+            more = pa.Table.from_batches([batch])
+            rest = more if rest is None else pa.concat_tables([rest, more])
             starts = _starts(rest)
-            yield from groups(rest.slice(0, starts[-1]), starts[:-1])
+            yield from blocks(rest.slice(0, starts[-1]), starts[:-1])
             rest = rest.slice(starts[-1])
         if rest is not None:
-            yield from groups(rest, _starts(rest))
+            yield from blocks(rest, _starts(rest))
 
-    def groups(table, starts):
-        if not table.num_rows:
-            return
-        key, left, ids, comps, minor = (table.column(x).to_numpy() for x in ("key", "left", "id", "comp", "minor"))
-        sk = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(key), -1)
-        for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
-            yield from group(key[a], left[a:b], ids[a:b], comps[a:b], minor[a:b], sk[a:b])
+    def blocks(table, starts):
+        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            yield from work(table.slice(a, b - a))
 
-    both = left.unionByName(right)
-    return (both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", F.desc("left"))
-            .mapInArrow(run, "a long, b long").distinct())
+    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", F.desc("left"), "id")
+            .mapInArrow(run, schema))
 
 
 def _starts(table: pa.Table) -> list[int]:
@@ -232,6 +205,70 @@ def _starts(table: pa.Table) -> list[int]:
     return [0, *(np.flatnonzero(new) + 1).tolist()]
 
 
+def _candidates(block: pa.Table):
+    """The rows of a block that have a candidate: a class of another component whose sketch
+    agrees enough and with which this is the first shared bucket."""
+    left, ids, comps = (block.column(x).to_numpy() for x in ("left", "id", "comp"))
+    sk = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
+    n, band = int(left.sum()), block.column("key")[0].as_py() % BANDS
+    keep = np.zeros(len(ids), bool)
+    step = max(1, (1 << 16) // max(1, len(ids) - n))
+    for at in range(0, n, step):
+        x, y = slice(at, min(at + step, n)), slice(n, len(ids))
+        same = sk[x, None] == sk[None, y]
+        a, b = np.nonzero((same.sum(2) >= int(MIN_AGREE * COORDS)) & (comps[x, None] != comps[None, y]))
+        first = same[a, b].reshape(len(a), BANDS, ROWS).all(2).argmax(1) == band
+        keep[at + a[first]] = True
+        keep[n + b[first]] = True
+    if keep.any():
+        yield from block.drop_columns(["sketch"]).filter(pa.array(keep)).to_batches()
+
+
+def _links(block: pa.Table, percent: int):
+    """(a, b): links that join the components of a block, from exact comparison of its sets."""
+    left, ids, comps = (block.column(x).to_numpy() for x in ("left", "id", "comp"))
+    sets = block.column("shingles").combine_chunks()
+    ends = sets.offsets.to_numpy() - sets.offsets[0].as_py()
+    _, flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    size = np.diff(ends)
+    n, parent = int(left.sum()), {}
+
+    def top(k):
+        while parent.setdefault(k, k) != k:
+            k = parent[k]
+        return k
+
+    marked = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
+    found = []
+    others = slice(n, len(ids))
+    for x in range(n):
+        own = flat[ends[x]:ends[x + 1]]
+        marked[own] = True
+        both = np.add.reduceat(marked[flat[ends[n]:]], ends[n:-1] - ends[n]) if n < len(ids) else np.zeros(0, int)
+        marked[own] = False
+        near = 100 * both >= percent * (size[x] + size[others] - both)
+        for y in np.flatnonzero(near & (comps[others] != comps[x])) + n:
+            a, b = top(comps[x]), top(comps[y])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    if found:
+        yield pa.record_batch(list(np.array(found, np.int64).T), names=["a", "b"])
+
+
+def _rest(keys: DataFrame, comp: DataFrame, docs: DataFrame, sketched: DataFrame, words: int,
+          percent: int) -> DataFrame:
+    """The links between classes that the hubs have left in different components."""
+    part = c.written(_by_block(
+        _blocks(_open_buckets(keys, comp, sketched)), _candidates,
+        "key long, i int, j int, left boolean, id long, comp long"), "candidates")
+    ids = part.select(F.col("id").alias("doc_id")).distinct()
+    sets = c.written(shingle_sets(c.only_ids(docs.select("doc_id", "text"), ids)
+                                  .dropDuplicates(["doc_id"]), words), "candidate_sets")
+    rows = part.join(sets.withColumnRenamed("doc_id", "id"), "id")
+    return _by_block(rows, lambda block: _links(block, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs; see the module's text."""
     rows = c.written(sketches(docs, words), "sketches")
@@ -243,11 +280,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                          .dropDuplicates(["doc_id"]).select("doc_id", "sketch"), "classes")
     keys = c.written(_shared_keys(_band_keys(sketched)), "keys")
     links = _verify(_hub_pairs(keys), docs, sketched, words, percent)
-    for best_only in (True, False):
-        comp = c.components(links)
-        pairs = _block_pairs(_open_buckets(keys, comp, sketched), best_only)
-        links = c.cut(links.union(_verify(pairs, docs, sketched, words, percent)).distinct())
-    comp = c.components(links)
+    more = c.written(_rest(keys, c.components(links), docs, sketched, words, percent), "links")
+    comp = c.components(links.union(more))
     found = (rows.join(head, "set_id", "left")
              .join(comp.withColumnRenamed("node", "head"), "head", "left"))
     component = F.coalesce("component", "head", "doc_id")

@@ -41,9 +41,11 @@ def test_equals_brute_force(spark, docs_of, rng, k):
     base = [prose(rng, n) for n in (30, 120, 400, 80, 5, 3, 1)]
     rows = [(0, None), (1, ""), (2, " \n\t ")]
     for text in base:
-        rows += [(100 + len(rows), t) for t in (text, text, text.upper())]
-    for share in (0.01, 0.02, 0.03, 0.05):  # a star of near copies around one text
-        rows += [(100 + len(rows), edited(rng, base[2], share)) for _ in range(8)]
+        for t in (text, text, text.upper()):
+            rows.append((100 + len(rows), t))
+    for share in (0.01, 0.02, 0.03, 0.04, 0.05, 0.07):  # a star of near copies, many of them apart
+        for _ in range(12):
+            rows.append((100 + len(rows), edited(rng, base[2], share)))
     chain = base[1].split(" ")
     for i in range(6):  # a chain: neighbours are near, the ends are not
         chain = chain[6:] + prose(rng, 6).split(" ")
