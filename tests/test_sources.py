@@ -2,6 +2,7 @@
 
 import pytest
 
+from orderlens.sources.landing import LANDING_SCHEMAS
 from orderlens.session import scratch_path
 from orderlens.sources import jdbc, results
 
@@ -16,7 +17,10 @@ def test_ingest_copies_each_table_overwriting(spark, monkeypatch, capsys):
 
     def fake_read(spark_, url, table, props, partitioning=None):
         calls.append((table, partitioning))
-        return spark_.createDataFrame([(table, 1), (table, 2)], "source string, v int")
+        rows = spark_.createDataFrame([(table, 1), (table, 2)], "source string, v int")
+        name = table.removeprefix("dbo.")  # the declared columns, typed as a database has them, and two more
+        return rows.selectExpr("*", *[f"cast(null AS {'int' if x in ('item_quantity', 'year') else 'string'}) AS {x}"
+                                      for x in LANDING_SCHEMAS[name].fieldNames()])
 
     monkeypatch.setattr(jdbc, "read_table", fake_read)
     out = scratch_path(spark, "landing")
@@ -26,7 +30,9 @@ def test_ingest_copies_each_table_overwriting(spark, monkeypatch, capsys):
         written = jdbc.ingest(spark, "jdbc:none", {"order_items": "dbo.order_items", "date_dim": "dbo.date_dim"},
                               props, out, part)
     assert set(written) == {"order_items", "date_dim"}
-    assert spark.read.parquet(written["order_items"]).count() == 2
+    back = spark.read.parquet(written["order_items"])
+    assert back.count() == 2 and back.columns == [*LANDING_SCHEMAS["order_items"].fieldNames(), "source", "v"]
+    assert dict(back.dtypes)["item_quantity"] == "string"  # landing types, whatever the database has
     assert calls[0] == ("dbo.order_items", part["order_items"]) and calls[1] == ("dbo.date_dim", None)
     assert "s3cret" not in capsys.readouterr().out
 
