@@ -7,10 +7,11 @@ from its rank among the pieces of its length.
 
 Plan: patterns of two to four lengths that fill a sequence exactly are enumerated (each
 length with its complement, and with one or two of the PIVOTS most frequent lengths).
-Non-negative least squares fits their repeat counts to the histogram. Rounded counts are
-taken while pieces last; the residual is packed best fit, largest first: a pattern starts
-with the longest length left, is filled with the longest that still fits, and is repeated
-as often as the counts allow. The plan's size depends on CAPACITY only.
+Non-negative least squares fits their repeat counts to the histogram. Rounded counts (or the
+one of their SHARES that gives the fewest sequences) are taken while pieces last; the residual
+is packed best fit, largest first: a pattern starts with the longest length left, is filled
+with the longest that still fits, and is repeated as often as the counts allow. The plan's
+size depends on CAPACITY only.
 
 Defined cases: null and empty texts are the one id 0; repeated rows are packed one by one;
 rows without doc_id keep a null doc_id; extra columns are ignored; an empty table gives an
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from orderlens.llm import common as c
 
 CAPACITY = 2048
 PIVOTS = 6
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.0)
 GROUP = 50_000  # pieces of one length that one window group numbers, on average at most
 WORD_CACHE = 400_000  # words whose ids a worker keeps
 _FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -40,27 +43,77 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of words as little-endian bytes. The tokenizer drops white space and never joins
-    across it, so a text's ids are those of its words, and each word is encoded once."""
+    across it, so a text's ids are those of its words, and each word is encoded once. A word
+    that ends in stops after a letter is its stem and its stops, as the tokenizer always parts
+    them there; words of letters alone are encoded many at a time."""
+
+    STOPS = ".,;:!?"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # tokens that end a stretch of letters, by the vocabulary's word-end mark
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        stem = word.rstrip(self.STOPS)
+        if stem == word or not stem or not stem[-1].isalpha() or "'" in word:
+            stem = word
+        tail = word[len(stem):]
+        # the tokenizer lower-cases: one entry for all ASCII spellings
+        return stem.lower() if stem.isascii() and stem.isalpha() else stem, tail
+
+    def learn(self, words: set[str]) -> None:
+        parts = {w: self._parts(w) for w in words}
+        new = {p for both in parts.values() for p in both if p not in self.stems}
+        plain = [p for p in new if p.isalpha()]
+        other = [p for p in new if not p.isalpha()]
+        chunks = [plain[i:i + 500] for i in range(0, len(plain), 500)]
+        for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(x) for x in chunks],
+                                                                     add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(chunk):  # a word that is more than one stretch
+                other += chunk
+                continue
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(chunk, (4 * ends).tolist(), strict=True):
+                self.stems[p] = raw[at:end]
+                at = end
+        for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.stems[p] = np.array(e.ids, "<u4").tobytes()
+        for w, (stem, tail) in parts.items():
+            self.words[w] = self.stems[stem] + self.stems[tail]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.words) > WORD_CACHE or len(self.stems) > WORD_CACHE:
+            self.words, self.stems = {}, {"": b""}
+        self.learn(set().union(*split) - self.words.keys())
+        get = self.words.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids if word else []
-        self[word] = got = np.array(ids, "<u4").tobytes()
-        return got
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+_KNOWN: dict[str, WordIds] = {}
 
 
-_KNOWN: dict[str, WordIds] = {}
+def _encoded(words: WordIds, texts) -> Iterator[bytes]:
+    """Ids of each text, about a megabyte of text at a time."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t.decode("utf-8", "replace"))
+        size += len(t)
+        if size > 1 << 20:
+            yield from words.ids(some)
+            some, size = [], 0
+    if some:
+        yield from words.ids(some)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -73,8 +126,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         for batch in batches:
             keys, text = c.columns(batch, "doc_id", "text")
             out = [[], [], [], [], [], []]
-            for key, t in zip(keys.to_pylist(), c.text_bytes(text), strict=True):
-                ids = words.ids(t.decode("utf-8", "replace")) + b"\0\0\0\0"
+            for key, ids in zip(keys.to_pylist(), _encoded(words, c.text_bytes(text)), strict=True):
+                ids += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for o, v in zip(out, (key, k, at // 4, len(part) // 4, zlib.crc32(part), part), strict=True):
@@ -120,9 +173,24 @@ def fit(counts: np.ndarray, columns: list[tuple[int, ...]], steps: int = 300) ->
 
 
 def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) using exactly counts[length] pieces of each length."""
+    """(pattern, repeats) using exactly counts[length] pieces of each length.
+
+    Exact patterns can use up short pieces that longer ones need, so the fitted counts are
+    taken whole and in part (SHARES), and the plan with the fewest sequences is kept.
+    """
     left = counts.astype(np.int64).copy()
-    full, out = len(counts) - 1, []
+    full = len(counts) - 1
+    whole = [((full,), int(left[full]))] if left[full] else []
+    left[full] = 0
+    columns = patterns(left)
+    x = fit(left, columns) if columns else np.zeros(0)
+    plans = [_taken(left, columns, np.rint(share * x).astype(np.int64)) for share in SHARES]
+    return whole + min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _taken(counts: np.ndarray, columns: list[tuple[int, ...]], repeats: np.ndarray):
+    """A plan that repeats the columns as given, while pieces last, and packs the residual."""
+    left, full, out = counts.copy(), len(counts) - 1, []
 
     def take(pattern: tuple[int, ...], at_most: int | None = None) -> None:
         lengths, times = np.unique(pattern, return_counts=True)
@@ -132,23 +200,18 @@ def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
             left[lengths] -= n * times
             out.append((pattern, n))
 
-    if left[full]:
-        take((full,))
-    if columns := patterns(left):
-        x = fit(left, columns)
-        for i in np.argsort(-x, kind="stable"):
-            take(columns[i], int(round(x[i])))
+    for i in np.argsort(-repeats, kind="stable"):
+        if repeats[i] <= 0:
+            break
+        take(columns[i], int(repeats[i]))
     for longest in range(full, 0, -1):
         while left[longest]:
-            used = np.zeros_like(left)
+            free = left.copy()
+            free[longest] -= 1
             pattern, space = [longest], full - longest
-            used[longest] = 1
-            while space > 0:
-                fits = np.flatnonzero(left[:space + 1] > used[:space + 1])
-                if not len(fits):
-                    break
+            while space > 0 and len(fits := np.flatnonzero(free[:space + 1])):
                 pattern.append(int(fits[-1]))
-                used[fits[-1]] += 1
+                free[fits[-1]] -= 1
                 space -= int(fits[-1])
             take(tuple(pattern))
     return out
