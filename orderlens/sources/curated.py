@@ -14,6 +14,7 @@ Two layouts:
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -120,7 +121,7 @@ def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Sta
 def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch: str) -> None:
     """Write one batch into a bucketed fact table partitioned by ``batch``.
 
-    The partition is replaced, not appended to (dynamic partition overwrite):
+    The partition is replaced, not appended to:
     rerunning a batch after a failure rewrites the same partition, so no row is
     loaded twice. A table written by an earlier session is registered over its
     folder first.
@@ -135,9 +136,13 @@ def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch
         if _has_files(spark, path):
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     cols = [c for c in spark.table(table).columns if c != "batch"]
-    # the write's own option replaces only this batch's partition; no session setting changes
-    (df.select(*cols, F.lit(batch).alias("batch")).repartition(buckets, BUCKET_KEY)
-     .write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+    # a static partition replaces only itself, whatever the session's overwrite mode
+    view = f"{table}_{uuid.uuid4().hex[:8]}"
+    df.select(*cols).repartition(buckets, BUCKET_KEY).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch = '{batch}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
