@@ -10,8 +10,8 @@ best path for each model state. Everything else is left as it is.
 Score: features of a restored word are the word and its first 4, 5 and 6 bytes, hashed to
 BUCKETS. Spark counts in how many toxic and clean training texts each occurs; a feature's
 strength is the lower confidence bound of its log odds. A text is scored by logistic
-regression on its two strongest words and the number of strong ones, fitted on at most FIT_ROWS
-training rows. Labels, language, source and doc_id are no inputs of the score (the language
+regression on its two strongest words and the number of strong ones. Training texts are the
+at most FIT_ROWS labelled documents with the smallest hashes of their doc_id. Labels, language, source and doc_id are no inputs of the score (the language
 only picks the decoder's model). Rows whose crc32(doc_id as text) mod 5 is 0 are held out.
 
 Defined cases: null text is empty and gets the score of a text without features; rows without
@@ -32,7 +32,7 @@ from orderlens.llm import charlm, common as c
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
-FIT_ROWS = 50_000
+FIT_ROWS = 50_000  # labelled documents that are learned from
 FOLDS = 5
 STRONG = 1.0  # a feature counts as strong from this bound of its log odds on
 Z = 2.0
@@ -240,7 +240,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     models = sc.broadcast(charlm.train(docs))
     known = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)")
              .filter(~_held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
-    train = c.written(c.only_ids(docs, known).join(known, "doc_id"), "train")
+    # at most FIT_ROWS rows, so they meet the texts in the scan and no text is shuffled
+    known = c.cut(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
+    train = docs.join(F.broadcast(known), "doc_id")
     counts = _class_counts(train, models).toPandas()
     total = counts[counts["feature"] < 0]
     n_toxic, n_clean = (int(total[k].sum()) for k in ("toxic", "clean"))
