@@ -179,10 +179,10 @@ def _class_counts(train: DataFrame, models) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
-def strengths(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Lower confidence bounds of the log odds of the features."""
-    a, b = toxic + 0.5, clean + 0.5
-    return np.log(a / b) - np.log((n_toxic + 1) / (n_clean + 1)) - Z * np.sqrt(1 / a + 1 / b)
+def strength(n_toxic: int, n_clean: int):
+    """Lower confidence bound of the log odds of a row of class counts."""
+    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    return F.log(a / b) - float(np.log((n_toxic + 1) / (n_clean + 1))) - Z * F.sqrt(1 / a + 1 / b)
 
 
 def summary(text: bytes, buckets: np.ndarray, strength: np.ndarray) -> tuple[float, float, float]:
@@ -243,13 +243,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # at most FIT_ROWS rows, so they meet the texts in the scan and no text is shuffled
     known = c.cut(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
     train = docs.join(F.broadcast(known), "doc_id")
-    counts = _class_counts(train, models).toPandas()
-    total = counts[counts["feature"] < 0]
-    n_toxic, n_clean = (int(total[k].sum()) for k in ("toxic", "clean"))
-    counts = counts[counts["feature"] >= 0].sort_values("feature")
-    s = strengths(counts["toxic"].to_numpy(), counts["clean"].to_numpy(), n_toxic, n_clean)
-    strong = s >= STRONG
-    table = sc.broadcast((counts["feature"].to_numpy()[strong], s[strong]))
+    counts = c.written(_class_counts(train, models), "counts")
+    n_toxic, n_clean = (int(x or 0) for x in counts.filter("feature < 0").agg(F.sum("toxic"), F.sum("clean")).first())
+    strong = (counts.filter("feature >= 0").select("feature", strength(n_toxic, n_clean).alias("s"))
+              .filter(F.col("s") >= STRONG).toPandas().sort_values("feature"))  # at most BUCKETS rows
+    table = sc.broadcast((strong["feature"].to_numpy(np.int64), strong["s"].to_numpy(float)))
     if n_toxic and n_clean:
         rows = (_summaries(train, models, table, "toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
                 .limit(FIT_ROWS).toPandas())
