@@ -145,9 +145,8 @@ def _altered(page: str, rng: np.random.Generator) -> tuple[list[dom.Node], np.nd
 
 def train(pages: DataFrame) -> Trees | None:
     """Trees from the weak labels of at most SAMPLE pages; None if no page has any."""
-    key = F.xxhash64("url", "page_id")
-    rows = (pages.filter(F.lower("html").rlike("<(article|main)[\\s>]")).select("html", key.alias("_k"), "page_id")
-            .orderBy("_k", "page_id").limit(SAMPLE))
+    some = c.smallest_hashes(pages.select("url", "page_id", "html"), SAMPLE, "url", "page_id")
+    rows = some.select("html", F.xxhash64("url", "page_id").alias("_k"))
     x, y = [], []
     for r in rows.toLocalIterator():
         rng = np.random.default_rng(r["_k"] & 0xFFFFFFFF)

@@ -157,7 +157,7 @@ def quality(docs: DataFrame) -> DataFrame:
     post = estimate(codes, counted["n"].to_numpy(float)) if len(codes) else np.zeros(0)
     table = dict(zip(codes.tolist(), post.tolist(), strict=True))
 
-    sample = docs.select("_key", "text").orderBy("_key").limit(FIT_ROWS)
+    sample = c.smallest_hashes(docs.select("_key", "text"), FIT_ROWS, "_key")
     rows, target = [], []
     for r in sample.mapInArrow(_featured, "keys array<long>, weights array<double>, pattern long").toLocalIterator():
         rows.append((np.array(r["keys"]), np.array(r["weights"])))

@@ -6,7 +6,7 @@ definition; they are found by substring search before any text is split.
 
 Training: the sentences of the templates, each again with every single word left out, and the
 class `unknown`: sentences that use licence words otherwise, and at most NEGATIVES ordinary
-sentences of the corpus (the smallest hashes). Features are hashed word unigrams and bigrams, the
+sentences of NEGATIVES / 4 documents (the smallest hashes). Features are hashed word unigrams and bigrams, the
 classifier is a sparse multinomial logistic regression. Every fifth variant is held out to fit
 the temperature that calibrates the probabilities, `unknown` included.
 
@@ -132,9 +132,10 @@ def _training(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("_w") - 1), keep)).alias("passage"))
     lines, end = _sentences("text")
     key = F.xxhash64("passage")
-    plain = (c.texts(docs).select(lines.alias("_l", "_line"))
+    some = c.smallest_hashes(c.texts(docs), NEGATIVES // 4, "doc_id", "text")
+    plain = (some.select(lines.alias("_l", "_line"))
              .select(F.explode(F.split("_line", end)).alias("passage"))
-             .filter(~_stemmed(F.col("passage")) & (F.length("passage") > 20) & (F.pmod(key, F.lit(64)) == 0))
+             .filter(~_stemmed(F.col("passage")) & (F.length("passage") > 20))
              .distinct().orderBy(key, "passage").limit(NEGATIVES).select(F.lit(UNKNOWN).alias("family"), "passage"))
     rows = base.select("family", "passage").unionByName(variants).unionByName(plain)
     return rows.withColumn("held", F.pmod(F.xxhash64("passage", F.lit(1)), F.lit(5)) == 0)

@@ -241,7 +241,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)")
              .filter(~_held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     # at most FIT_ROWS rows, so they meet the texts in the scan and no text is shuffled
-    known = c.cut(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
+    known = c.cut(c.smallest_hashes(known, FIT_ROWS, "doc_id"))
     train = docs.join(F.broadcast(known), "doc_id")
     counts = c.written(_class_counts(train, models), "counts")
     n_toxic, n_clean = (int(x or 0) for x in counts.filter("feature < 0").agg(F.sum("toxic"), F.sum("clean")).first())
@@ -249,8 +249,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
               .filter(F.col("s") >= STRONG).toPandas().sort_values("feature"))  # at most BUCKETS rows
     table = sc.broadcast((strong["feature"].to_numpy(np.int64), strong["s"].to_numpy(float)))
     if n_toxic and n_clean:
-        rows = (_summaries(train, models, table, "toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-                .limit(FIT_ROWS).toPandas())
+        # one row for each of at most FIT_ROWS documents
+        rows = _summaries(train, models, table, "toxic").dropDuplicates(["doc_id"]).toPandas()
         w = logistic(rows[["x1", "x2", "x3"]].to_numpy(), rows["toxic"].to_numpy())
         z = sum(F.lit(float(v)) * F.col(k) for v, k in zip(w, ("x1", "x2", "x3"))) + F.lit(float(w[3]))
         score = 1 / (1 + F.exp(-z))
