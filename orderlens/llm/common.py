@@ -21,6 +21,7 @@ _U = np.uint64
 _MASK = (1 << 64) - 1
 # Broadcast tables of id slots have at most this many rows, whatever the input size.
 ID_SLOTS = 1 << 20
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,8 +29,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def for_workers(spark: SparkSession) -> None:
-    """Python workers of a local session find this package where the driver found it; on a
-    cluster it is installed or sent with --py-files."""
+    """Settings of the Python workers, where the session has none of its own: Arrow batches of
+    whole texts stay small, and workers of a local session find this package where the driver
+    found it (on a cluster it is installed or sent with --py-files)."""
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default
+        spark.conf.set(ARROW_ROWS, "1000")
     env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
