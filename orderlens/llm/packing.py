@@ -34,7 +34,7 @@ CAPACITY = 2048
 PIVOTS = 6
 SHARES = (1.0, 0.75, 0.5, 0.25, 0.0)
 GROUP = 50_000  # pieces of one length that one window group numbers, on average at most
-WORD_CACHE = 150_000  # words whose ids a worker keeps
+WORD_CACHE = 300_000  # words whose ids a worker keeps
 _FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
