@@ -1,12 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, rarest first, and Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits. All NGRAM-word strings of the test items
-are looked up in every text; Spark counts in how many documents each of them occurs. Seeds
-are the rare ones: of each item the rarer half, and the rarest of every SPAN consecutive
-n-grams, so that each stretch of an item has a seed however common its words are. A document
-with a seed of an item is aligned with that item by words around the places the seeds point
-to (match +2, other or missing word -1), so edited and paraphrased copies score too. A score
-is divided by that of the whole item; from MIN_SCORE on the document holds the item.
+are looked up in every text; Spark counts in how many documents each of them occurs. Every
+n-gram of an item that a document itself holds is a seed of the pair, however common it is or
+how many others an edit destroyed. The document is aligned with the item by words around the
+places the seeds point to, the rarest first (match +2, other or missing word -1), so edited
+and paraphrased copies score too. A stretch is left out only where the item's words that
+occur in it could not reach MIN_SCORE or the best score so far. A score is divided by that of
+the whole item; from MIN_SCORE on the document holds the item. A copy without any NGRAM words
+of the item in a row has no seed.
 
 Items are the stated query set: they are taken in blocks of at most BLOCK_WORDS words, and
 one block's n-grams are broadcast at a time. Documents are never joined with each other.
@@ -18,6 +20,8 @@ without doc_id keeps a null doc_id; extra columns are ignored; empty tables give
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,7 +30,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderlens.llm import common as c
 
 NGRAM = 3
-SPAN = 6
 MIN_WORDS = 5
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
@@ -57,27 +60,34 @@ class Items:
         self.grams, first = np.unique(flat[order], return_index=True)
         self.first = np.append(first, len(flat))  # gram k is at places first[k]:first[k + 1]
         self.item, self.at = item[order], np.concatenate([*at, np.zeros(0, np.int64)])[order].astype(np.int64)
-        self.seed = np.ones(len(self.grams), bool)
+        self.documents = np.zeros(len(self.grams), np.int64)  # that hold each gram; set once they are counted
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of hashes that are seeds, and which."""
+        """Places of hashes that are n-grams of items, and which."""
         if not len(self.grams):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         k = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
-        hit = np.flatnonzero((self.grams[k] == hashes) & self.seed[k])
+        hit = np.flatnonzero(self.grams[k] == hashes)
         return hit, k[hit]
 
-    def choose(self, documents: np.ndarray) -> None:
-        """Keep the rare n-grams as seeds, by the number of documents that hold each."""
-        gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))
-        places = pd.DataFrame({"item": self.item, "at": self.at, "gram": gram, "n": documents[gram]})
-        keep = np.zeros(len(self.grams), bool)
-        keep[places["gram"][places["n"] <= places.groupby("item")["n"].transform("median")]] = True
-        for _, own in places.sort_values("at").groupby("item"):
-            n, g = own["n"].to_numpy(), own["gram"].to_numpy()
-            for i in range(max(1, len(n) - SPAN + 1)):
-                keep[g[i + n[i:i + SPAN].argmin()]] = True
-        self.seed = keep
+    def stretches(self, text: np.ndarray, at: np.ndarray, gram: np.ndarray) -> Iterator[tuple[int, list]]:
+        """(item, [(bound, a, b)]) of each item with n-grams at these places of a text: the stretches
+        in which the item may reach MIN_SCORE and no more than bound, that of the rarest n-gram first."""
+        n = self.first[gram + 1] - self.first[gram]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[gram], n)
+        item, start, rare = self.item[place], np.repeat(at, n) - self.at[place], np.repeat(self.documents[gram], n)
+        order = np.lexsort((start, item))
+        item, start, rare = item[order], start[order], rare[order]
+        edge = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1], [True]))) if len(item) else []
+        for x, y in zip(edge[:-1], edge[1:], strict=True):
+            own = self.words[item[x]]
+            out = []
+            for a, b, least in _windows(start[x:y], rare[x:y], len(own), len(text)):
+                bound = MATCH * int(np.isin(own, text[a:b]).sum())
+                if bound >= MIN_SCORE * MATCH * len(own):
+                    out.append((least, a, b, bound))
+            if out:
+                yield int(item[x]), [(bound, a, b) for _, a, b, bound in sorted(out)]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -106,34 +116,39 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _windows(places: np.ndarray, size: int, n: int) -> list[tuple[int, int]]:
-    """Stretches of a text of n words around the item starts that seeds point to."""
+def _windows(places: np.ndarray, rare: np.ndarray, size: int, n: int) -> list[list[int]]:
+    """[a, b, least of rare]: stretches of a text of n words around the item starts (ascending) that
+    seeds point to. An alignment from MIN_SCORE on has at most size words that the item has not."""
     out: list[list[int]] = []
-    for p in np.sort(places).tolist():
-        a, b = max(0, p - size // 2), min(n, p + size + size // 2)
+    for p, r in zip(places.tolist(), rare.tolist(), strict=True):
+        a, b = max(0, p - size), min(n, p + 2 * size)
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+            out[-1][1:] = max(out[-1][1], b), min(out[-1][2], r)
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append([a, b, r])
+    return out
 
 
 def _lookup(keyed: DataFrame, items) -> DataFrame:
-    """(_key, grams): the item n-grams that each document holds, where it holds any."""
+    """(_key, near, grams): the item n-grams that each document holds, where it holds any, and
+    whether it has a stretch in which an item may reach MIN_SCORE."""
 
     def run(batches):
         known = items.value
         for batch in batches:
             keys, text = c.columns(batch, "_key", "text")
-            found = [distinct(known.find(c.window_hashes(words(t), NGRAM))[1]) for t in c.text_bytes(text)]
-            some = [i for i, f in enumerate(found) if len(f)]
-            yield pa.record_batch([keys.take(pa.array(some, pa.int64())),
-                                   c.list_array([found[i] for i in some], pa.int64())], names=["_key", "grams"])
-
-    def distinct(k):
-        return c.distinct_sorted(k).astype(np.int64)
+            some, near, grams = [], [], []
+            for i, t in enumerate(c.text_bytes(text)):
+                w = words(t)
+                at, gram = known.find(c.window_hashes(w, NGRAM))
+                if len(gram):
+                    some.append(i)
+                    near.append(next(known.stretches(w, at, gram), None) is not None)
+                    grams.append(c.distinct_sorted(gram).astype(np.int64))
+            yield pa.record_batch([keys.take(pa.array(some, pa.int64())), pa.array(near, pa.bool_()),
+                                   c.list_array(grams, pa.int64())], names=["_key", "near", "grams"])
 
-    return keyed.mapInArrow(run, "_key long, grams array<long>")
+    return keyed.mapInArrow(run, "_key long, near boolean, grams array<long>")
 
 
 def _aligned(near: DataFrame, items) -> DataFrame:
@@ -145,16 +160,14 @@ def _aligned(near: DataFrame, items) -> DataFrame:
             for doc, t in zip(ids.to_pylist(), c.text_bytes(text), strict=True):
                 w = words(t)
                 at, gram = known.find(c.window_hashes(w, NGRAM))
-                n = known.first[gram + 1] - known.first[gram]
-                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(known.first[gram], n)
-                item, start = known.item[place], np.repeat(at, n) - known.at[place]
-                for i in np.unique(item).tolist():
+                for i, stretches in known.stretches(w, at, gram):
                     own = known.words[i]
                     full = MATCH * len(own)
                     best = (0, 0, 0)
-                    for a, b in _windows(start[item == i], len(own), len(w)):
-                        score, x, y = align(own, w[a:b])
-                        best = max(best, (score, a + x, a + y), key=lambda r: r[0])
+                    for bound, a, b in stretches:
+                        if bound >= best[0]:
+                            score, x, y = align(own, w[a:b])
+                            best = max(best, (score, a + x, a + y), key=lambda r: (r[0], -r[1]))
                     if best[0] >= MIN_SCORE * full:
                         rows.append((doc, int(known.ids[i]), best[0] / full, best[1], best[2]))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
@@ -181,13 +194,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         groups = [g for g, b in blocks.items() if b == block]
         known = Items(bench.filter(group.isin(groups)).toPandas())
         held = c.written(_lookup(keyed, spark.sparkContext.broadcast(known)), "held")
-        documents = np.zeros(len(known.grams), np.int64)
         counts = held.select(F.explode("grams").alias("gram")).groupBy("gram").count().toPandas()
-        documents[counts["gram"].to_numpy(np.int64)] = counts["count"]
-        known.choose(documents)
-        seeds = spark.createDataFrame(pd.DataFrame({"gram": np.flatnonzero(known.seed)}), "gram long")
-        near = (held.select("_key", F.explode("grams").alias("gram"))
-                .join(F.broadcast(seeds), "gram", "left_semi").select("_key").distinct())
+        known.documents[counts["gram"].to_numpy(np.int64)] = counts["count"]
+        near = held.filter("near").select("_key").distinct()
         near = c.only_ids(keyed, c.cut(near), "_key").dropDuplicates(["_key"])
         found = _aligned(near, spark.sparkContext.broadcast(known))
         out = found if out is None else out.unionByName(found)

@@ -55,6 +55,31 @@ def test_equals_brute_force_over_all_pairs(spark, docs_of, rng):
     assert not any(i is not None and i < 100 for i, _ in got)
 
 
+def test_edited_copies_equal_brute_force(spark, docs_of, rng):
+    # one copy of each item: a word of every 4, 5 or 6 replaced, or two added after every 4; half of the
+    # items also have an exact copy beside it
+    items = [(i, prose(rng, 37), 1.0) for i in range(8)]
+    rows = [(i, prose(rng, 150)) for i in range(10)]
+    for i, text, _ in items:
+        words, n = text.split(" "), i // 2 + 4
+        copy = (" ".join(f"other{k}" if k % n == n - 1 else w for k, w in enumerate(words)) if n < 7 else
+                " ".join(f"{w} added{k} more{k}" if k % 4 == 3 else w for k, w in enumerate(words)))
+        rows.append((100 + i, prose(rng, 40) + " " + copy + " " + prose(rng, 40)))
+        if i % 2:
+            rows.append((200 + i, text))
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(docs_of(rows), bench(spark, items)).collect()}
+    want = {}
+    for i, text in rows:
+        w = d.words(text.encode())
+        for k, item, _ in items:
+            own = d.words(item.encode())
+            score = smith_waterman(own.tolist(), w.tolist()) / (2 * len(own))
+            if score >= d.MIN_SCORE:
+                want[i, k] = score
+    assert got == want
+    assert all((100 + i, i) in got for i in range(8))
+
+
 def test_empty_tables(spark, docs_of):
     assert d.contaminated(docs_of([]), bench(spark, [(1, "one two three four five six", 0.0)])).collect() == []
     assert d.contaminated(docs_of([(1, "one two three four five six")]), bench(spark, [])).collect() == []
