@@ -14,6 +14,8 @@ _SPACE = re.compile(r"\s+")
 # fixed values: element classes of the HTML standard
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "button"}
+# a RAW element ends at its own closing tag, whatever its text looks like before
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
           "sub", "sup", "time", "tt", "u", "var"}
@@ -63,9 +65,9 @@ def parse(page: str) -> list[Node]:
                 place += 1
             parts, linked = [], 0
 
-    here, skip = 0, ""
-    for m in _TAG.finditer(page):
-        if not skip and m.start() > here:
+    here = 0
+    while m := _TAG.search(page, here):
+        if m.start() > here:
             parts.append(page[here:m.start()])
             if link:
                 linked += m.start() - here
@@ -74,14 +76,11 @@ def parse(page: str) -> list[Node]:
         if tag is None:
             continue
         tag = tag.lower()
-        if skip:
-            if m[1] and tag == skip:
-                skip = ""
-            continue
         if not m[1]:
             if tag in RAW:
                 if not m[3].rstrip().endswith("/"):
-                    skip = tag
+                    close = _CLOSE[tag].search(page, here)
+                    here = close.end() if close else len(page)
             elif tag == "br" or tag == "img":
                 parts.append(" ")
             elif tag in VOID:
@@ -104,8 +103,7 @@ def parse(page: str) -> list[Node]:
             if up.parent:
                 flush()
                 at = up.parent
-    if not skip:
-        parts.append(page[here:])
+    parts.append(page[here:])
     flush()
     return nodes
 

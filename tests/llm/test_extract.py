@@ -44,6 +44,27 @@ def test_blocks_and_references():
     assert x.main_text(nodes, np.ones(len(nodes), bool)) == "a b <c> éé\n\nx y z\n\n1\n\n2\n\ntail"
 
 
+def test_raw_elements_end_at_their_own_closing_tag():
+    raw = ["<script>for(i=0;i<n;i++){}</script>", "<SCRIPT type='a'>if(a<b)c='<p>\"</p>'</Script >", "<style>a<b{}</style>",
+           "<script>x<arr.length;'</scripts>'\n</script\n>", "<textarea>i<n and <p>it's</textarea>", "<title>a <b</title>",
+           "<script><!-- if(i<n) x='</p>' //--></script>", "<svg><path d='m'/><text>a<b</text></svg>", "<script>i<n</script/>",
+           "<noscript><img src=a></noscript>", "<iframe>a<b</iframe>", "<button>a<b</button>", "<select><option>a<b</select>",
+           "<template><p>a<b</template>"]
+    for x_ in [*raw, "".join(raw)]:
+        nodes = dom.parse(f"<div>Before</div>{x_}<p>Article <b>text</b></p>{x_}<p>Last</p>")
+        assert x.main_text(nodes, np.ones(len(nodes), bool)) == "Before\n\nArticle text\n\nLast", x_
+    for open_end in ("<script>i<n", "<style>a<b{}</styles>", "<textarea>a</textarea"):
+        nodes = dom.parse("<p>Before</p>" + open_end)
+        assert x.main_text(nodes, np.ones(len(nodes), bool)) == "Before"
+
+
+def test_script_with_a_comparison_leaves_the_article(spark):
+    page = PAGE.replace('var a="</p>";', "for(i=0;i<n;i++){{}}")
+    rows = [(i, f"http://h/{i}", (page if i % 2 else PAGE).format(i=i, more=""), None) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in x.extract(pages_of(spark, rows)).collect()}
+    assert all(got[i].startswith(f"Title & number {i}\n\nFirst paragraph of page {i},") for i in range(40))
+
+
 def test_decoding_is_consistent_and_best():
     import itertools
     r = np.random.default_rng(3)
