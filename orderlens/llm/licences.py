@@ -1,8 +1,9 @@
 """Licence scans: a trained passage classifier, confirmed by comparison with templates.
 
 Everything runs as DataFrame and SQL functions and the DataFrame form of MLlib. A passage is
-a sentence of a line. Only passages with one of the STEMS can be licence passages, by
-definition; they are found by substring search before any text is split.
+a sentence of a line. The classifier sees every passage that has a word. Those that it gives a
+family with a template that shares a bigram with them, and those with one of the STEMS, whatever
+they are given, are in the result.
 
 Training: the sentences of the templates, each again with every single word left out, and the
 class `unknown`: sentences that use licence words otherwise, and at most NEGATIVES ordinary
@@ -35,7 +36,7 @@ MIN_SIMILARITY = 0.6
 TEMPERATURES = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0]
 UNKNOWN = "unknown"
 
-# fixed values: word stems without which a passage is no licence passage
+# fixed values: word stems with which a passage is in the result even if its class is `unknown`
 STEMS = ("licen", "copyright", "rights reserved", "permission", "redistribut", "warrant", "cc by", "cc-by", "cc0",
          "creative commons", "public domain", "spdx")
 # fixed values: notices of well-known licences, by family
@@ -43,22 +44,29 @@ TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT",
             "This project is available under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files, to deal in the Software without restriction."],
+            "associated documentation files, to deal in the Software without restriction.",
+            "The software is provided \"as is\", without warranty of any kind.", "Released under the MIT.",
+            "Distributed under MIT.", "Distributed under the MIT.", "Available under the terms of the MIT."],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0",
                    "You may not use this file except in compliance with the License.",
-                   "Released under the Apache License 2.0.",
+                   "Released under the Apache License 2.0.", "Available under Apache 2.0 terms.",
+                   "Distributed under Apache 2.0.",
                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
     "GPL": ["This work is licensed under the GNU General Public License, version 3.",
             "Licensed under the GNU General Public License version 2.", "SPDX-License-Identifier: GPL-3.0-or-later",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
             "General Public License as published by the Free Software Foundation.",
-            "Released under the GNU GPL, a copyleft license, version 3 or later."],
+            "Released under the GNU GPL, a copyleft license, version 3 or later.",
+            "Released under the terms of the GNU GPL v3.", "Distributed under the GPL."],
     "LGPL": ["Licensed under the GNU Lesser General Public License, version 2.1.",
              "SPDX-License-Identifier: LGPL-2.1-only",
              "You can redistribute it under the terms of the GNU Lesser General Public License."],
     "BSD": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met.", "Released under the BSD 2-Clause license."],
+            "that the following conditions are met.", "Released under the BSD 2-Clause license.",
+            "Available under BSD terms.", "Distributed under BSD.", "Distributed under the BSD.",
+            "Redistributions must retain the above copyright notice, this list of conditions and the following "
+            "disclaimer."],
     "MPL-2.0": ["Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0",
                 "This Source Code Form is subject to the terms of the Mozilla Public License."],
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 "
@@ -105,13 +113,16 @@ def _sentences(text):
     return lines, r"(?<=[.!?])\s+"
 
 
+def sentences(docs: DataFrame) -> DataFrame:
+    """doc_id, line, sentence, passage of every passage."""
+    lines, end = _sentences("text")
+    return (c.texts(docs).select("doc_id", lines.alias("line", "_line"))
+            .select("doc_id", "line", F.posexplode(F.split("_line", end)).alias("sentence", "passage")))
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """doc_id, line, sentence, passage of every passage that has a licence stem."""
-    lines, end = _sentences("text")
-    return (c.texts(docs).filter(_stemmed(F.col("text"))).select("doc_id", lines.alias("line", "_line"))
-            .filter(_stemmed(F.col("_line")))
-            .select("doc_id", "line", F.posexplode(F.split("_line", end)).alias("sentence", "passage"))
-            .filter(_stemmed(F.col("passage"))))
+    return sentences(docs).filter(_stemmed(F.col("passage")))
 
 
 def _grams(df: DataFrame) -> DataFrame:
@@ -178,9 +189,14 @@ def _softmax(z, temperature: float):
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, line, sentence, passage, family, predicted, probability, similarity, confirmed
-    of every passage with a licence stem."""
+    of every passage that the classifier gives a family with a similar template, or that has a licence stem."""
     spark = docs.sparkSession
-    found = Classifier(spark, docs).predict(_grams(passages(docs)))
+    every = _grams(sentences(docs).filter(F.col("passage").rlike("[A-Za-z0-9]")))
+    found = Classifier(spark, docs).predict(every)
+    # a generated column: a filter on it is not moved below the model and computed twice
+    found = found.select("doc_id", "line", "sentence", "passage", "_bigrams", F.explode(F.array(
+        F.struct("predicted", "probability"))).alias("_found")).select(
+        "doc_id", "line", "sentence", "passage", "_bigrams", "_found.*")
     known = _grams(templates(spark).filter(F.col("family") != UNKNOWN)).select(
         "family", F.array_distinct("_bigrams").alias("_t"))
     known = known.groupBy("family").agg(F.collect_list("_t").alias("_ts"))  # TEMPLATES: a fixed table
@@ -189,7 +205,8 @@ def scan(docs: DataFrame) -> DataFrame:
         F.size(F.array_intersect(t, own)) / F.size(t),
         F.when(F.size(own) > 2, F.size(F.array_intersect(t, own)) / F.size(own)).otherwise(0.0)))
     out = (found.join(F.broadcast(known), found["predicted"] == known["family"], "left").drop("family")
-           .withColumn("similarity", F.coalesce(F.array_max(share), F.lit(0.0))))
+           .withColumn("similarity", F.coalesce(F.array_max(share), F.lit(0.0)))
+           .filter((F.col("similarity") > 0) | _stemmed(F.col("passage"))))
     confirmed = ((F.col("predicted") != UNKNOWN) & (F.col("probability") >= MIN_PROBABILITY)
                  & (F.col("similarity") >= MIN_SIMILARITY))
     return out.select("doc_id", "line", "sentence", "passage",

@@ -43,5 +43,17 @@ def test_passages_equal_brute_force(docs_of, rng):
     assert sorted(tuple(r) for r in m.passages(docs_of(rows)).collect()) == sorted(want)
 
 
+def test_passages_without_a_stem_meet_the_classifier(docs_of, rng):
+    plain = [(i, "\n".join(prose(rng, 30) for _ in range(3))) for i in range(40)]
+    said = {100: ("Released under the GNU GPL, version 3 or later.", "GPL"), 101: ("Released under the MIT.", "MIT")}
+    rows = [(i, prose(rng, 20) + "\n" + t + "\n" + prose(rng, 20)) for i, (t, _) in said.items()]
+    rows += [(102, "Distributed under MIT."), (103, "Released under the terms of the GNU GPL v3.")]
+    assert not any(s in t.lower() for _, t in rows for s in m.STEMS)
+    got = {r["doc_id"]: r for r in m.scan(docs_of(plain + rows)).collect()}
+    assert set(got) == {100, 101, 102, 103}
+    assert all((got[i]["passage"], got[i]["family"]) == want for i, want in said.items())
+    assert (got[102]["predicted"], got[103]["predicted"]) == ("MIT", "GPL")
+
+
 def test_empty_table(docs_of):
     assert m.scan(docs_of([])).collect() == []
