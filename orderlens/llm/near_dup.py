@@ -184,9 +184,10 @@ def _by_block(rows: DataFrame, work, schema: str) -> DataFrame:
         for batch in batches:
             more = pa.Table.from_batches([batch])
             rest = more if rest is None else pa.concat_tables([rest, more])
-            starts = _starts(rest)
-            yield from blocks(rest.slice(0, starts[-1]), starts[:-1])
-            rest = rest.slice(starts[-1])
+            *done, last = _starts(rest)
+            if done:  # else all rows read so far are of one block, which may go on
+                yield from blocks(rest.slice(0, last), done)
+                rest = rest.slice(last)
         if rest is not None:
             yield from blocks(rest, _starts(rest))
 

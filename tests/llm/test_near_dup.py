@@ -2,6 +2,7 @@ import collections
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderlens.llm import common as c, near_dup
@@ -64,6 +65,34 @@ def test_repeated_rows_null_ids_and_empty_tables(docs_of):
     assert near_dup.near_duplicates(docs_of([]), 4).collect() == []
 
 
+@pytest.mark.parametrize("sizes,batch", [([3], 1000), ([4], 4), ([7], 2), ([2, 5], 1000), ([6, 1, 9], 4)])
+def test_blocks_whole_whatever_the_arrow_batches(spark, docs_of, sizes, batch):
+    docs_of([])
+    rows = [(key, 0, 0, x == 0, 100 * key + x) for key, n in enumerate(sizes) for x in range(n)]
+    df = spark.createDataFrame(rows, "key long, i int, j int, left boolean, id long").coalesce(1)
+
+    def work(block):
+        yield pa.record_batch([pa.array([block.num_rows]), pa.array([block.column("id")[0].as_py()])], names=["n", "first"])
+
+    before = {k: spark.conf.get(k) for k in (c.ARROW_ROWS, "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set(c.ARROW_ROWS, str(batch))
+        spark.conf.set("spark.sql.shuffle.partitions", "1")  # all blocks in one task
+        got = sorted(tuple(r) for r in near_dup._by_block(df, work, "n long, first long").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted((n, 100 * key) for key, n in enumerate(sizes))
+
+
+def test_one_large_group_of_near_copies(docs_of, rng):
+    base = prose(rng, 60).split(" ")
+    rows = [(i, " ".join([*base[:i % 50], "w%d" % i, *base[i % 50 + 1:]])) for i in range(80)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in near_dup.near_duplicates(docs_of(rows), 5).collect()}
+    assert got == brute(rows, 5)
+
+
 def test_sketch_agreement_follows_similarity():
     rng = np.random.default_rng(0)
     for n, share in ((5, 0.8), (40, 0.5), (1000, 0.9), (3000, 0.2)):
