@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from orderlens.llm import common as c
-from orderlens.llm import (decontam, extract, labelmodel, licences, near_dup, packing, quality_rules, suffix_dedup,
+from orderlens.llm import (decontam, exact_dedup, extract, labelmodel, licences, near_dup, packing, quality_rules, suffix_dedup,
                            toxicity, urllists)
 
 
@@ -57,9 +57,14 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(c.read(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark, sf_dir):
+    """Equal texts without white space: the group of every document and the row that stays."""
+    return exact_dedup.exact_duplicates(c.read(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql():
-    return {"op5_url_filters": urllists.ORACLE_SQL}
+    return {"op5_url_filters": urllists.ORACLE_SQL, "op13_exact_dedup": exact_dedup.ORACLE_SQL}
