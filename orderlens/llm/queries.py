@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from orderlens.llm import common as c
-from orderlens.llm import (decontam, exact_dedup, extract, labelmodel, licences, near_dup, packing, quality_rules, suffix_dedup,
-                           toxicity, urllists)
+from orderlens.llm import (alignment, decontam, exact_dedup, extract, labelmodel, licences, near_dup, packing, periodic, quality_rules,
+                           suffix_dedup, toxicity, urllists)
 
 
 def op1_benchmark_decontamination(spark, sf_dir):
@@ -57,6 +57,16 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(c.read(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    """Byte alignment of two tokenizers over all documents, with corpus-wide counts of linked ids."""
+    return alignment.align(c.read(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, every tenth with a planted period."""
+    return periodic.digest(periodic.periodic_runs(c.read(spark, sf_dir, "documents"), rewrite=periodic.planted))
+
+
 def op13_exact_dedup(spark, sf_dir):
     """Equal texts without white space: the group of every document and the row that stays."""
     return exact_dedup.exact_duplicates(c.read(spark, sf_dir, "documents"))
