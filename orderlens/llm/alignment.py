@@ -8,6 +8,11 @@ laid end to end, so one sorted list of all of them serves. Offsets found in both
 tokens into groups; the difference of neighbouring ranks is the range of tokens that one token
 overlaps, and each token is linked with its whole range.
 
+A single space between two characters that are no space starts a token on both sides (the byte-level
+side's splitting pattern gives it to what follows, and no piece has a space behind another
+character), so such a text is encoded word by word and a worker keeps the ids of the words it has
+met; new words are encoded many at a time. Other texts are encoded as they are.
+
 A pair's count is the number of documents that hold it linked. Each document's distinct pairs, with
 how often they occur in it, are written once; Spark counts the pairs (partially aggregated before
 the shuffle), and the counts meet the stored pairs in blocks of at most BLOCK pairs, a hash range
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderlens.llm import common as c
 
+WORD_CACHE = 400_000  # words whose ids a worker keeps
 BLOCK = 2_000_000  # pairs whose counts are sent to the workers at once
 _ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
             "pairs array<long>, times array<int>")
@@ -76,6 +83,59 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+class Words:
+    """Ids of texts as little-endian 32-bit numbers, None where the tokens do not join to the space
+    and the text. Words are encoded once while they are kept."""
+
+    def __init__(self, side: ByteLevel | Pieces) -> None:
+        self.side = side
+        self.size = np.array([len(x) for x in side.bytes])
+        # no token goes on from a character that is no space into a space
+        self.apart = not any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in side.bytes)
+        self.known: dict[str, bytes | None | bool] = {}  # False: the spaces beside it need not start a token
+
+    def _whole(self, text: str) -> bytes | None:
+        ids = self.side.encode([text])[0]
+        same = b"".join([self.side.bytes[x] for x in ids]) == b" " + text.encode()
+        return np.array(ids, "<i4").tobytes() if same else None
+
+    def _learn(self, words: set[str]) -> None:
+        unsure = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
+        self.known |= dict.fromkeys(unsure, False)
+        words = list(words.difference(unsure))
+        groups = [words[i:i + 500] for i in range(0, len(words), 500)]
+        joined = [" ".join(g) for g in groups]
+        for group, text, found in zip(groups, joined, self.side.encode(joined), strict=True):
+            ids = np.array(found, "<i4")
+            ends = np.cumsum(self.size[ids])
+            cuts = np.cumsum([len(w.encode()) + 1 for w in group])
+            at = np.searchsorted(ends, cuts)
+            if (b"".join([self.side.bytes[x] for x in found]) == b" " + text.encode()
+                    and (ends[np.minimum(at, len(ends) - 1)] == cuts).all()):
+                raw, a = ids.tobytes(), 0
+                for word, b in zip(group, (4 * (at + 1)).tolist(), strict=True):
+                    self.known[word] = raw[a:b]
+                    a = b
+            else:  # a word whose tokens do not join to it
+                self.known |= {w: self._whole(w) for w in group}
+
+    def ids(self, texts: list[str]) -> list[bytes | None]:
+        if not self.apart:
+            return [self._whole(t) for t in texts]
+        split = [t.split(" ") for t in texts]
+        if len(self.known) > WORD_CACHE:
+            self.known = {}
+        self._learn(set().union(*split) - self.known.keys())
+        get, out = self.known.__getitem__, []
+        for t, words in zip(texts, split, strict=True):
+            parts = list(map(get, words))
+            try:
+                out.append(b"".join(parts))
+            except TypeError:  # parts that are no bytes
+                out.append(self._whole(t) if False in parts else None)
+        return out
+
+
 def gallop(wanted: np.ndarray, among: np.ndarray, guess: np.ndarray) -> np.ndarray:
     """How many of ``among`` (ascending) are smaller than each wanted value: exponential steps from
     the guess until the value is bracketed, then a binary search of the bracket."""
@@ -124,7 +184,7 @@ def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Aligner:
     def __init__(self, a, b) -> None:
         self.a, self.b = a, b
-        self.size = [np.array([len(x) for x in side.bytes]) for side in (a, b)]
+        self.words = Words(a), Words(b)
         # group text: each id as "id," within and "id|" or "id;" at the end of its side of a group
         self.text, self.base = [], []
         for side, close in ((a, b"|"), (b, b";")):
@@ -132,23 +192,16 @@ class Aligner:
                 self.base.append(len(self.text))
                 self.text += [b"%d" % i + mark for i in range(len(side.bytes))]
 
-    def tokens(self, texts: list[str]) -> Iterator[tuple[int, list[int], list[int]]]:
-        """(index, A ids, B ids) of the texts whose tokens on both sides join to space and text."""
-        some = [i for i, t in enumerate(texts) if t]
-        picked = [texts[i] for i in some]
-        one, two = self.a.bytes.__getitem__, self.b.bytes.__getitem__
-        for i, t, x, y in zip(some, picked, self.a.encode(picked), self.b.encode(picked), strict=True):
-            want = b" " + t.encode()
-            if b"".join(map(one, x)) == want and b"".join(map(two, y)) == want:
-                yield i, x, y
-
-    def align(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
+    def align(self, texts: list[str | None]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs and their times per text."""
         none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32))
         out = [none] * len(texts)
+        some = [i for i, t in enumerate(texts) if t]
+        picked = [texts[i] for i in some]
         sides: tuple[list, list] = [], []  # documents in which A, or B, is the shorter list
-        for row in self.tokens(texts):
-            sides[len(row[1]) > len(row[2])].append(row)
+        for i, x, y in zip(some, self.words[0].ids(picked), self.words[1].ids(picked), strict=True):
+            if x is not None and y is not None:
+                sides[len(x) > len(y)].append((i, x, y))
         for b_short, rows in enumerate(sides):
             if rows:
                 for (i, _, _), found in zip(rows, self._aligned(rows, bool(b_short)), strict=True):
@@ -157,9 +210,9 @@ class Aligner:
 
     def _aligned(self, rows, b_short: bool):
         # A and B tokens of all documents end to end; number of the document of each
-        n = [np.array([len(r[x]) for r in rows]) for x in (1, 2)]
-        ids = [np.fromiter((t for r in rows for t in r[x]), np.int64, n[x - 1].sum()) for x in (1, 2)]
-        ends = [np.cumsum(size[x]) for size, x in zip(self.size, ids, strict=True)]
+        n = [np.array([len(r[x]) // 4 for r in rows]) for x in (1, 2)]
+        ids = [np.frombuffer(b"".join([r[x] for r in rows]), "<i4").astype(np.int64) for x in (1, 2)]
+        ends = [np.cumsum(side.size[x]) for side, x in zip(self.words, ids, strict=True)]
         s, m = (1, 0) if b_short else (0, 1)
         doc = np.repeat(np.arange(len(rows)), n[s])
         begin = [np.cumsum(x) - x for x in n]

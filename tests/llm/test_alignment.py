@@ -86,6 +86,23 @@ def test_token_bytes_give_the_text_back(tokenizers):
     assert b"".join(b.bytes[x] for x in b.encode(["a b\nç🙂"])[0]) == " a b\nç🙂".encode()
 
 
+def test_words_give_the_ids_of_whole_texts(rng, tokenizers, monkeypatch):
+    texts = [t for t in TEXTS if t] + [prose(rng, 60) for _ in range(20)] + [
+        "it's we'll 'tis o'clock 'S x'", "a  b", "a \n b", "a\n b", "tail ", " head", "x\u00a0y \u00a0z", "a\u2003 b",
+        "(a) [b] {c} <d> ... !!! ?! 12 3.4 -- – — “q”", "ｗｉｄｅ ½½ ⅷ 一二 三", "tab\tin side", "\x1c \x85 x"]
+    for cache in (alignment.WORD_CACHE, 3):
+        monkeypatch.setattr(alignment, "WORD_CACHE", cache)
+        for side in tokenizers:
+            words = alignment.Words(side)
+            assert words.apart
+            for some in (texts, texts[::-1], texts):
+                got = words.ids(some)
+                want = [np.array(x, "<i4").tobytes() for x in side.encode(some)]
+                same = [b"".join(side.bytes[i] for i in x) == b" " + t.encode()
+                        for t, x in zip(some, side.encode(some), strict=True)]
+                assert got == [w if s else None for w, s in zip(want, same, strict=True)]
+
+
 def test_empty_table_and_a_very_long_text(docs_of, rng, tokenizers):
     assert alignment.align(docs_of([])).collect() == []
     text = prose(rng, 60_000)
