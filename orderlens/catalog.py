@@ -19,9 +19,9 @@ from orderlens.insights import programs as iprog
 from orderlens.insights import segments as iseg
 from orderlens.insights import trends as itr
 from orderlens.operators import conform
-from orderlens.operators.order_totals import order_totals
+from orderlens.operators.order_totals import apply_policy, order_totals
 from orderlens.operators.ranking import with_ntile, with_percent_rank
-from orderlens.plans import customers, programs, sales
+from orderlens.plans import customers, order_state, programs, sales
 from orderlens.plans.runner import run_reports
 from orderlens.session import scratch_path
 from orderlens.sources import curated, landing, results, testdata
@@ -235,6 +235,90 @@ def q_incremental_stream(table: str) -> Query:
     return run
 
 
+class _Killed(Exception):
+    """Stands for a lost driver in the checked runs."""
+
+
+def _kill_after(table: str):
+    def stop(written: str) -> None:
+        if written == table:
+            raise _Killed(written)
+    return stop
+
+
+def q_batch_killed(table: str, after: str, resume: bool) -> Query:
+    """A second batch run dies right after it has written the table ``after``: readers stay on the
+    first batch; with ``resume`` a further run loads what the dead one did not commit."""
+    def run(spark, sf):
+        src, out, mark = (scratch_path(spark, x) for x in ("landing", "curated", "mark"))
+        early = F.col("creation_time_utc") <= INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        _write_test_landing(spark, sf, src, early)
+        incremental.run_batch(spark, src, out, mark)
+        _write_test_landing(spark, sf, src, ~early, rest=False)
+        try:
+            incremental.run_batch(spark, src, out, mark, on_write=_kill_after(after))
+        except _Killed:
+            pass
+        if resume:
+            incremental.run_batch(spark, src, out, mark)
+        return _run_result(spark, out, table)
+    return run
+
+
+# arrival of the options of a line: by the hash of its order, on three days
+OPTION_DAYS = (dt.date(2001, 6, 1), dt.date(2001, 6, 2), dt.date(2001, 6, 3))
+
+
+def q_late_options(job: str, table: str) -> Query:
+    """Options landed day by day before, with and after their lines, the last ones with no line
+    at all: three runs = one full load."""
+    def run(spark, sf):
+        src, out, state = (scratch_path(spark, x) for x in ("landing", "curated", "state"))
+        start = incremental.run_batch if job == "batch" else incremental.run_incremental
+        options = testdata.order_item_options_source(spark, sf)
+        landing.write_landing({"date_dim": _dates_with_week(spark, sf)}, src)
+        early = F.col("creation_time_utc") <= INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        for i, (day, lines) in enumerate(zip(OPTION_DAYS, (early, ~early, None), strict=True)):
+            if lines is not None:
+                _write_test_landing(spark, sf, src, lines, rest=False)
+            part = F.pmod(F.xxhash64("order_id", "option_group_name"), F.lit(len(OPTION_DAYS))) == i
+            landing.write_landing({"order_item_options": options.filter(part)}, src, ingest_date=day)
+            start(spark, src, out, state)
+        return _run_result(spark, out, table)
+    return run
+
+
+def q_order_state(report: Callable[[DataFrame], DataFrame], policy: str, flag: bool = False) -> Query:
+    """A report over the per-order state after three batches, each merged in as it came."""
+    def run(spark, sf):
+        src, out, mark = (scratch_path(spark, x) for x in ("landing", "curated", "mark"))
+        at = F.col("creation_time_utc")
+        cuts = [INCREMENT_MARK - dt.timedelta(days=d) for d in (400, 0)]
+        cuts = [x.strftime("%Y-%m-%dT%H:%M:%S.000Z") for x in cuts]
+        parts = [at <= cuts[0], (at > cuts[0]) & (at <= cuts[1]), at > cuts[1]]
+        for i, part in enumerate(parts):
+            _write_test_landing(spark, sf, src, part, rest=i == 0)
+            incremental.run_batch(spark, src, out, mark)
+            order_state.refresh(spark, out, buckets=8)
+        return report(apply_policy(order_state.order_sums(spark, out).drop("app_id"), policy, flag))
+    return run
+
+
+def q_compacted(table: str) -> Query:
+    """Two batches into the bucketed layout, compacted into one, and read back."""
+    def run(spark, sf):
+        src, out, mark = (scratch_path(spark, x) for x in ("landing", "curated", "mark"))
+        buckets = curated.bucket_count(testdata.read_table(spark, sf, "lineitem").count())
+        early = F.col("creation_time_utc") <= INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        _write_test_landing(spark, sf, src, early)
+        incremental.run_batch(spark, src, out, mark, buckets=buckets)
+        _write_test_landing(spark, sf, src, ~early, rest=False)
+        incremental.run_batch(spark, src, out, mark, buckets=buckets)
+        curated.compact(spark, out, buckets)
+        return getattr(curated.read_star(spark, out, buckets), table)
+    return run
+
+
 def q_write_curated(table: str) -> Query:
     """The five tables appended to the curated zone (facts by order month), one read back."""
     def run(spark, sf):
@@ -342,6 +426,21 @@ def queries() -> dict[str, Query]:
            for job, q in (("batch", q_incremental_batch), ("stream", q_incremental_stream))
            for suffix, table in (("", "fact_items"), ("_orders", "fact_orders"), ("_options", "fact_items_options"),
                                  ("_apps", "dim_app"), ("_dates", "date_dim"), ("_clv", "clv"))},
+        "batch_killed": q_batch_killed("fact_items", "fact_orders", resume=False),
+        "batch_killed_orders": q_batch_killed("fact_orders", "fact_items_options", resume=False),
+        "batch_resumed": q_batch_killed("fact_items_options", "fact_items", resume=True),
+        "batch_resumed_clv": q_batch_killed("clv", "pending_options", resume=True),
+        "late_options_batch": q_late_options("batch", "fact_items_options"),
+        "late_options_batch_clv": q_late_options("batch", "clv"),
+        "late_options_stream": q_late_options("stream", "fact_items_options"),
+        "state_clv": q_order_state(customers.clv, "zero_each"),
+        "state_rfm": q_order_state(lambda t: customers.rfm(t, AS_OF), "zero_each"),
+        "state_churn": q_order_state(lambda t: customers.churn(t, AS_OF), "zero_sum"),
+        "state_loyalty": q_order_state(programs.loyalty, "zero_each"),
+        "state_discounts": q_order_state(programs.discounts_from_totals, "keep_item_null", True),
+        "state_locations": q_order_state(sales.locations, "zero_each"),
+        "compacted_items": q_compacted("fact_items"),
+        "compacted_options": q_compacted("fact_items_options"),
         "run_reports": q_run_reports,
         "read_latest_result": q_read_latest_result,
         # D1-D27

@@ -6,16 +6,19 @@ the same numbers come from a range-partitioned sort, whatever the size:
 
 1. ``repartitionByRange(n, order...)`` puts a contiguous slice of the global
    order into each partition. The order always ends with a unique tie key, so
-   one hot value is spread over many partitions; the partition id is kept.
-2. Windows inside each slice give the local row number and rank. The frame is
-   then checkpointed to the shared checkpoint folder: range bounds come from
-   sampling, and they must not change if an executor is lost.
+   one hot value is spread over many partitions. Each slice is sorted, and
+   ``monotonically_increasing_id`` numbers it: the partition and the place in it.
+2. The frame is then written to the shared folder: range bounds come from
+   sampling, and they must not change if an executor is lost. Ranks with ties
+   come from a window inside each slice.
 3. One row per slice (its size, its first and last value, and where its last
    value began) gives each slice its offset and, for a value that began in an
    earlier slice, that value's rank. This table of at most ``n`` rows is
    broadcast; rows are never grouped or joined on the ranked value.
 
-Ntile buckets follow from the row number and the total count alone.
+Ntile buckets follow from the row number and the total count alone. Several
+ntiles over one frame are numbered in one pass: every row is sent once per order,
+as (order, value, tie key), into one sort; the numbers meet again per tie key.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderlens.session import checkpoint_dir
+from orderlens.session import stored
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
@@ -37,18 +40,24 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "_rn",
     return _numbered(df, order, partitions, count_name, rn=name)
 
 
+def _sliced(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """df in slices of its global order, each sorted: slice (``_pid``) and 1-based place (``_pos``)."""
+    n = max(1, int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    at = F.col("_at")  # the partition in the upper bits, the row's place in the lower 33
+    return (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn("_at", F.monotonically_increasing_id())
+            .withColumns({"_pid": F.shiftright(at, 33).cast("int"), "_pos": at.bitwiseAND((1 << 33) - 1) + 1})
+            .drop("_at"))
+
+
 def _numbered(df: DataFrame, order: Sequence[Column], partitions: int | None, count_name: str,
               rn: str | None = None, value: str | None = None, rank: str | None = None) -> DataFrame:
     """Row number (``rn``) and/or rank over the first key (``rank``, of column ``value``)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = max(1, int(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
-    local = Window.partitionBy("_pid").orderBy(*order)
-    cols = [F.row_number().over(local).cast("long").alias("_pos")]
+    sliced = _sliced(df, order, partitions)
     if rank is not None:
-        cols.append(F.rank().over(Window.partitionBy("_pid").orderBy(order[0])).cast("long").alias("_local"))
-    sliced = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-              .select(*df.columns, "_pid", *cols).checkpoint(eager=True))
+        local = F.rank().over(Window.partitionBy("_pid").orderBy(order[0])).cast("long")
+        sliced = sliced.withColumn("_local", local)
+    sliced = stored(sliced, "slices")
 
     edges = [F.count(F.lit(1)).alias("_cnt")]
     if rank is not None:
@@ -113,11 +122,30 @@ def with_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str = "ntil
     return numbered.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
 
 
-def with_ntiles(df: DataFrame, k: int, orders: dict[str, Sequence[Column]],
+def with_ntiles(df: DataFrame, k: int, values: dict[str, Column], key: str,
                 partitions: int | None = None) -> DataFrame:
-    """Several NTILE(k) columns, one per ``{name: order}`` (each a total order): one
-    range-partitioned numbering per order, each on the previous checkpoint."""
-    out = df
-    for name, order in orders.items():
-        out = with_ntile(out, k, order, name, partitions)
-    return out
+    """Several NTILE(k) columns in one pass: for each ``{name: value}`` the bucket of a row in
+    ascending order of that number (NULLs last), ties by the unique column ``key``.
+
+    All orders share one range sort of (order, value, key) rows. The other columns travel with the
+    rows of the first order and meet the numbers again in one aggregation per key.
+    """
+    rest = [c for c in df.columns if c != key]
+    first = F.col("_order") == 0
+    rows = df.select("*", F.posexplode(F.array(*values.values())).alias("_order", "_value"))
+    rows = rows.select(key, "_order", "_value", *[F.when(first, F.col(c)).alias(c) for c in rest])
+    order = [F.col("_order").asc(), F.col("_value").asc_nulls_last(), F.col(key).asc()]
+    sliced = stored(_sliced(rows, order, partitions).drop("_value"), "slices")
+    # at most one row a slice and order
+    sizes = sliced.groupBy("_pid", "_order").agg(F.count("*").alias("_cnt"), F.min("_pos").alias("_first"))
+    per = Window.partitionBy("_order")
+    slices = sizes.select(
+        "_pid", "_order", F.sum("_cnt").over(per).alias("_n"),
+        (F.coalesce(F.sum("_cnt").over(per.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+         - F.col("_first") + 1).alias("_off"))
+    tile = ntile_of(F.col("_off") + F.col("_pos"), F.col("_n"), k)
+    numbered = sliced.join(F.broadcast(slices), ["_pid", "_order"]).withColumn("_tile", tile)
+    out = numbered.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in rest],
+        *[F.max(F.when(F.col("_order") == i, F.col("_tile"))).alias(name) for i, name in enumerate(values)])
+    return out.select(*df.columns, *values)

@@ -248,9 +248,24 @@ LOAD_LANDING = _with("SELECT order_id, lineitem_id, app_name, restaurant_id, use
 # options whose line is among the order lines (all of them, once every batch is loaded)
 FACT_OPTIONS_ALL = _with("SELECT * FROM fact_items_options x WHERE EXISTS (SELECT 1 FROM order_items i "
                          "WHERE i.order_id = x.order_id AND i.lineitem_id = x.lineitem_id)")
-CLV_OF_ITEMS = CLV.replace("raw AS (SELECT * FROM fact_orders", "raw AS (SELECT * FROM (" + (
-    "SELECT DISTINCT order_id, restaurant_id, COALESCE(user_id, 'UNKNOWN') AS user_id, printed_card_number, "
-    "is_loyalty, creation_time_utc, currency AS currency_used FROM order_items WHERE app_name IS NOT NULL") + ")")
+
+
+def _of_items(report: str) -> str:
+    """A report over the orders that the ETL loads (those with lines and an app)."""
+    return report.replace("raw AS (SELECT * FROM fact_orders", "raw AS (SELECT * FROM (" + (
+        "SELECT DISTINCT order_id, restaurant_id, COALESCE(user_id, 'UNKNOWN') AS user_id, printed_card_number, "
+        "is_loyalty, creation_time_utc, currency AS currency_used FROM order_items WHERE app_name IS NOT NULL") + ")")
+
+
+CLV_OF_ITEMS = _of_items(CLV)
+# what readers see after a run that died: the lines up to the mark
+ITEMS_UP_TO_MARK = _with("SELECT * FROM fact_items f WHERE EXISTS (SELECT 1 FROM order_items i "
+                         f"WHERE i.order_id = f.order_id AND i.creation_time_utc <= {MARK_TS})")
+ORDERS_UP_TO_MARK = _with("SELECT DISTINCT order_id, app_id, restaurant_id, COALESCE(user_id, 'UNKNOWN') AS user_id, "
+                          "printed_card_number, is_loyalty, creation_time_utc, currency AS currency_used "
+                          "FROM order_items JOIN apps ON order_items.app_name = apps.app_name "
+                          f"WHERE creation_time_utc <= {MARK_TS}",
+                          _APPS.replace("FROM order_items", f"FROM order_items WHERE creation_time_utc <= {MARK_TS}"))
 HIGH_WATER_MARK = _with("SELECT MAX(creation_time_utc) AS last_processed_timestamp FROM batch", _BATCH)
 
 
@@ -397,6 +412,21 @@ def oracle_sql() -> dict[str, str]:
         "incremental_stream_apps": DIM_APP,
         "incremental_stream_dates": DATES_E6,
         "incremental_stream_clv": CLV_OF_ITEMS,
+        "batch_killed": ITEMS_UP_TO_MARK,
+        "batch_killed_orders": ORDERS_UP_TO_MARK,
+        "batch_resumed": FACT_OPTIONS_ALL,
+        "batch_resumed_clv": CLV_OF_ITEMS,
+        "late_options_batch": FACT_OPTIONS_ALL,
+        "late_options_batch_clv": CLV_OF_ITEMS,
+        "late_options_stream": FACT_OPTIONS_ALL,
+        "state_clv": CLV_OF_ITEMS,
+        "state_rfm": _of_items(RFM_SEGMENTED),
+        "state_churn": _of_items(CHURN),
+        "state_loyalty": _of_items(LOYALTY),
+        "state_discounts": _of_items(DISCOUNTS),
+        "state_locations": _of_items(LOCATIONS),
+        "compacted_items": FACT_ITEMS_E9,
+        "compacted_options": FACT_OPTIONS_ALL,
         "read_latest_result": LOCATIONS,
     }
     out.update(DASHBOARDS)

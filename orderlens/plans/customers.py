@@ -78,12 +78,11 @@ def rfm(totals: DataFrame, as_of: dt.date, months: int = RFM_MONTHS, k: int = NT
     Ties are broken by ``user_id`` so the ranks are repeatable.
     """
     base = rfm_inputs(totals, as_of, months)
-    uid = F.col("user_id").asc()
     ranked = with_ntiles(base, k, {
-        "monetary_rank": [F.col("total_cost_per_user").desc_nulls_last(), uid],
-        "recency_rank": [F.col("days_passed").asc_nulls_last(), uid],
-        "frequency_rank": [F.col("num_purchases_last_24_months").desc_nulls_last(), uid],
-    })
+        "monetary_rank": -F.col("total_cost_per_user"),
+        "recency_rank": F.col("days_passed"),
+        "frequency_rank": -F.col("num_purchases_last_24_months"),
+    }, "user_id")
     r, f, m = F.col("recency_rank"), F.col("frequency_rank"), F.col("monetary_rank")
     segment = (F.when((r == 1) & (f == 1) & (m == 1), "VIP")
                .when((r == 1) & (f >= 4), "New Customer")

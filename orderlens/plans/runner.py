@@ -5,7 +5,7 @@ polled their state every 2 s. Here each report is a DataFrame job; writing
 its result is the action, so there is nothing to poll. One failing report
 does not stop the others: its state is FAILED with the whole error text. The
 per-order sums that six reports start from are computed once, when first
-needed, and checkpointed (lineage cut, shared storage). Reports may also be
+needed, and written to shared storage (lineage cut). Reports may also be
 SQL files in a folder.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orderlens.operators.order_totals import apply_policy, order_sums
 from orderlens.plans import customers, programs, sales
-from orderlens.session import checkpoint_dir
+from orderlens.session import stored
 from orderlens.sources.results import new_run_id, write_result
 
 Report = Callable[[], DataFrame]
@@ -27,15 +27,16 @@ Report = Callable[[], DataFrame]
 def reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, Report]:
     """The eight reports over ``tables`` (fact_orders, fact_items, fact_items_options, date_dim).
 
-    The per-order sums that six of them start from are computed and checkpointed by the first
-    report that needs them; a failure there is that report's, and the next one tries again.
+    The per-order sums that six of them start from are computed and written to the shared folder
+    by the first report that needs them; a failure there is that report's, and the next one tries
+    again. A table ``order_sums`` (the state that ``plans.order_state`` keeps) is used as it is.
     """
-    shared: list[DataFrame] = []
+    shared: list[DataFrame] = [tables["order_sums"]] if "order_sums" in tables else []
 
     def totals(policy: str = "zero_each", flag: bool = False) -> DataFrame:
         if not shared:
-            shared.append(order_sums(tables["fact_orders"], tables["fact_items"], tables["fact_items_options"])
-                          .checkpoint(eager=True))
+            shared.append(stored(order_sums(tables["fact_orders"], tables["fact_items"],
+                                            tables["fact_items_options"]), "order_sums"))
         return apply_policy(shared[0], policy, flag)
 
     return {
@@ -68,14 +69,17 @@ def run_reports(spark: SparkSession, tables: dict[str, DataFrame], out: str, as_
     With ``sql_folder`` the reports are the SQL files of that folder instead of the built-in ones.
     """
     run_id = run_id or new_run_id()
-    checkpoint_dir(spark)
     todo = reports(tables, as_of) if sql_folder is None else sql_reports(spark, tables, sql_folder)
     status = []
-    for name in names or sorted(todo):
-        try:
-            seen = Observation(f"rows-{run_id}-{name}")
-            write_result(todo[name]().observe(seen, F.count(F.lit(1)).alias("rows")), out, name, run_id)
-            status.append((name, "SUCCEEDED", seen.get["rows"], run_id))
-        except Exception as e:  # keep going: one report's failure is its own
-            status.append((name, "FAILED", None, f"{type(e).__name__}: {e}"))
+    try:
+        for name in names or sorted(todo):
+            try:
+                seen = Observation(f"rows-{run_id}-{name}")
+                write_result(todo[name]().observe(seen, F.count(F.lit(1)).alias("rows")), out, name, run_id)
+                status.append((name, "SUCCEEDED", seen.get["rows"], run_id))
+            except Exception as e:  # keep going: one report's failure is its own
+                status.append((name, "FAILED", None, f"{type(e).__name__}: {e}"))
+    finally:
+        for name in tables if sql_folder is not None else ():
+            spark.catalog.dropTempView(name)
     return spark.createDataFrame(status, "report string, state string, rows long, detail string")

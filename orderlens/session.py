@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -71,6 +71,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for intermediate output."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/orderlens-scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh folder under the shared checkpoint folder for intermediate output of this application."""
+    return f"{_scratch(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/orderlens-scratch/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove all intermediate output of this application. Call it once every result that was
+    built on it is written; frames that still read from it fail afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: computed once, its lineage cut, and a lost
+    executor costs only its own tasks. One pass, where an eager checkpoint computes df twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,10 @@ Two layouts:
   the orders; on bucketed tables those aggregations and joins read matching
   buckets and need no shuffle — the facts are shuffled once, when written,
   instead of once per report.
+
+Tables that the jobs write batch by batch are read through the commit log
+(``commits``): only the batches of committed runs, all tables at one state.
+``compact`` rewrites many batches into one with a file per bucket.
 """
 
 from __future__ import annotations
@@ -19,9 +23,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
+from orderlens.sources import commits
+from orderlens.sources.commits import Snapshot
 from orderlens.sources.testdata import Star
 
 FACTS = ("fact_orders", "fact_items", "fact_items_options")
+SCHEMAS = {"fact_orders": schemas.FACT_ORDERS, "fact_items": schemas.FACT_ITEMS,
+           "fact_items_options": schemas.FACT_ITEMS_OPTIONS, "dim_app": schemas.DIM_APP,
+           "date_dim": schemas.DATE_DIM, "pending_options": schemas.ORDER_ITEM_OPTIONS}
 BUCKET_KEY = "order_id"
 
 STAR_ORDERS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_ORDERS.fields
@@ -60,22 +69,45 @@ def write_star(star: Star, out: str, buckets: int | None = None) -> None:
     star.date_dim.write.mode("overwrite").parquet(f"{base}/date_dim")
 
 
-def _bucketed(spark: SparkSession, out: str, name: str, buckets: int) -> DataFrame:
-    """The bucketed table over ``out/name``; registered from its files when the catalog lacks it."""
+def _register(spark: SparkSession, out: str, name: str, buckets: int, ddl: str | None = None) -> str:
+    """The name of the bucketed table over ``out/name``; registered over its folder when the
+    catalog lacks it, with the batches that the folder holds. ``ddl``: the columns of a table
+    that is about to be written in batches."""
     table = table_name(out, name)
     path = f"{out.rstrip('/')}/{name}"
-    if not spark.catalog.tableExists(table):
-        if _has_batches(spark, path):  # written batch by batch (run_batch / run_incremental)
-            files = spark.read.parquet(path)  # schema of the files (footer read) + batch column
-            ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema.fields
-                            if f.name != "batch")
-            spark.sql(f"CREATE TABLE {table} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
-                      f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if spark.catalog.tableExists(table):
+        return table
+    batches = _has_batches(spark, path)  # written batch by batch (run_batch / run_incremental)
+    if batches and ddl is None:
+        files = spark.read.parquet(path)  # schema of the files (footer read) + batch column
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in files.schema.fields if f.name != "batch")
+    if ddl is not None:
+        spark.sql(f"CREATE TABLE {table} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
+                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        if batches:
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        else:
-            spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
-                      f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
-    df = spark.table(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} ({DDL[name]}) USING parquet "
+                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return table
+
+
+def _batches_of(spark: SparkSession, out: str, name: str, buckets: int, batches) -> DataFrame:
+    """The rows (with their batch) of some batches of a bucketed table."""
+    table = _register(spark, out, name, buckets)
+    known = {r[0].removeprefix("batch=") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    if not set(batches) <= known:  # written by another session since the table was registered
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table).filter(F.col("batch").isin(list(batches)))
+
+
+def _bucketed(spark: SparkSession, out: str, name: str, buckets: int, snap: Snapshot | None) -> DataFrame:
+    """The bucketed table over ``out/name``: the committed batches where a job has written it."""
+    if snap is not None:
+        if not snap.batches:
+            return spark.createDataFrame([], SCHEMAS[name])
+        return _once(_batches_of(spark, out, name, buckets, snap.batches).drop("batch"), name)
+    df = spark.table(_register(spark, out, name, buckets))
     return _once(df.drop("batch"), name) if "batch" in df.columns else df
 
 
@@ -83,19 +115,34 @@ def _once(df: DataFrame, name: str) -> DataFrame:
     """Rows of all batches of a table: an order or option that came with the lines of several
     batches counts once (lines are source rows and all count). On tables bucketed by
     ``order_id`` the distinct needs no exchange."""
-    return df if name == "fact_items" else df.distinct()
-
-
-def read_batches(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """A curated table written in batch folders: facts of all batches, a dimension's latest copy."""
-    df = spark.read.parquet(f"{out.rstrip('/')}/{name}")
+    return df.distinct() if name in ("fact_orders", "fact_items_options") else df
+
+
+def read_batches(spark: SparkSession, out: str, name: str, snap: Snapshot | None = None) -> DataFrame:
+    """A curated table written in batch folders: the facts of all committed batches, the newest
+    committed copy of a dimension (or of the waiting options). ``snap`` pins the state, so that
+    several tables are read at one. Tables without a commit log are read as they are."""
+    base = f"{out.rstrip('/')}/{name}"
+    snap = snap or commits.snapshot(spark, out)
+    fact = name in FACTS
+    if snap is not None:
+        live = snap.batches if fact else [snap.latest] if snap.latest else []
+        if not live:
+            return spark.createDataFrame([], SCHEMAS[name])
+        return read_some(spark, out, name, live)
+    df = spark.read.parquet(base)
     if "batch" not in df.columns:
         return df
-    if name in ("dim_app", "date_dim"):
+    if not fact:
         return df.filter(F.col("batch") == df.agg(F.max("batch")).scalar()).drop("batch")
     return _once(df.drop("batch"), name)
 
 
+def read_some(spark: SparkSession, out: str, name: str, batches) -> DataFrame:
+    """The rows of some batches of a fact table."""
+    return _once(spark.read.parquet(*[f"{out.rstrip('/')}/{name}/batch={b}" for b in batches]), name)
+
+
 def _has_batches(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -106,9 +153,12 @@ def _has_batches(spark: SparkSession, path: str) -> bool:
 
 def read_star(spark: SparkSession, path: str, buckets: int | None = None) -> Star:
     base = path.rstrip("/")
-    date_dim = read_batches(spark, path, "date_dim")
+    snap = commits.snapshot(spark, path)  # one state for all tables
+    date_dim = read_batches(spark, path, "date_dim", snap)
     if buckets is not None:
-        return Star(*(_bucketed(spark, path, n, buckets) for n in FACTS), date_dim=date_dim)
+        return Star(*(_bucketed(spark, path, n, buckets, snap) for n in FACTS), date_dim=date_dim)
+    if snap is not None:
+        return Star(*(read_batches(spark, path, n, snap) for n in FACTS), date_dim=date_dim)
     return Star(
         fact_orders=spark.read.schema(STAR_ORDERS + ", order_month string")
         .parquet(f"{base}/fact_orders").drop("order_month"),
@@ -127,14 +177,8 @@ def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch
     folder first.
     """
     spark = df.sparkSession
-    table = table_name(out, name)
-    path = f"{out.rstrip('/')}/{name}"
-    if not spark.catalog.tableExists(table):
-        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
-                  f"CLUSTERED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
-        if _has_files(spark, path):
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    table = _register(spark, out, name, buckets, ddl)
     cols = [c for c in spark.table(table).columns if c != "batch"]
     # a static partition replaces only itself, whatever the session's overwrite mode
     view = f"{table}_{uuid.uuid4().hex[:8]}"
@@ -145,7 +189,63 @@ def write_batch_bucketed(df: DataFrame, out: str, name: str, buckets: int, batch
         spark.catalog.dropTempView(view)
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
+def compact(spark: SparkSession, out: str, buckets: int | None = None) -> str | None:
+    """Rewrite all live batches of the fact tables into one batch and swap it in through the
+    commit log; the new batch, or None if there was nothing to do (or another compaction won).
+
+    Batches that are committed meanwhile stay as they are, and readers see either the old batches
+    or the new one. With ``buckets`` each bucket is read, made distinct where the table counts a
+    row once, and written by one task, so every bucket ends up in one file and nothing is
+    shuffled; without, AQE sizes the files. The replaced folders stay for readers that still hold
+    them until ``vacuum``. Batches that a per-order state does not include yet are left out: their
+    rows could not be told apart afterwards.
+    """
+    seen = commits.snapshot(spark, out)
+    if seen is None:
+        return None
+    waits = seen.loads - seen.state_loads if seen.state_version else set()
+    replaced = [b for b in seen.batches if b not in waits]
+    if len(replaced) < 2:
+        return None
+    batch = f"compact-{seen.size:06d}-{uuid.uuid4().hex[:8]}"
+    for name in FACTS:
+        if buckets is None:
+            read_some(spark, out, name, replaced).hint("rebalance").write.parquet(f"{out.rstrip('/')}/{name}/batch={batch}")
+        else:
+            # a session of its own: the planner would give up the bucketed scan, as no join or
+            # aggregation of the items asks for it
+            own = spark.newSession()
+            own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+            rows = _once(_batches_of(own, out, name, buckets, replaced).drop("batch"), name)
+            path, table = f"{out.rstrip('/')}/{name}/batch={batch}", table_name(out, name)
+            # a table of its own over the new folder, which then becomes a partition
+            (rows.write.bucketBy(buckets, BUCKET_KEY).option("path", path).saveAsTable(f"{table}_new"))
+            spark.sql(f"DROP TABLE {table}_new")  # external: the files stay
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch = '{batch}') LOCATION '{path}'")
+    return batch if commits.commit_compaction(spark, out, seen, batch, replaced) else None
+
+
+def vacuum(spark: SparkSession, out: str, names: tuple[str, ...] = FACTS) -> list[str]:
+    """Remove the fact folders that no committed state needs: batches replaced by a compaction and
+    what dead runs left. Run it while no load or compaction runs and no reader holds an older state."""
+    snap = commits.snapshot(spark, out)
+    if snap is None:
+        return []
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    gone = []
+    for name in names:
+        base = jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/{name}")
+        fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(base):
+            continue
+        for st in fs.listStatus(base):
+            folder = st.getPath().getName()
+            if folder.startswith("batch=") and folder.removeprefix("batch=") not in snap.batches:
+                fs.delete(st.getPath(), True)
+                gone.append(f"{name}/{folder}")
+        table = table_name(out, name)
+        if spark.catalog.tableExists(table):
+            for x in gone:
+                if x.startswith(f"{name}/batch="):
+                    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch = '{x.split('=', 1)[1]}')")
+    return gone

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from orderlens import schemas
 from orderlens.functions.dates import DATE_KEY_FORMAT, ISO_UTC_FORMAT
 
+INGEST_DATE = "ingest_date"  # folder column of options that are landed day by day
+
 LANDING_SCHEMAS = {
     "order_items": schemas.ORDER_ITEMS,
     "order_item_options": schemas.ORDER_ITEM_OPTIONS,
@@ -34,9 +38,13 @@ def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*declared, *[F.col(f"`{x}`") for x in df.columns if x not in names])
 
 
-def write_landing(tables: dict[str, DataFrame], landing: str, mode: str = "overwrite") -> None:
+def write_landing(tables: dict[str, DataFrame], landing: str, mode: str = "overwrite",
+                  ingest_date: dt.date | None = None) -> None:
+    """Write landing tables; with ``ingest_date`` into that day's folder of each, so that later
+    runs read the days they need and no others."""
     for name, df in tables.items():
-        conform_to(df, LANDING_SCHEMAS[name]).write.mode(mode).parquet(f"{landing.rstrip('/')}/{name}")
+        day = "" if ingest_date is None else f"/{INGEST_DATE}={ingest_date.isoformat()}"
+        conform_to(df, LANDING_SCHEMAS[name]).write.mode(mode).parquet(f"{landing.rstrip('/')}/{name}{day}")
 
 
 def load_table(spark: SparkSession, landing: str, name: str) -> DataFrame:

@@ -5,31 +5,43 @@ Two ways to run the transform job:
 * ``run_batch`` – the batch job with a high-water mark: only order rows newer
   than the stored mark are conformed and appended; the new mark is the batch's
   largest creation time. Rows at or below the mark are never loaded (late
-  data is lost, as in the source job); an empty batch writes nothing and keeps
-  the mark.
+  data is lost, as in the source job); a run that finds nothing new writes
+  nothing and keeps the mark.
 * ``run_incremental`` – the same transform as a Structured Streaming job over
-  the landing folder: the stream's checkpoint remembers which *files* were
-  processed, so late rows in new files are not lost. ``foreachBatch`` is
-  at-least-once, so every batch writes into its own ``batch=<id>`` folder in
-  overwrite mode: a replayed batch replaces its own output instead of
-  appending it twice.
+  the landing folders of items and options: the stream's checkpoint remembers
+  which *files* were processed, so late rows in new files are not lost.
+
+Both end a batch with one record in the commit log (``sources.commits``) that
+carries the new mark. Readers see the batch from then on, in all tables at
+once; a run that dies before leaves them on the state before, and the next run
+writes the same partitions again. ``foreachBatch`` is at-least-once: a replayed
+batch that was committed is skipped.
+
+Options may arrive before, with or after their lines. An option whose line is
+not loaded yet waits in ``pending_options`` (one copy per batch, like the
+dimensions); each batch settles new and waiting options against its own lines
+and the lines already loaded.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas
 from orderlens.operators import conform
-from orderlens.session import scratch_path
-from orderlens.sources import curated
-from orderlens.sources.landing import conform_to, load_landing, load_table
+from orderlens.session import stored
+from orderlens.sources import commits, curated
+from orderlens.sources.commits import Snapshot
+from orderlens.sources.landing import INGEST_DATE, conform_to, load_table
 
 FIRST_BATCH = "00000000T000000000000"  # the batch partition of a run without a mark; sorts first
 CURATED_TABLES = ("date_dim", "dim_app", "fact_orders", "fact_items", "fact_items_options")
+LINE = ["order_id", "lineitem_id"]
 
 
 # --------------------------------------------------------------------------- E4
@@ -56,8 +68,33 @@ def related_options(options: DataFrame, new_items: DataFrame) -> DataFrame:
 
     A semi join: option rows are never multiplied by duplicate item keys.
     """
-    keys = new_items.select("order_id", "lineitem_id")
-    return options.join(keys, ["order_id", "lineitem_id"], "left_semi")
+    return options.join(new_items.select(*LINE), LINE, "left_semi")
+
+
+def new_options(options: DataFrame, since: str | None) -> DataFrame:
+    """Options landed on or after a date (that day may still get files; a row that is loaded twice
+    counts once). A landing without ingest dates gives all options: each run scans them again."""
+    if since is None or INGEST_DATE not in options.columns:
+        return options
+    return options.filter(F.col(INGEST_DATE) >= F.lit(since).cast("date"))
+
+
+def settle_options(options: DataFrame, new_items: DataFrame, loaded_items: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(options whose line is in the new or the loaded items, options that go on waiting).
+
+    The loaded lines are cut down to those that an option asks for first: only two of their
+    columns are read, and they are not shuffled while the options are few enough to be sent to
+    them (AQE decides on the measured size). Options without a full key can have no line.
+    """
+    options = stored(options.dropna(subset=LINE), "options")  # new and waiting ones, read four times
+    asked = options.select(*LINE).distinct()
+    lines = new_items.select(*LINE)
+    if loaded_items is not None:
+        rest = asked.join(lines, LINE, "left_anti")
+        lines = lines.join(asked, LINE, "left_semi").unionByName(
+            loaded_items.select(*LINE).join(rest, LINE, "left_semi"))
+    lines = stored(lines.distinct(), "lines")
+    return options.join(lines, LINE, "left_semi"), options.join(lines, LINE, "left_anti")
 
 
 # --------------------------------------------------------------------------- E12
@@ -72,17 +109,6 @@ def next_mark(batch: DataFrame, previous: dt.datetime | None) -> dt.datetime | N
     return previous if value is None else value
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``; None if nothing was written there yet. Any other failure
-    is raised: a table that cannot be read is no first run."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def read_mark(spark: SparkSession, path: str) -> dt.datetime | None:
     """The stored mark; None before the first run. A mark that cannot be read is an error."""
     try:
@@ -103,8 +129,8 @@ def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
 
 # --------------------------------------------------------------------------- E11
 def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | str | None = None,
-                  fact_mode: str = "append", buckets: int | None = None,
-                  dims_per_batch: bool = False) -> None:
+                  fact_mode: str = "append", buckets: int | None = None, dims_per_batch: bool = False,
+                  on_write: Callable[[str], None] | None = None) -> None:
     """Write the five curated tables as Parquet.
 
     With ``batch_id`` the facts of a batch go to their own ``batch=<id>``
@@ -114,6 +140,7 @@ def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | str |
     order month when they carry a creation time. Dimensions are overwritten
     whole (the dimension passed in is complete), or kept as one copy per batch
     (``dims_per_batch``: a crash never harms the copy that readers and later runs use).
+    ``on_write`` is told each table that has been written.
     """
     for name, df in tables.items():
         path = f"{out.rstrip('/')}/{name}"
@@ -133,73 +160,115 @@ def write_curated(tables: dict[str, DataFrame], out: str, batch_id: int | str |
             df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         else:
             df.write.mode("overwrite").parquet(path)
+        if on_write is not None:
+            on_write(name)
 
 
 def transform(order_items: DataFrame, options: DataFrame, date_dim: DataFrame,
               existing_apps: DataFrame | None = None) -> dict[str, DataFrame]:
-    """E6-E10 on one conformed batch of order rows."""
+    """E6-E10 on one conformed batch of order rows and the options of their lines."""
+    return _star(order_items, conform.fact_item_options(related_options(options, order_items)), date_dim, existing_apps)
+
+
+def _star(order_items: DataFrame, option_facts: DataFrame, date_dim: DataFrame,
+          existing_apps: DataFrame | None) -> dict[str, DataFrame]:
     apps = conform.dim_app(order_items, existing_apps)
     return {
         "date_dim": conform.dim_date(date_dim),
         "dim_app": apps,
         "fact_orders": conform.fact_orders(order_items, apps),
         "fact_items": conform.fact_items(order_items),
-        "fact_items_options": conform.fact_item_options(related_options(options, order_items)),
+        "fact_items_options": option_facts,
     }
 
 
-def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str,
-              buckets: int | None = None) -> dt.datetime | None:
+def _load(spark: SparkSession, out: str, seen: Snapshot, token: str, items: DataFrame, options: DataFrame,
+          dates: DataFrame, buckets: int | None, mark: dt.datetime | None, options_from: str | None,
+          on_write: Callable[[str], None] | None, always: bool) -> bool:
+    """Write and commit one batch; False (and nothing written) if it holds neither lines nor
+    options that find their line, unless ``always``."""
+    waiting = _latest(spark, out, "pending_options", seen)
+    options = options.select(*schemas.ORDER_ITEM_OPTIONS.fieldNames())
+    if waiting is not None:
+        options = options.unionByName(waiting)
+    loaded = curated.read_batches(spark, out, "fact_items", seen) if seen.batches else None
+    now, later = settle_options(options, items, loaded)
+    facts = conform.fact_item_options(now)
+    if loaded is not None:
+        # options that an earlier batch has loaded (landed twice, or on a day that is read again):
+        # looked for only among those of the same orders
+        there = curated.read_batches(spark, out, "fact_items_options", seen).select(*facts.columns)
+        there = there.join(facts.select("order_id").distinct(), "order_id", "left_semi").select(*facts.columns)
+        facts = facts.subtract(there)
+    if not always and items.isEmpty() and facts.isEmpty():
+        return False
+    tables = _star(items, facts, dates, _latest(spark, out, "dim_app", seen))
+    tables["pending_options"] = later.distinct()
+    write_curated(tables, out, batch_id=token, buckets=buckets, dims_per_batch=True, on_write=on_write)
+    commits.commit_load(spark, out, seen, token, mark, options_from)
+    return True
+
+
+def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str, buckets: int | None = None,
+              on_write: Callable[[str], None] | None = None) -> dt.datetime | None:
     """The batch transform job with a stored high-water mark; returns the new mark.
 
-    The batch is "rows after <last mark>" and every table it writes goes to the partition
-    named after that mark: a rerun after a failure before the new mark is stored rewrites the
-    same partitions. The app dimension starts from the newest partition before this one, so
-    a half-written copy is never read.
+    The batch is "rows after <last mark>" and the options landed since the last run; its tables
+    go to the partition named after that mark and the number of commits, so a rerun after a
+    failure rewrites the same partitions. The commit record is what makes the batch visible and
+    what holds the mark; ``mark_path`` keeps a copy of it for others to read. ``on_write`` is told
+    each table that has been written (an exception there stops the run as a crash would).
     """
-    src = load_landing(spark, landing)
     last = read_mark(spark, mark_path)
-    batch = new_rows(conform.conform_orders(newer_text(src["order_items"], last)), last)
-    # conformed once, then read by every output (shared folder: a lost executor costs its tasks only)
-    path = scratch_path(spark, "batch")
-    batch.write.parquet(path)
-    batch = spark.read.schema(batch.schema).parquet(path)
-    mark = high_water_mark(batch).first()[0]
-    if mark is None and batch.isEmpty():
-        return last  # nothing new: write nothing, keep the mark
-    token = FIRST_BATCH if last is None else last.strftime("%Y%m%dT%H%M%S%f")
-    tables = transform(batch, src["order_item_options"], src["date_dim"], _latest_apps(spark, out, token))
-    write_curated(tables, out, batch_id=token, buckets=buckets, dims_per_batch=True)
-    if mark is not None:
+    seen = commits.begin(spark, out)
+    if seen.mark is not None:
+        last = seen.mark  # a run may have died between its commit and the copy
+    src = {name: load_table(spark, landing, name) for name in ("order_items", "order_item_options", "date_dim")}
+    # conformed once, then read by every output
+    batch = stored(new_rows(conform.conform_orders(newer_text(src["order_items"], last)), last), "batch")
+    mark = next_mark(batch, last)
+    options = new_options(src["order_item_options"], seen.options_from)
+    upto = None
+    if INGEST_DATE in options.columns:
+        upto = options.agg(F.max(INGEST_DATE)).first()[0]  # of the folder names' column
+    start = FIRST_BATCH if last is None else last.strftime("%Y%m%dT%H%M%S%f")
+    if _load(spark, out, seen, f"{start}-{seen.size:06d}", batch, options, src["date_dim"], buckets, mark,
+             str(upto) if upto else None, on_write, always=False) and mark is not None:
         write_mark(spark, mark_path, mark)
-    return last if mark is None else mark
+    return mark
 
 
 # --------------------------------------------------------------------------- E13
-def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                    buckets: int | None = None) -> None:
-    """Conform every new landing file once, as a Structured Streaming job.
+def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str, buckets: int | None = None,
+                    on_write: Callable[[str], None] | None = None) -> None:
+    """Conform every new landing file of items and options once, as a Structured Streaming job.
 
     ``trigger(availableNow=True)`` processes what has arrived and stops, so
-    the job can be scheduled like the batch one. With ``buckets`` the facts
-    of each micro-batch replace their own batch partition of the bucketed
-    fact tables (the layout the reports read).
+    the job can be scheduled like the batch one. Both folders are sources of one
+    query, so the checkpoint tracks their files together; dates are read with each
+    micro-batch. With ``buckets`` the facts of each micro-batch replace their own
+    batch partition of the bucketed fact tables (the layout the reports read).
     """
-    base = landing.rstrip("/")
-    files = spark.read.parquet(f"{base}/order_items").schema  # typed or text, with any other columns
-    stream = spark.readStream.schema(files).parquet(f"{base}/order_items")
-    options, dates = (load_table(spark, base, x) for x in ("order_item_options", "date_dim"))
-    out_base = out.rstrip("/")
+    base, out = landing.rstrip("/"), out.rstrip("/")
+    commits.begin(spark, out)
+
+    def source(name: str) -> DataFrame:
+        files = spark.read.parquet(f"{base}/{name}").schema  # typed or text, with any other columns
+        return spark.readStream.schema(files).parquet(f"{base}/{name}").select(F.struct("*").alias(name))
+
+    stream = source("order_items").unionByName(source("order_item_options"), allowMissingColumns=True)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # conformed once, then read by every output
-        path = scratch_path(spark, f"batch-{batch_id}")
-        items = conform.conform_orders(conform_to(batch, schemas.ORDER_ITEMS))
-        items.write.parquet(path)
-        items = spark.read.schema(items.schema).parquet(path)
-        prior = _latest_apps(spark, out_base, batch_id)
-        tables = transform(items, options, dates, prior)
-        write_curated(tables, out_base, batch_id=batch_id, buckets=buckets, dims_per_batch=True)
+        seen = commits.snapshot(spark, out)
+        if str(batch_id) in seen.loads:
+            return  # replayed after its commit
+        # read and conformed once, then read by every output
+        rows = stored(batch, f"batch-{batch_id}")
+        part = lambda name: rows.filter(F.col(name).isNotNull()).select(f"{name}.*")
+        items = conform.conform_orders(conform_to(part("order_items"), schemas.ORDER_ITEMS))
+        options = conform_to(part("order_item_options"), schemas.ORDER_ITEM_OPTIONS)
+        _load(spark, out, seen, str(batch_id), items, options, load_table(spark, base, "date_dim"), buckets,
+              next_mark(items, seen.mark), None, on_write, always=True)
 
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint)
@@ -207,18 +276,10 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
     query.awaitTermination()
 
 
-def _latest_apps(spark: SparkSession, out: str, before: int | str) -> DataFrame | None:
-    """The app dimension written by the latest earlier batch (ids stay stable)."""
-    apps = read_if_there(spark, f"{out.rstrip('/')}/dim_app")
-    if apps is None:
-        return None
-    kind = "long" if isinstance(before, int) else "string"
-    batch = F.col("batch").cast(kind)
-    prior = apps.filter(batch < F.lit(before).cast(kind))
-    if prior.isEmpty():
-        return None
-    latest = prior.agg(F.max(batch)).scalar()
-    return prior.filter(batch == latest).select("app_id", "app_name")
+def _latest(spark: SparkSession, out: str, name: str, seen: Snapshot) -> DataFrame | None:
+    """The copy of a dimension (ids stay stable) or of the waiting options of the newest load."""
+    return None if seen.latest is None else curated.read_batches(spark, out, name, seen).select(
+        *curated.SCHEMAS[name].fieldNames())
 
 
 def read_curated(spark: SparkSession, out: str, name: str) -> DataFrame:

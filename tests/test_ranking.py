@@ -70,10 +70,20 @@ def test_user_rankings_use_no_global_window(spark):
                 assert "_cnt" in line or "_last" in line or "_pid" in line, (name, line)
 
 
-def test_ntiles_several_orders(spark, tied):
-    up = [F.col("v").asc_nulls_last(), F.col("user_id")]
-    down = [F.col("v").desc_nulls_last(), F.col("user_id")]
-    got = with_ntiles(tied, 5, {"a": up, "b": down}, partitions=4).collect()
-    wa, wb = Window.orderBy(*up), Window.orderBy(*down)
-    native = tied.select("user_id", F.ntile(5).over(wa).alias("a"), F.ntile(5).over(wb).alias("b")).collect()
-    assert {r.user_id: (r.a, r.b) for r in got} == {r.user_id: (r.a, r.b) for r in native}
+@pytest.mark.parametrize("parts", [1, 4, 13])
+def test_ntiles_several_orders_in_one_pass(spark, tied, parts):
+    df = tied.withColumn("w", F.when(F.col("v") > 1, F.col("v") % 2))  # half of it NULL, two hot values
+    got = with_ntiles(df, 5, {"a": F.col("v"), "b": -F.col("v"), "c": F.col("w").cast("decimal(30,4)")}, "user_id",
+                      partitions=parts)
+    assert got.columns == ["user_id", "v", "w", "a", "b", "c"]
+    native = df.select("*", *[F.ntile(5).over(Window.orderBy(x, "user_id")).alias(name) for name, x in (
+        ("a", F.col("v").asc_nulls_last()), ("b", F.col("v").desc_nulls_last()), ("c", F.col("w").asc_nulls_last()))])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, native.collect()), key=repr)
+    assert with_ntiles(df.filter("false"), 5, {"a": F.col("v")}, "user_id").collect() == []
+
+
+def test_one_hot_value_is_spread_over_slices(spark):
+    from orderlens.operators.ranking import _sliced
+    df = spark.range(4000).select(F.col("id").cast("string").alias("user_id"), F.lit(7).alias("v"))
+    per = _sliced(df, [F.col("v"), F.col("user_id")], 8).groupBy("_pid").agg(F.count("*"), F.max("_pos")).collect()
+    assert len(per) == 8 and max(r[1] for r in per) < 1500 and all(r[1] == r[2] for r in per)
