@@ -4,11 +4,21 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
-_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>)""", re.S)
-_ATTR = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+# The tokenizer states of the HTML standard: a quote opens a value only right after "=", an unquoted
+# value goes on to white space or ">", and what is not closed goes on to the end of the page. No
+# part of a tag is read twice (possessive repeats).
+_WS = r"[ \t\n\f\r]"
+_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\f\r"'>][^ \t\n\f\r>]*+)"""
+_TAG = re.compile(
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*+(?:>|\Z)|/[^a-zA-Z][^>]*+(?:>|\Z)|(/?)([a-zA-Z][^ \t\n\f\r/>]*+)"
+    rf"((?:[ \t\n\f\r/]++|{_NAME}(?:{_WS}*+={_WS}*+{_VALUE}?+)?+)*+)(?:>|\Z))", re.S)
+_ATTR = re.compile(rf"({_NAME})(?:{_WS}*+={_WS}*+({_VALUE})?+)?+")
+_NAMES = {"class", "id", "role"}
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 # fixed values: element classes of the HTML standard
@@ -91,7 +101,8 @@ def parse(page: str) -> list[Node]:
                 flush()
                 while at.parent and (at.tag == "p" or at.tag in CLOSES.get(tag, ())):
                     at = at.parent
-                tokens = frozenset(x.lower() for a in _ATTR.finditer(m[3]) for x in _TOKEN.findall(a[2]))
+                tokens = frozenset(x.lower() for a in _ATTR.finditer(m[3]) if a[2] and a[1].lower() in _NAMES
+                                   for x in _TOKEN.findall(a[2]))
                 at = Node(tag, tokens, at)
                 nodes.append(at)
         elif tag in INLINE:
@@ -142,8 +153,8 @@ def features(nodes: list[Node]) -> np.ndarray:
     siblings = np.array([len(v.parent.children) if v.parent else 1 for v in nodes], float)
     index = np.array([v.index for v in nodes], float)
     depth = np.array([v.depth for v in nodes], float)
-    alike = np.array([sum(w.tag == v.tag for w in v.parent.children) if v.parent and len(v.parent.children) < 200
-                      else siblings[i] for i, v in enumerate(nodes)], float)
+    tags = Counter((id(v.parent), v.tag) for v in nodes)  # once per parent
+    alike = np.array([tags[id(v.parent), v.tag] for v in nodes], float)
     whole = max(total[0], 1)
     before = np.concatenate(([0], np.cumsum(own)[:-1])) / whole
     share_up = total / np.maximum(total[up], 1)

@@ -5,9 +5,11 @@ and attribute words, depth, sibling statistics, and the density of text, links a
 punctuation in its subtree. Boosted trees (histogram splits, logistic loss) give the log odds
 that the element belongs to the article.
 
-No page is labelled, so the trees learn from weak labels of a sample of at most SAMPLE pages
-(the smallest hashes of url and id): text inside article or main counts as article, unless an
-element between says otherwise by its kind or attribute words. Each sampled page is used again in
+No page is labelled, so the trees learn from weak labels of a sample of at most SAMPLE of the pages
+that hold an article or main element (the smallest hashes of url and id): text inside it counts as
+article, unless an element between says otherwise by its kind or attribute words. Only where no
+page of the table has such an element the sample is taken from all pages, and the article is the
+element whose attribute words say so, or else the one with the most paragraph text outside links. Each sampled page is used again in
 VARIANTS altered forms, with telling elements renamed to plain ones, attribute words taken
 away, and blocks of other kinds (menus, notices, comments, forms) put in or around the
 article, so that density, position and siblings have to tell as well.
@@ -33,6 +35,8 @@ from orderlens.llm import dom
 SAMPLE = 300
 VARIANTS = 4
 TREES, DEPTH, RATE, BINS = 60, 4, 0.2, 32
+# fixed values: attribute words of elements that hold the article
+_AREA_WORDS = {"article", "content", "main", "post", "entry", "story", "hentry"}
 _OTHER_TAGS = {"nav", "menu", "header", "footer", "aside", "form", "fieldset", "dialog"}
 
 
@@ -88,16 +92,37 @@ class Trees:
 
 
 # --- weak labels and altered pages -----------------------------------------------------
+def _other(v: dom.Node) -> bool:
+    return v.tag in _OTHER_TAGS or bool(v.tokens & dom.OTHER_WORDS)
+
+
+def areas(nodes: list[dom.Node]) -> list[dom.Node]:
+    """The elements that hold the article by their kind, else by their attribute words, else by
+    the paragraphs right inside them (text less links); none on a page without text."""
+    if by_tag := [v for v in nodes if v.tag in ("article", "main")]:
+        return by_tag
+    if by_word := [v for v in nodes[1:] if v.tokens & _AREA_WORDS and not _other(v) and v.children]:
+        return by_word
+    best, most = None, 0
+    clean = {id(nodes[0]): True}
+    for v in nodes:
+        clean[id(v)] = not _other(v) and (v.parent is None or clean[id(v.parent)])
+        size = sum(sum(len(t) for _, t in w.runs) - w.links for w in v.children if w.tag == "p")
+        if clean[id(v)] and size > most:
+            best, most = v, size
+    return [best] if best is not None else []
+
+
 def weak_labels(nodes: list[dom.Node]) -> np.ndarray | None:
-    """Share of each element's text that counts as article; None without article or main."""
-    if not any(v.tag in ("article", "main") for v in nodes):
+    """Share of each element's text that counts as article; None if nothing tells."""
+    found = {id(v) for v in areas(nodes)}
+    if not found:
         return None
     inside, place = np.zeros(len(nodes)), {id(v): i for i, v in enumerate(nodes)}
     good, size = np.zeros(len(nodes)), np.zeros(len(nodes))
     for i, v in enumerate(nodes):
-        out = v.tag in _OTHER_TAGS or bool(v.tokens & dom.OTHER_WORDS)
         above = inside[place[id(v.parent)]] if v.parent else 0
-        inside[i] = 0 if out else 1 if v.tag in ("article", "main") else above
+        inside[i] = 0 if _other(v) else 1 if id(v) in found else above
         size[i] = sum(len(t) for _, t in v.runs)
         good[i] = size[i] * inside[i]
     for i in range(len(nodes) - 1, 0, -1):
@@ -112,11 +137,11 @@ def _altered(page: str, rng: np.random.Generator) -> tuple[list[dom.Node], np.nd
     nodes = dom.parse(page)
     label = {id(v): g for v, g in zip(nodes, weak_labels(nodes), strict=True)}
     texts = [t for v in nodes for _, t in v.runs] or [""]
-    areas = [v for v in nodes if v.tag in ("article", "main")]
+    hosts = areas(nodes)
     kinds = [("nav", "menu"), ("aside", "sidebar"), ("div", "comments"), ("div", "cookie"), ("form", "newsletter"),
              ("header", "header"), ("footer", "footer"), ("div", "ad"), ("div", "related")]
     for tag, word in [kinds[k] for k in rng.integers(0, len(kinds), 3)]:
-        host = areas[rng.integers(len(areas))]
+        host = hosts[rng.integers(len(hosts))]
         if rng.random() < 0.7 and host.parent:
             host = host.parent
         box = dom.Node(tag, frozenset({word} if rng.random() < 0.8 else ()), host)
@@ -144,8 +169,10 @@ def _altered(page: str, rng: np.random.Generator) -> tuple[list[dom.Node], np.nd
 
 
 def train(pages: DataFrame) -> Trees | None:
-    """Trees from the weak labels of at most SAMPLE pages; None if no page has any."""
-    some = c.smallest_hashes(pages.select("url", "page_id", "html"), SAMPLE, "url", "page_id")
+    """Trees from the weak labels of at most SAMPLE pages; None if the table has no text to learn from."""
+    pages = pages.select("url", "page_id", "html")
+    telling = pages.filter(F.col("html").rlike(r"(?i)<(article|main)[\s/>]"))
+    some = c.smallest_hashes(pages if telling.isEmpty() else telling, SAMPLE, "url", "page_id")
     rows = some.select("html", F.xxhash64("url", "page_id").alias("_k"))
     x, y = [], []
     for r in rows.toLocalIterator():

@@ -58,6 +58,70 @@ def test_raw_elements_end_at_their_own_closing_tag():
         assert x.main_text(nodes, np.ones(len(nodes), bool)) == "Before"
 
 
+def text_of(page):
+    nodes = dom.parse(page)
+    return x.main_text(nodes, np.ones(len(nodes), bool))
+
+
+def test_attributes_follow_the_states_of_the_standard():
+    assert text_of("<p>One</p><p class=it's>Article</p><p>Don't stop</p><p>Last</p>") == "One\n\nArticle\n\nDon't stop\n\nLast"
+    for tag in ('<img alt="5" tall">', "<a href='x' title=\"it\"s\">", '<b title="a>b">', "<b x='>'y=\">\">", "<b a=b'c\"d>",
+                "<b =x>", '<b "x">', "<b a= b c =d e = f>", "<b/ x/y = 'z>'/>", "<b a=>", "<b\nclass\n=\n'q>'>", "<!-->", "<!--->",
+                "<!--x--!>", "<?xml a>", "</ x>", "<!doctype x>", "<B A='\n>\n'>"):
+        assert text_of(f"<p>before {tag}after</p><p>next</p>").replace("  ", " ") == "before after\n\nnext", tag
+    assert text_of("<p>a < b, 1<2 and <3</p>") == "a < b, 1<2 and <3"
+    nodes = dom.parse('<div CLASS=side-bar ID="mainNav" data-class="article" role=\'search\' title=class=post>x</div>')
+    assert nodes[1].tokens == {"side", "bar", "main", "nav", "search"}
+
+
+def test_an_open_quote_takes_the_rest_and_is_read_once():
+    import time
+    assert text_of("<p>a</p><a href='x>b</a><p>c</p>") == "a"
+    t = time.time()
+    text_of("<p>a</p>" + "<a href='x\" y=\"" * 40_000)
+    text_of("<" * 100_000 + "<a " * 50_000)
+    assert time.time() - t < 20
+
+
+def test_siblings_count_the_same_on_long_pages():
+    kinds = []
+    for n in (150, 250):
+        nodes = dom.parse("<div><h2>t</h2>" + "<p>text</p>" * n + "</div>")
+        f = dom.features(nodes)
+        kinds.append([f[2][2 * len(dom.KINDS) + 7] * (n + 1), f[3][2 * len(dom.KINDS) + 7] * (n + 1)])
+    assert np.allclose(kinds, [[1, 150], [1, 250]])
+
+
+def test_a_long_article_keeps_every_paragraph(spark):
+    parts = [f"<p>Paragraph {k}, with a few more words of the text. And an end.</p>" for k in range(300)]
+    heads = [f"<h2>Part {k}</h2>" if k % 30 == 0 else "" for k in range(300)]
+    rows = [(i, f"http://h/{i}", PAGE.format(i=i, more=""), None) for i in range(40)]
+    rows.append((99, "u", PAGE.format(i=99, more="".join(h + p for h, p in zip(heads, parts, strict=True))), None))
+    text = {r["page_id"]: r["text"] for r in x.extract(pages_of(spark, rows)).collect()}[99]
+    want = [w for h, p in zip(heads, parts, strict=True) for w in (h[4:-5], p[3:-4]) if w]
+    assert text.split("\n\n")[3:] == want
+
+
+def test_only_pages_that_tell_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(x, "SAMPLE", 20)
+    plain = "<body><div><p>Just {i}</p></div></body>"
+    rows = [(i, f"http://p/{i}", plain.format(i=i), None) for i in range(300)]
+    rows += [(1000 + i, f"http://h/{i}", PAGE.format(i=i, more=""), None) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in x.extract(pages_of(spark, rows)).collect()}
+    assert all(got[1000 + i].startswith(f"Title & number {i}\n\nFirst") and "Home" not in got[1000 + i] for i in range(20))
+
+
+def test_a_table_without_article_or_main_loses_its_menus(spark):
+    page = PAGE.replace("<article>", '<div class="post-content">').replace("</article>", "</div>")
+    bare = PAGE.replace("<article>", "<div>").replace("</article>", "</div>")
+    for shape in (page, bare):
+        rows = [(i, f"http://h/{i}", shape.format(i=i, more="<p>More text of it, and so on.</p>"), None) for i in range(60)]
+        got = {r["page_id"]: r["text"] for r in x.extract(pages_of(spark, rows)).collect()}
+        for i in range(60):
+            assert got[i].startswith(f"Title & number {i}\n\nFirst paragraph") and got[i].endswith("and so on."), got[i]
+            assert not any(w in got[i] for w in ("Home", "Buy", "Site"))
+
+
 def test_script_with_a_comparison_leaves_the_article(spark):
     page = PAGE.replace('var a="</p>";', "for(i=0;i<n;i++){{}}")
     rows = [(i, f"http://h/{i}", (page if i % 2 else PAGE).format(i=i, more=""), None) for i in range(40)]
