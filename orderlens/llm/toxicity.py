@@ -1,18 +1,18 @@
 """Toxicity scores of texts restored by a noisy-channel decoder.
 
-Restoration: stretches that mix letters with look-alike signs, repeat a letter three times or
-more, or space a word out letter by letter are decoded. Each stretch is a lattice: a sign may
-be itself or a letter it stands for, a repeated letter may be one or two, spaced letters may
-be one word; the channel gives each choice a probability, the character language model of the
-text's language (charlm, counted over all documents) the rest, and Viterbi search keeps the
-best path for each model state. Everything else is left as it is.
+Restoration: stretches that mix letters with look-alike signs (before, between or behind them),
+repeat a letter three times or more, space a word out character by character, or part it by a
+separator are decoded. Each stretch is one lattice in which, at any place, a sign may be itself or
+a letter it stands for, a repeated letter may be one or two, and separators may stay or go; the
+channel gives each choice a probability, a character language model (charlm, counted over all
+documents, one for all of them) the rest, and Viterbi search keeps the best path for each model
+state. Everything else is left as it is.
 
 Score: features of a restored word are the word and its first 4, 5 and 6 bytes, hashed to
 BUCKETS. Spark counts in how many toxic and clean training texts each occurs; a feature's
 strength is the lower confidence bound of its log odds. A text is scored by logistic
 regression on its two strongest words and the number of strong ones. Training texts are the
-at most FIT_ROWS labelled documents with the smallest hashes of their doc_id. Labels, language, source and doc_id are no inputs of the score (the language
-only picks the decoder's model). Rows whose crc32(doc_id as text) mod 5 is 0 are held out.
+at most FIT_ROWS labelled documents with the smallest hashes of their doc_id. Labels, language, source and doc_id are no inputs of the score. Rows whose crc32(doc_id as text) mod 5 is 0 are held out.
 
 Defined cases: null text is empty and gets the score of a text without features; rows without
 doc_id are not held out and not trained on; repeated rows are answered one by one; null or
@@ -46,10 +46,18 @@ KEEP, SWAP, ONE, TWO, JOIN = np.log([0.3, 0.7, 0.7, 0.3, 0.5]).tolist()
 _LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(x) for x in LOOKALIKES]] = True
+_PART = np.zeros(256, bool)
+_PART[[ord(x) for x in ".*_/"]] = True
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
-_MIXED = re.compile(r"[^\W_]*(?:[^\W\d_][0-9@$|!+(]+(?=[^\W\d_])|[0-9@$]+(?=[^\W\d_])|([^\W\d_])\1\1)[\w@$|!+(]*[^\W_]",
-                    re.UNICODE)
-_SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?!\w)")
+_SEPARATORS = " .-_*/"
+_MIXED = re.compile(
+    r"[^\W_]*(?:[^\W\d_][0-9@$|!+(]+(?=[^\W\d_])|[0-9@$]+(?=[^\W\d_])|([^\W\d_])\1\1)[\w@$|!+(]*[^\W_][0-9@$]*"
+    r"|(?<![\w@$|!+(])[!|+(]+[^\W\d_][\w@$|!+(]*[^\W_][0-9@$]*"  # a sign in front
+    r"|[^\W_]*[^\W\d_][0-9@$]+(?!\w)",  # signs at the end
+    re.UNICODE)
+_SINGLE = r"(?:[^\W_]|[@$|!+(])"
+_SPACED = re.compile(rf"(?<![\w@$|!+(])(?:{_SINGLE}[ .\-_*/]{{1,2}}){{2,}}{_SINGLE}(?![\w@$|!+(])")
+_PARTED = re.compile(r"(?<![\w./])[^\W\d_]{2,}[.*_/][^\W\d_]{2,}(?![\w/]|\.\w)")  # one separator; not a path or an address
 
 
 def suspicious(data: np.ndarray) -> bool:
@@ -59,16 +67,18 @@ def suspicious(data: np.ndarray) -> bool:
         return True
     if len(data) > 2 and (letter[2:] & (_fold(data[2:]) == _fold(data[1:-1])) & (_fold(data[1:-1]) == _fold(data[:-2]))).any():
         return True
-    word = np.concatenate(([False], _WORD[data], [False]))
     if len(data) < 5:
         return False
-    # first bytes of characters between two non-word bytes: single letters
+    if (_PART[data[1:-1]] & letter[:-2] & letter[2:]).any():
+        return True
+    word = np.concatenate(([False], _WORD[data] | sign, [False]))
+    # first bytes of characters between two non-word bytes: single letters or signs
     lead = (data & 0xC0) != 0x80
     starts = np.flatnonzero(word[1:] & ~word[:-1])
     ends = np.flatnonzero(word[:-1] & ~word[1:])
     count = np.concatenate(([0], np.cumsum(lead)))
     single = (count[ends] - count[starts]) == 1
-    near = starts[1:] - ends[:-1] == 1
+    near = starts[1:] - ends[:-1] <= 2
     return bool((single[:-2] & single[1:-1] & single[2:] & near[:-1] & near[1:]).any()) if len(starts) > 2 else False
 
 
@@ -91,13 +101,14 @@ class Decoder:
     def lattice(self, stretch: str) -> list[list[tuple[str, float]]]:
         """For each place the possible readings and their channel log probabilities."""
         out, i = [], 0
-        spaced = _SPACED.fullmatch(stretch) is not None
         while i < len(stretch):
             ch = stretch[i]
             j = i
             while j < len(stretch) and stretch[j] == ch:
                 j += 1
-            if spaced and not ch.isalnum():
+            if ch in _SEPARATORS:
+                while j < len(stretch) and stretch[j] in _SEPARATORS:
+                    j += 1
                 out.append([(stretch[i:j], KEEP), ("", SWAP)])
             elif ch in LOOKALIKES:
                 for _ in range(i, min(j, i + 2)) if j - i >= 3 else range(i, j):
@@ -129,8 +140,14 @@ class Decoder:
         return self.done[stretch]
 
     def restore(self, text: str) -> str:
-        text = _MIXED.sub(lambda m: self.read(m[0]), text.lower())
-        return _SPACED.sub(lambda m: self.read(m[0]), text)
+        text = text.lower()
+        for pattern in (_SPACED, _MIXED, _PARTED):  # a word spaced out is read as a whole first
+            text = pattern.sub(self._reading, text)
+        return text
+
+    def _reading(self, match: re.Match) -> str:
+        stretch = match[0]
+        return self.read(stretch) if any(map(str.isalpha, stretch)) else stretch  # no plain numbers
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -149,26 +166,23 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(kinds) % _U(BUCKETS)).astype(np.int64), np.concatenate(which)
 
 
-def _restored(batch, models, decoders):
-    langs, text = c.columns(batch, "lang", "text")
-    for lang, t in zip(langs.to_pylist(), c.text_bytes(text), strict=True):
-        if not suspicious(c.as_bytes(t)):
+def _restored(batch, decoder: Decoder):
+    for t in c.text_bytes(batch.column("text")):
+        if suspicious(c.as_bytes(t)):
+            yield decoder.restore(t.decode("utf-8", "replace")).encode()
+        else:
             yield t.decode("utf-8", "replace").lower().encode()
-            continue
-        if lang not in decoders:
-            decoders[lang] = Decoder(models[lang])
-        yield decoders[lang].restore(t.decode("utf-8", "replace")).encode()
 
 
-def _class_counts(train: DataFrame, models) -> DataFrame:
+def _class_counts(train: DataFrame, model) -> DataFrame:
     """(feature, toxic, clean): training texts of each kind that hold a feature; the row of
     feature -1 counts the texts."""
 
     def run(batches):
-        decoders: dict = {}
+        decoder = Decoder(model.value)
         table = np.zeros((2, BUCKETS + 1), np.int64)
         for batch in batches:
-            for toxic, t in zip(batch.column("toxic").to_pylist(), _restored(batch, models.value, decoders), strict=True):
+            for toxic, t in zip(batch.column("toxic").to_pylist(), _restored(batch, decoder), strict=True):
                 table[toxic, c.distinct_sorted(features(t)[0])] += 1
                 table[toxic, BUCKETS] += 1
         found = np.flatnonzero(table.any(0))
@@ -201,13 +215,13 @@ def summary(text: bytes, buckets: np.ndarray, strength: np.ndarray) -> tuple[flo
     return float(top[-1]), float(top[-2]) if len(top) > 1 else 0.0, float(np.log1p(len(top)))
 
 
-def _summaries(docs: DataFrame, models, table, *more: str) -> DataFrame:
+def _summaries(docs: DataFrame, model, table, *more: str) -> DataFrame:
     """doc_id, held_out, x1, x2, x3 of each row, and the named columns."""
 
     def run(batches):
-        decoders: dict = {}
+        decoder = Decoder(model.value)
         for batch in batches:
-            x = np.array([summary(t, *table.value) for t in _restored(batch, models.value, decoders)]).reshape(-1, 3).T
+            x = np.array([summary(t, *table.value) for t in _restored(batch, decoder)]).reshape(-1, 3).T
             rest = c.columns(batch, "doc_id", *more)
             yield pa.record_batch([*rest, *x], names=["doc_id", *more, "x1", "x2", "x3"])
 
@@ -235,27 +249,28 @@ def _held_out(doc_id: str = "doc_id"):
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs."""
-    docs = c.texts(docs, "lang")
+    docs = c.texts(docs)
     sc = docs.sparkSession.sparkContext
-    models = sc.broadcast(charlm.train(docs))
+    # one model for all texts: a tag of a row must not change its score
+    model = sc.broadcast(charlm.train(docs.withColumn("lang", F.lit("all"))).get("all") or charlm.Model([]))
     known = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)")
              .filter(~_held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     # at most FIT_ROWS rows, so they meet the texts in the scan and no text is shuffled
     known = c.cut(c.smallest_hashes(known, FIT_ROWS, "doc_id"))
     train = docs.join(F.broadcast(known), "doc_id")
-    counts = c.written(_class_counts(train, models), "counts")
+    counts = c.written(_class_counts(train, model), "counts")
     n_toxic, n_clean = (int(x or 0) for x in counts.filter("feature < 0").agg(F.sum("toxic"), F.sum("clean")).first())
     strong = (counts.filter("feature >= 0").select("feature", strength(n_toxic, n_clean).alias("s"))
               .filter(F.col("s") >= STRONG).toPandas().sort_values("feature"))  # at most BUCKETS rows
     table = sc.broadcast((strong["feature"].to_numpy(np.int64), strong["s"].to_numpy(float)))
     if n_toxic and n_clean:
         # one row for each of at most FIT_ROWS documents
-        rows = _summaries(train, models, table, "toxic").dropDuplicates(["doc_id"]).toPandas()
+        rows = _summaries(train, model, table, "toxic").dropDuplicates(["doc_id"]).toPandas()
         w = logistic(rows[["x1", "x2", "x3"]].to_numpy(), rows["toxic"].to_numpy())
         z = sum(F.lit(float(v)) * F.col(k) for v, k in zip(w, ("x1", "x2", "x3"))) + F.lit(float(w[3]))
         score = 1 / (1 + F.exp(-z))
     else:
         score = F.lit(0.0)
-    out = _summaries(docs, models, table).withColumn("score", score)
+    out = _summaries(docs, model, table).withColumn("score", score)
     return out.select("doc_id", _held_out().alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

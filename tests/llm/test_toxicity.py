@@ -75,8 +75,41 @@ def test_viterbi_equals_search_over_all_readings(docs_of, corpus):
         assert decoder.read(stretch) == best[1]
 
 
+HIDDEN = {  # leading, trailing and mixed forms
+    "!diot": "idiot", "(unt": "cunt", "|oser": "loser", "a$$": "ass", "dumb@$$": "dumbass", "whor3": "whore",
+    "1 d 1 o t": "idiot", "s.h.1.t": "shit", "i d i o t": "idiot", "i  d  i  o  t": "idiot", "i/d/i/o/t": "idiot",
+    "st.upid": "stupid", "w-h-0-r-e": "whore", "$tup1d": "stupid", "idiiii0t": "idiot", "1d10t": "idiot"}
+
+
+def test_every_form_of_obfuscation_is_restored(docs_of):
+    import random
+    rng = random.Random(4)
+    words = sorted(set(HIDDEN.values()))
+    rows = [(i, " ".join(w for x in prose(rng, 60).split(" ") for w in ([x, rng.choice(words)] if rng.random() < 0.2 else
+                                                                        [f"({x})"] if rng.random() < 0.2 else [x])))
+            for i in range(60)]
+    decoder = t.Decoder(charlm.train(docs_of(rows))["en"])
+    wrong = {h: decoder.restore(f"Words {h} here").split(" ", 1)[1].rsplit(" ", 1)[0] for h in HIDDEN}
+    wrong = {h: r for h, r in wrong.items() if r != HIDDEN[h]}
+    assert not wrong
+    plain = "Some words, and more (in brackets) here! See a/b, end. Next 10% of 3 4 5 at 12:30."
+    assert decoder.restore(plain) == plain.lower()
+    for h in HIDDEN:
+        assert t.suspicious(np.frombuffer(f"Words {h} here".encode(), np.uint8)), h
+
+
+def test_the_language_tag_is_no_input(spark, docs_of, corpus):
+    rows, labels = corpus
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    extra = [(5000, "some text gr0tb4g here"), (5001, "some text gr0tb4g here"), (5002, "some text gr0tb4g here")]
+    tagged = [(*r, "en") for r in rows] + [(*extra[0], "en"), (*extra[1], "yy"), (*extra[2], None)]
+    got = rows_of(t.toxicity(docs_of(tagged), lab), "doc_id")
+    assert got[5000]["score"] == got[5001]["score"] == got[5002]["score"] >= 0.5
+
+
 def test_quick_test_misses_nothing():
-    for text in ("plain words only", "a b c", "x1y", "heeey", "1a", "a1", "a b", "é é é", "ab c d e f", "no. 5, 6!"):
+    for text in ("plain words only", "a b c", "x1y", "heeey", "1a", "a1", "a b", "é é é", "ab c d e f", "no. 5, 6!", "a  b  c", "(x) y",
+                 "$ h ! t", "x.y", "ab.cd", "é.éé.é", "éé/éé", "a$", "!ab", "| o s e r", "one_two"):
         data = np.frombuffer(text.encode(), np.uint8)
-        if t._MIXED.search(text.lower()) or t._SPACED.search(text.lower()):
+        if any(p.search(text.lower()) for p in (t._MIXED, t._SPACED, t._PARTED)):
             assert t.suspicious(data), text
