@@ -34,7 +34,7 @@ CAPACITY = 2048
 PIVOTS = 6
 SHARES = (1.0, 0.75, 0.5, 0.25, 0.0)
 GROUP = 50_000  # pieces of one length that one window group numbers, on average at most
-WORD_CACHE = 300_000  # words whose ids a worker keeps
+WORD_CACHE = 450_000  # words whose ids a worker keeps
 _FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -45,9 +45,10 @@ def default_tokenizer() -> str:
 
 class WordIds:
     """Ids of words as little-endian bytes. The tokenizer drops white space and never joins
-    across it, so a text's ids are those of its words, and each word is encoded once. A word
-    that ends in stops after a letter is its stem and its stops, as the tokenizer always parts
-    them there; words of letters alone are encoded many at a time."""
+    across it, so a text's ids are those of its words, and each word is encoded once while it is
+    kept. Words come with A-Z in lower case, as the tokenizer has them, or as they are. A word that ends in stops
+    after a letter is its stem and its stops, as the tokenizer always parts them there; words of
+    letters alone are encoded many at a time."""
 
     STOPS = ".,;:!?"
 
@@ -58,22 +59,18 @@ class WordIds:
         # tokens that end a stretch of letters, by the vocabulary's word-end mark
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {"": b""}
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        stem = word.rstrip(self.STOPS)
-        if stem == word or not stem or not stem[-1].isalpha() or "'" in word:
-            stem = word
-        tail = word[len(stem):]
-        # the tokenizer lower-cases: one entry for all ASCII spellings
-        return stem.lower() if stem.isascii() and stem.isalpha() else stem, tail
+        self.words: dict[str, bytes] = {"": b""}
 
     def learn(self, words: set[str]) -> None:
-        parts = {w: self._parts(w) for w in words}
-        new = {p for both in parts.values() for p in both if p not in self.stems}
-        plain = [p for p in new if p.isalpha()]
-        other = [p for p in new if not p.isalpha()]
+        known, stopped = self.words, []
+        for w in [w for w in words if w[-1] in self.STOPS]:
+            stem = w.rstrip(self.STOPS)
+            if stem and stem[-1].isalpha() and "'" not in w:
+                stopped.append((w, stem, w[len(stem):]))
+        words.difference_update([w for w, _, _ in stopped])
+        words.update([x for _, *both in stopped for x in both if x not in known])
+        plain = [p for p in words if p.isalpha()]
+        other = [p for p in words if not p.isalpha()]
         chunks = [plain[i:i + 500] for i in range(0, len(plain), 500)]
         for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(x) for x in chunks],
                                                                      add_special_tokens=False), strict=True):
@@ -84,17 +81,17 @@ class WordIds:
                 continue
             raw, at = ids.tobytes(), 0
             for p, end in zip(chunk, (4 * ends).tolist(), strict=True):
-                self.stems[p] = raw[at:end]
+                known[p] = raw[at:end]
                 at = end
         for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.stems[p] = np.array(e.ids, "<u4").tobytes()
-        for w, (stem, tail) in parts.items():
-            self.words[w] = self.stems[stem] + self.stems[tail]
+            known[p] = np.array(e.ids, "<u4").tobytes()
+        for w, stem, stops in stopped:
+            known[w] = known[stem] + known[stops]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.words) > WORD_CACHE or len(self.stems) > WORD_CACHE:
-            self.words, self.stems = {}, {"": b""}
+        if len(self.words) > WORD_CACHE:
+            self.words = {"": b""}
         self.learn(set().union(*split) - self.words.keys())
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
@@ -107,7 +104,8 @@ def _encoded(words: WordIds, texts) -> Iterator[bytes]:
     """Ids of each text, about a megabyte of text at a time."""
     some, size = [], 0
     for t in texts:
-        some.append(t.decode("utf-8", "replace"))
+        # of bytes: A-Z only; names of special tokens are told by their case
+        some.append((t if b"<|" in t else t.lower()).decode("utf-8", "replace"))
         size += len(t)
         if size > 1 << 20:
             yield from words.ids(some)
