@@ -1,9 +1,10 @@
 """Licence scans: a trained passage classifier, confirmed by comparison with templates.
 
 Everything runs as DataFrame and SQL functions and the DataFrame form of MLlib. A passage is
-a sentence of a line. The classifier sees every passage that has a word. Those that it gives a
-family with a template that shares a bigram with them, and those with one of the STEMS, whatever
-they are given, are in the result.
+a sentence of a line. In the result are the passages that the classifier gives a family with a
+template that shares a bigram with them, and those with one of the STEMS, whatever they are given.
+Only passages that hold a bigram of some template, or a stem, can be of either kind, so one pattern
+over the text drops the others before n-grams are made (the result is the same without it).
 
 Training: the sentences of the templates, each again with every single word left out, and the
 class `unknown`: sentences that use licence words otherwise, and at most NEGATIVES ordinary
@@ -22,6 +23,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -107,6 +110,30 @@ def _stemmed(text):
     return out
 
 
+def _either(words: list[str]) -> str:
+    """A pattern for any of the words, as a tree of their first letters (few branches to try)."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], []).append(w[1:])
+    parts = [re.escape(h) + (_either(rest) if any(rest) else "") for h, rest in sorted(heads.items()) if h]
+    return f"(?:{'|'.join(parts)}){'?' if '' in heads else ''}" if parts else ""
+
+
+def _may_match(text):
+    """Whether a text holds a word bigram of any template of a family, or a stem."""
+    after: dict[str, set[str]] = {}
+    for family, own in TEMPLATES.items():
+        for t in own if family != UNKNOWN else ():
+            words = re.findall("[a-z0-9]+", t.lower())
+            for a, b in zip(words, words[1:] or words, strict=False):
+                after.setdefault(a, set()).add(b)
+    firsts: dict[tuple[str, ...], list[str]] = {}  # first words with the same second words
+    for a, b in after.items():
+        firsts.setdefault(tuple(sorted(b)), []).append(a)
+    pairs = "|".join(f"{_either(sorted(a))}[^a-z0-9]+{_either(list(b))}" for b, a in sorted(firsts.items()))
+    return F.lower(text).rlike(f"(?<![a-z0-9])(?:{pairs})(?![a-z0-9])") | _stemmed(text)
+
+
 def _sentences(text):
     """Sentences of the lines of a text, numbered by line and within it."""
     lines = F.posexplode(F.split(text, "\n"))
@@ -191,7 +218,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, line, sentence, passage, family, predicted, probability, similarity, confirmed
     of every passage that the classifier gives a family with a similar template, or that has a licence stem."""
     spark = docs.sparkSession
-    every = _grams(sentences(docs).filter(F.col("passage").rlike("[A-Za-z0-9]")))
+    every = _grams(sentences(docs).filter(_may_match(F.col("passage"))))
     found = Classifier(spark, docs).predict(every)
     # a generated column: a filter on it is not moved below the model and computed twice
     found = found.select("doc_id", "line", "sentence", "passage", "_bigrams", F.explode(F.array(

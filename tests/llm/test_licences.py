@@ -55,5 +55,22 @@ def test_passages_without_a_stem_meet_the_classifier(docs_of, rng):
     assert (got[102]["predicted"], got[103]["predicted"]) == ("MIT", "GPL")
 
 
+def test_the_gate_keeps_every_passage_that_the_result_can_hold(spark, docs_of, rng):
+    import itertools
+    bigrams = set()
+    for f, own in m.TEMPLATES.items():
+        for t in own if f != m.UNKNOWN else ():
+            words = re.findall("[a-z0-9]+", t.lower())
+            bigrams |= set(itertools.pairwise(words))
+    texts = [f"x {a.upper()} - {b}, y" for a, b in bigrams] + [f"{a} {b}" for a, b in bigrams]
+    texts += [prose(rng, 12) for _ in range(40)] + ["the mits license", "under them it", "é the é mit", "rights", "0 1"]
+    texts += [" ".join(rng.choice(sorted(bigrams))[rng.randrange(2)] for _ in range(5)) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "passage string")
+    got = {r[0] for r in df.filter(m._may_match(m.F.col("passage"))).collect()}
+    for t in texts:
+        held = bigrams & set(itertools.pairwise(re.findall("[a-z0-9]+", t.lower())))
+        assert (t in got) == (bool(held) or any(s in t.lower() for s in m.STEMS)), t
+
+
 def test_empty_table(docs_of):
     assert m.scan(docs_of([])).collect() == []
