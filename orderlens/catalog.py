@@ -288,6 +288,32 @@ def q_late_options(job: str, table: str) -> Query:
     return run
 
 
+def _spoiled(items: DataFrame, options: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Landing rows with text that does not parse, by order number."""
+    key = F.col("order_id").cast("long")
+    items = items.withColumns({
+        "item_quantity": F.when(key % 50 == 0, F.lit("many")).otherwise(F.col("item_quantity").cast("string")),
+        "item_price": F.when(key % 60 == 0, F.lit("1,5")).otherwise(F.col("item_price").cast("string")),
+        "creation_time_utc": F.when(key % 70 == 0, F.lit("yesterday")).otherwise(F.col("creation_time_utc"))})
+    price = F.when(key % 90 == 0, F.lit("free")).otherwise(F.col("option_price").cast("string"))
+    return items, options.withColumn("option_price", price)
+
+
+def q_rejects(table: str, on_bad: str) -> Query:
+    """Landed rows that do not parse, found by two batch runs; or the facts without them."""
+    def run(spark, sf):
+        src, out, mark = (scratch_path(spark, x) for x in ("landing", "curated", "mark"))
+        items, options = _spoiled(testdata.order_items_source(spark, sf), testdata.order_item_options_source(spark, sf))
+        landing.write_landing({"date_dim": _dates_with_week(spark, sf), "order_item_options": options}, src)
+        early = F.col("creation_time_utc") <= INCREMENT_MARK.strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        for part in (early, ~early):
+            landing.write_landing({"order_items": items.filter(part)}, src, mode="append")
+            incremental.run_batch(spark, src, out, mark, on_bad=on_bad)
+        found = incremental.read_curated(spark, out, table)
+        return found.drop("row_text")
+    return run
+
+
 def q_order_state(report: Callable[[DataFrame], DataFrame], policy: str, flag: bool = False) -> Query:
     """A report over the per-order state after three batches, each merged in as it came."""
     def run(spark, sf):
@@ -433,6 +459,8 @@ def queries() -> dict[str, Query]:
         "late_options_batch": q_late_options("batch", "fact_items_options"),
         "late_options_batch_clv": q_late_options("batch", "clv"),
         "late_options_stream": q_late_options("stream", "fact_items_options"),
+        "rejects": q_rejects("rejects", "keep"),
+        "rejects_left_out": q_rejects("fact_items", "reject"),
         "state_clv": q_order_state(customers.clv, "zero_each"),
         "state_rfm": q_order_state(lambda t: customers.rfm(t, AS_OF), "zero_each"),
         "state_churn": q_order_state(lambda t: customers.churn(t, AS_OF), "zero_sum"),

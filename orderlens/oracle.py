@@ -266,6 +266,15 @@ ORDERS_UP_TO_MARK = _with("SELECT DISTINCT order_id, app_id, restaurant_id, COAL
                           "FROM order_items JOIN apps ON order_items.app_name = apps.app_name "
                           f"WHERE creation_time_utc <= {MARK_TS}",
                           _APPS.replace("FROM order_items", f"FROM order_items WHERE creation_time_utc <= {MARK_TS}"))
+# rows whose text is spoiled by order number: every 50th, 60th, 70th, 90th
+REJECTS = _with("""SELECT 'order_items' AS table_name, order_id, lineitem_id, concat_ws('; ',
+  CASE WHEN k % 70 = 0 THEN 'creation_time_utc is not a time' END, CASE WHEN k % 50 = 0 THEN 'item_quantity is not a whole number' END,
+  CASE WHEN k % 60 = 0 THEN 'item_price is not a price' END) AS reason
+FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM order_items) WHERE k % 50 = 0 OR k % 60 = 0 OR k % 70 = 0
+UNION ALL SELECT 'order_item_options', order_id, lineitem_id, 'option_price is not a price'
+FROM order_item_options WHERE CAST(order_id AS BIGINT) % 90 = 0""")
+ITEMS_PARSED = _with("""SELECT * FROM fact_items
+WHERE 0 NOT IN (CAST(order_id AS BIGINT) % 50, CAST(order_id AS BIGINT) % 60, CAST(order_id AS BIGINT) % 70)""")
 HIGH_WATER_MARK = _with("SELECT MAX(creation_time_utc) AS last_processed_timestamp FROM batch", _BATCH)
 
 
@@ -419,6 +428,8 @@ def oracle_sql() -> dict[str, str]:
         "late_options_batch": FACT_OPTIONS_ALL,
         "late_options_batch_clv": CLV_OF_ITEMS,
         "late_options_stream": FACT_OPTIONS_ALL,
+        "rejects": REJECTS,
+        "rejects_left_out": ITEMS_PARSED,
         "state_clv": CLV_OF_ITEMS,
         "state_rfm": _of_items(RFM_SEGMENTED),
         "state_churn": _of_items(CHURN),

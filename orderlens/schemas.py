@@ -52,6 +52,8 @@ FACT_ITEMS_OPTIONS = _s(
     ("option_quantity", OPTION_QTY), ("option_price", OPTION_MONEY), ("option_total", OPTION_TOTAL),
 )
 
+REJECTS = _s(("table_name", STR), ("order_id", STR), ("lineitem_id", STR), ("reason", STR), ("row_text", STR))
+
 # --- report results (CSV outputs; inputs of the dashboard aggregates) -------
 CLV = _s(("user_id", STR), ("total_item_cost", DBL), ("total_option_cost", DBL),
          ("total_cost_per_user", DBL), ("clv_percent", DBL), ("clv_tag", STR))

@@ -30,7 +30,8 @@ from orderlens.sources.testdata import Star
 FACTS = ("fact_orders", "fact_items", "fact_items_options")
 SCHEMAS = {"fact_orders": schemas.FACT_ORDERS, "fact_items": schemas.FACT_ITEMS,
            "fact_items_options": schemas.FACT_ITEMS_OPTIONS, "dim_app": schemas.DIM_APP,
-           "date_dim": schemas.DATE_DIM, "pending_options": schemas.ORDER_ITEM_OPTIONS}
+           "date_dim": schemas.DATE_DIM, "pending_options": schemas.ORDER_ITEM_OPTIONS,
+           "rejects": schemas.REJECTS}
 BUCKET_KEY = "order_id"
 
 STAR_ORDERS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_ORDERS.fields
@@ -126,7 +127,8 @@ def read_batches(spark: SparkSession, out: str, name: str, snap: Snapshot | None
     snap = snap or commits.snapshot(spark, out)
     fact = name in FACTS
     if snap is not None:
-        live = snap.batches if fact else [snap.latest] if snap.latest else []
+        # rejects are not compacted: those of every load
+        live = snap.batches if fact else sorted(snap.loads) if name == "rejects" else [snap.latest] if snap.latest else []
         if not live:
             return spark.createDataFrame([], SCHEMAS[name])
         return read_some(spark, out, name, live)

@@ -30,10 +30,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orderlens import schemas
-from orderlens.operators import conform
+from orderlens.operators import conform, rejects
 from orderlens.session import stored
 from orderlens.sources import commits, curated
 from orderlens.sources.commits import Snapshot
@@ -84,9 +84,10 @@ def settle_options(options: DataFrame, new_items: DataFrame, loaded_items: DataF
 
     The loaded lines are cut down to those that an option asks for first: only two of their
     columns are read, and they are not shuffled while the options are few enough to be sent to
-    them (AQE decides on the measured size). Options without a full key can have no line.
+    them (AQE decides on the measured size). Options without a full key can have no line. The
+    options are read four times: pass stored ones.
     """
-    options = stored(options.dropna(subset=LINE), "options")  # new and waiting ones, read four times
+    options = options.dropna(subset=LINE)
     asked = options.select(*LINE).distinct()
     lines = new_items.select(*LINE)
     if loaded_items is not None:
@@ -182,13 +183,24 @@ def _star(order_items: DataFrame, option_facts: DataFrame, date_dim: DataFrame,
     }
 
 
-def _load(spark: SparkSession, out: str, seen: Snapshot, token: str, items: DataFrame, options: DataFrame,
-          dates: DataFrame, buckets: int | None, mark: dt.datetime | None, options_from: str | None,
-          on_write: Callable[[str], None] | None, always: bool) -> bool:
-    """Write and commit one batch; False (and nothing written) if it holds neither lines nor
-    options that find their line, unless ``always``."""
+def _load(spark: SparkSession, out: str, seen: Snapshot, token: str, rows: DataFrame, items: DataFrame,
+          options: DataFrame, dates: DataFrame, buckets: int | None, mark: dt.datetime | None, options_from: str | None,
+          on_write: Callable[[str], None] | None, on_bad: str, always: bool) -> bool:
+    """Write and commit one batch; False (and nothing written) if it holds no lines, no options
+    that find their line and no new rejects, unless ``always``. ``rows`` are the flagged order
+    lines that were read, ``items`` those of the batch among them."""
+    declared = schemas.ORDER_ITEM_OPTIONS.fieldNames()
+    options = stored(rejects.flagged(options.select(*declared), "order_item_options"), "new-options")
+    bad = rejects.reject_rows(rows, "order_items", schemas.ORDER_ITEMS.fieldNames()).unionByName(
+        rejects.reject_rows(options, "order_item_options", declared))
+    known = curated.read_batches(spark, out, "rejects", seen) if seen.loads else None
+    if known is not None:  # landed rows that are read again
+        bad = bad.join(known.select("table_name", "row_text"), ["table_name", "row_text"], "left_anti").select(*bad.columns)
+    bad = stored(bad, "rejects")
+    if on_bad == "reject":
+        items, options = rejects.parsed_rows(items), rejects.parsed_rows(options)
     waiting = _latest(spark, out, "pending_options", seen)
-    options = options.select(*schemas.ORDER_ITEM_OPTIONS.fieldNames())
+    options = options.select(*declared)
     if waiting is not None:
         options = options.unionByName(waiting)
     loaded = curated.read_batches(spark, out, "fact_items", seen) if seen.batches else None
@@ -200,17 +212,33 @@ def _load(spark: SparkSession, out: str, seen: Snapshot, token: str, items: Data
         there = curated.read_batches(spark, out, "fact_items_options", seen).select(*facts.columns)
         there = there.join(facts.select("order_id").distinct(), "order_id", "left_semi").select(*facts.columns)
         facts = facts.subtract(there)
-    if not always and items.isEmpty() and facts.isEmpty():
+    if not always and items.isEmpty() and bad.isEmpty() and facts.isEmpty():
         return False
     tables = _star(items, facts, dates, _latest(spark, out, "dim_app", seen))
     tables["pending_options"] = later.distinct()
+    tables["rejects"] = bad
     write_curated(tables, out, batch_id=token, buckets=buckets, dims_per_batch=True, on_write=on_write)
     commits.commit_load(spark, out, seen, token, mark, options_from)
     return True
 
 
+def _flagged_items(raw: DataFrame, last: dt.datetime | None, on_rows: Callable[[dict], None] | None) -> DataFrame:
+    """Order lines, flagged and conformed in one stored pass: those after the mark, and those whose
+    time cannot be read. ``on_rows`` gets the counts of rows and rejects."""
+    rows = conform.conform_orders(rejects.flagged(raw, "order_items"))
+    unread = F.col("creation_time_utc").isNull() & F.col(rejects.RAW_TIME).isNotNull()
+    if last is not None:
+        rows = rows.filter((F.col("creation_time_utc") > F.lit(last).cast("timestamp_ntz")) | unread)
+    seen = Observation("order-items")
+    rows = stored(rows.observe(seen, *rejects.counts("order_items")), "batch")
+    if on_rows is not None:
+        on_rows(seen.get)
+    return rows
+
+
 def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str, buckets: int | None = None,
-              on_write: Callable[[str], None] | None = None) -> dt.datetime | None:
+              on_write: Callable[[str], None] | None = None, on_bad: str = "keep",
+              on_rows: Callable[[dict], None] | None = None) -> dt.datetime | None:
     """The batch transform job with a stored high-water mark; returns the new mark.
 
     The batch is "rows after <last mark>" and the options landed since the last run; its tables
@@ -218,6 +246,12 @@ def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str, bucke
     failure rewrites the same partitions. The commit record is what makes the batch visible and
     what holds the mark; ``mark_path`` keeps a copy of it for others to read. ``on_write`` is told
     each table that has been written (an exception there stops the run as a crash would).
+
+    Rows whose text does not parse go to the table ``rejects`` with the reason; in the facts their
+    bad values are NULL (``on_bad="keep"``, as in the source job), or they are left out
+    (``"reject"``). A row whose time cannot be read has no place before or after the mark: it
+    is found where its text sorts after the mark's. ``on_rows`` gets the counts of the order lines
+    read and rejected.
     """
     last = read_mark(spark, mark_path)
     seen = commits.begin(spark, out)
@@ -225,22 +259,23 @@ def run_batch(spark: SparkSession, landing: str, out: str, mark_path: str, bucke
         last = seen.mark  # a run may have died between its commit and the copy
     src = {name: load_table(spark, landing, name) for name in ("order_items", "order_item_options", "date_dim")}
     # conformed once, then read by every output
-    batch = stored(new_rows(conform.conform_orders(newer_text(src["order_items"], last)), last), "batch")
+    rows = _flagged_items(newer_text(src["order_items"], last), last, on_rows)
+    batch = new_rows(rows, last)
     mark = next_mark(batch, last)
     options = new_options(src["order_item_options"], seen.options_from)
     upto = None
     if INGEST_DATE in options.columns:
         upto = options.agg(F.max(INGEST_DATE)).first()[0]  # of the folder names' column
     start = FIRST_BATCH if last is None else last.strftime("%Y%m%dT%H%M%S%f")
-    if _load(spark, out, seen, f"{start}-{seen.size:06d}", batch, options, src["date_dim"], buckets, mark,
-             str(upto) if upto else None, on_write, always=False) and mark is not None:
+    if _load(spark, out, seen, f"{start}-{seen.size:06d}", rows, batch, options, src["date_dim"], buckets, mark,
+             str(upto) if upto else None, on_write, on_bad, always=False) and mark is not None:
         write_mark(spark, mark_path, mark)
     return mark
 
 
 # --------------------------------------------------------------------------- E13
 def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str, buckets: int | None = None,
-                    on_write: Callable[[str], None] | None = None) -> None:
+                    on_write: Callable[[str], None] | None = None, on_bad: str = "keep") -> None:
     """Conform every new landing file of items and options once, as a Structured Streaming job.
 
     ``trigger(availableNow=True)`` processes what has arrived and stops, so
@@ -265,10 +300,10 @@ def run_incremental(spark: SparkSession, landing: str, out: str, checkpoint: str
         # read and conformed once, then read by every output
         rows = stored(batch, f"batch-{batch_id}")
         part = lambda name: rows.filter(F.col(name).isNotNull()).select(f"{name}.*")
-        items = conform.conform_orders(conform_to(part("order_items"), schemas.ORDER_ITEMS))
+        items = _flagged_items(conform_to(part("order_items"), schemas.ORDER_ITEMS), None, None)
         options = conform_to(part("order_item_options"), schemas.ORDER_ITEM_OPTIONS)
-        _load(spark, out, seen, str(batch_id), items, options, load_table(spark, base, "date_dim"), buckets,
-              next_mark(items, seen.mark), None, on_write, always=True)
+        _load(spark, out, seen, str(batch_id), items, items, options, load_table(spark, base, "date_dim"), buckets,
+              next_mark(items, seen.mark), None, on_write, on_bad, always=True)
 
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint)
