@@ -409,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
         "write_curated_orders": FACT_ORDERS_E8,
         "write_bucketed": FACT_ITEMS_E9,
         "run_reports": RUN_REPORTS,
+        "run_reports_at_once": RUN_REPORTS,
         "incremental_batch": FACT_ITEMS_E9,
         "incremental_batch_orders": FACT_ORDERS_E8,
         "incremental_batch_options": FACT_OPTIONS_ALL,
