@@ -123,12 +123,13 @@ class Words:
         if not self.apart:
             return [self._whole(t) for t in texts]
         split = [t.split(" ") for t in texts]
-        if len(self.known) > WORD_CACHE:
-            self.known = {}
-        self._learn(set().union(*split) - self.known.keys())
+        words = set().union(*split)
+        if len(self.known) > WORD_CACHE:  # what is in use now stays
+            self.known = {w: self.known[w] for w in words & self.known.keys()}
+        self._learn(words - self.known.keys())
         get, out = self.known.__getitem__, []
-        for t, words in zip(texts, split, strict=True):
-            parts = list(map(get, words))
+        for t, own in zip(texts, split, strict=True):
+            parts = list(map(get, own))
             try:
                 out.append(b"".join(parts))
             except TypeError:  # parts that are no bytes

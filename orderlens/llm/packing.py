@@ -90,9 +90,10 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.words) > WORD_CACHE:
-            self.words = {"": b""}
-        self.learn(set().union(*split) - self.words.keys())
+        words = set().union(*split)
+        if len(self.words) > WORD_CACHE:  # what is in use now stays
+            self.words = {w: self.words[w] for w in words & self.words.keys()} | {"": b""}
+        self.learn(words - self.words.keys())
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
