@@ -18,12 +18,12 @@ from orderlens.insights import locations as iloc
 from orderlens.insights import programs as iprog
 from orderlens.insights import segments as iseg
 from orderlens.insights import trends as itr
-from orderlens.operators import conform
+from orderlens.operators import conform, distinct_orders
 from orderlens.operators.order_totals import apply_policy, order_totals
 from orderlens.operators.ranking import with_ntile, with_percent_rank
 from orderlens.plans import customers, order_state, programs, sales
 from orderlens.plans.runner import run_reports
-from orderlens.session import scratch_path
+from orderlens.session import scratch_path, stored
 from orderlens.sources import curated, landing, results, testdata
 from orderlens.streaming import incremental
 
@@ -299,6 +299,30 @@ def _spoiled(items: DataFrame, options: DataFrame) -> tuple[DataFrame, DataFrame
     return items, options.withColumn("option_price", price)
 
 
+def _order_bitmaps(spark, sf):
+    """Bitmaps per location and day of two batches of orders: numbered, built and merged as they come."""
+    orders = testdata.star(spark, sf).fact_orders
+    early = F.col("creation_time_utc") <= F.lit(INCREMENT_MARK).cast("timestamp_ntz")
+    keys, numbers, parts = ["restaurant_id"], None, []
+    for part in (orders.filter(early), orders.filter(~early)):
+        numbers = stored(distinct_orders.number_orders(part, numbers), "order_numbers")
+        parts.append(stored(distinct_orders.day_bitmaps(part, numbers, keys), "day_bitmaps"))
+    return distinct_orders.merged(parts, keys)
+
+
+def q_distinct_orders(spark, sf):
+    """Distinct orders of each location from a year before the mark to a month after it."""
+    day = INCREMENT_MARK.date()
+    return distinct_orders.count_orders(_order_bitmaps(spark, sf), ["restaurant_id"], day - dt.timedelta(days=365),
+                                        day + dt.timedelta(days=30))
+
+
+def q_distinct_orders_monthly(spark, sf):
+    """Distinct orders of each location and month, added up from days."""
+    month = F.trunc("day", "month").alias("month")
+    return distinct_orders.count_orders(_order_bitmaps(spark, sf), ["restaurant_id", month])
+
+
 def q_rejects(table: str, on_bad: str) -> Query:
     """Landed rows that do not parse, found by two batch runs; or the facts without them."""
     def run(spark, sf):
@@ -465,6 +489,8 @@ def queries() -> dict[str, Query]:
         "late_options_batch": q_late_options("batch", "fact_items_options"),
         "late_options_batch_clv": q_late_options("batch", "clv"),
         "late_options_stream": q_late_options("stream", "fact_items_options"),
+        "distinct_orders": q_distinct_orders,
+        "distinct_orders_monthly": q_distinct_orders_monthly,
         "rejects": q_rejects("rejects", "keep"),
         "rejects_left_out": q_rejects("fact_items", "reject"),
         "state_clv": q_order_state(customers.clv, "zero_each"),

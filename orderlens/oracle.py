@@ -266,6 +266,10 @@ ORDERS_UP_TO_MARK = _with("SELECT DISTINCT order_id, app_id, restaurant_id, COAL
                           "FROM order_items JOIN apps ON order_items.app_name = apps.app_name "
                           f"WHERE creation_time_utc <= {MARK_TS}",
                           _APPS.replace("FROM order_items", f"FROM order_items WHERE creation_time_utc <= {MARK_TS}"))
+DISTINCT_ORDERS = _with("SELECT restaurant_id, COUNT(DISTINCT order_id) AS orders FROM fact_orders WHERE "
+                        "CAST(creation_time_utc AS DATE) BETWEEN DATE '2000-06-01' AND DATE '2001-07-01' GROUP BY restaurant_id")
+DISTINCT_ORDERS_MONTHLY = _with("SELECT restaurant_id, CAST(date_trunc('month', creation_time_utc) AS DATE) AS month, "
+                                "COUNT(DISTINCT order_id) AS orders FROM fact_orders GROUP BY 1, 2")
 # rows whose text is spoiled by order number: every 50th, 60th, 70th, 90th
 REJECTS = _with("""SELECT 'order_items' AS table_name, order_id, lineitem_id, concat_ws('; ',
   CASE WHEN k % 70 = 0 THEN 'creation_time_utc is not a time' END, CASE WHEN k % 50 = 0 THEN 'item_quantity is not a whole number' END,
@@ -429,6 +433,8 @@ def oracle_sql() -> dict[str, str]:
         "late_options_batch": FACT_OPTIONS_ALL,
         "late_options_batch_clv": CLV_OF_ITEMS,
         "late_options_stream": FACT_OPTIONS_ALL,
+        "distinct_orders": DISTINCT_ORDERS,
+        "distinct_orders_monthly": DISTINCT_ORDERS_MONTHLY,
         "rejects": REJECTS,
         "rejects_left_out": ITEMS_PARSED,
         "state_clv": CLV_OF_ITEMS,

@@ -1,15 +1,17 @@
 """Copy source tables from a JDBC database into the landing zone (Parquet).
 
 The source job read each table through one JDBC connection (one task per
-table). Here a table can be read in parallel: with a numeric partition
-column, Spark issues ``num_partitions`` range queries; bounds are taken from
+table). Here a table can be read in parallel: with a numeric, date or time
+partition column, Spark issues ``num_partitions`` range queries; bounds are taken from
 the table (a one-row MIN/MAX query) when not given. Connection properties
 (user, password) are passed straight to the reader and never printed.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +22,8 @@ from orderlens.sources.landing import LANDING_SCHEMAS, conform_to
 class Partitioning:
     column: str
     num_partitions: int
-    lower: int | None = None
-    upper: int | None = None
+    lower: int | str | None = None  # a date or time as text
+    upper: int | str | None = None
 
 
 def _reader(spark: SparkSession, url: str, props: dict[str, str]):
@@ -31,23 +33,38 @@ def _reader(spark: SparkSession, url: str, props: dict[str, str]):
     return r
 
 
-def bounds(spark: SparkSession, url: str, table: str, column: str, props: dict[str, str]) -> tuple[int, int]:
-    """MIN and MAX of ``column``, computed by the database (one row comes back)."""
+def bounds(spark: SparkSession, url: str, table: str, column: str,
+           props: dict[str, str]) -> tuple[int | str, int | str] | None:
+    """MIN and MAX of ``column``, computed by the database (one row comes back); None if it has no values."""
     q = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
-    row = _reader(spark, url, props).option("dbtable", q).load().first()
-    return int(row[0] or 0), int(row[1] or 0)
+    return as_bounds(_reader(spark, url, props).option("dbtable", q).load().first())
+
+
+def as_bounds(row) -> tuple[int | str, int | str] | None:
+    """A MIN/MAX row as reader options: whole numbers, or dates and times as text. Other kinds have
+    no ranges that Spark could split."""
+    if row[0] is None:
+        return None
+    if isinstance(row[0], dt.datetime):
+        return tuple(v.isoformat(sep=" ") for v in row)
+    if isinstance(row[0], dt.date):
+        return tuple(v.isoformat() for v in row)
+    if isinstance(row[0], (int, float, Decimal)):
+        return int(row[0] // 1), int(row[1] // 1) + 1
+    raise ValueError(f"cannot split by a column of {type(row[0]).__name__}: take a number, a date or a time")
 
 
 def read_table(spark: SparkSession, url: str, table: str, props: dict[str, str],
                partitioning: Partitioning | None = None) -> DataFrame:
     reader = _reader(spark, url, props).option("dbtable", table)
     if partitioning is not None:
-        lo, hi = partitioning.lower, partitioning.upper
-        if lo is None or hi is None:
-            lo, hi = bounds(spark, url, table, partitioning.column, props)
-        reader = (reader.option("partitionColumn", partitioning.column)
-                  .option("lowerBound", str(lo)).option("upperBound", str(hi + 1))
-                  .option("numPartitions", str(partitioning.num_partitions)))
+        ends = partitioning.lower, partitioning.upper
+        if None in ends:
+            ends = bounds(spark, url, table, partitioning.column, props)
+        if ends is not None:  # else: no values, one task
+            reader = (reader.option("partitionColumn", partitioning.column)
+                      .option("lowerBound", str(ends[0])).option("upperBound", str(ends[1]))
+                      .option("numPartitions", str(partitioning.num_partitions)))
     return reader.load()
 
 

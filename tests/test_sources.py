@@ -44,3 +44,18 @@ def test_latest_result_picks_largest_run_id(spark):
     assert [r.v for r in results.read_latest(spark, out, "r", schema=None).collect()] == ["2"]
     with pytest.raises(FileNotFoundError):
         results.read_latest(spark, out, "missing")
+
+
+def test_jdbc_bounds_of_numbers_dates_and_times():
+    import datetime as dt
+    from decimal import Decimal
+
+    import pytest
+
+    from orderlens.sources.jdbc import as_bounds
+    assert as_bounds((3, 9)) == (3, 10) and as_bounds((Decimal("2.5"), Decimal("7.5"))) == (2, 8)
+    assert as_bounds((dt.date(2020, 1, 2), dt.date(2021, 1, 1))) == ("2020-01-02", "2021-01-01")
+    assert as_bounds((dt.datetime(2020, 1, 2, 3), dt.datetime(2021, 1, 1))) == ("2020-01-02 03:00:00", "2021-01-01 00:00:00")
+    assert as_bounds((None, None)) is None
+    with pytest.raises(ValueError, match="str"):
+        as_bounds(("a", "b"))
