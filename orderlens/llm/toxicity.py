@@ -46,14 +46,17 @@ KEEP, SWAP, ONE, TWO, JOIN = np.log([0.3, 0.7, 0.7, 0.3, 0.5]).tolist()
 _LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(x) for x in LOOKALIKES]] = True
+_TAIL = np.zeros(256, bool)  # signs that count behind a word: others end sentences
+_TAIL[[ord(x) for x in "0123456789@$"]] = True
 _PART = np.zeros(256, bool)
 _PART[[ord(x) for x in ".*_/"]] = True
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _SEPARATORS = " .-_*/"
 _MIXED = re.compile(
-    r"[^\W_]*(?:[^\W\d_][0-9@$|!+(]+(?=[^\W\d_])|[0-9@$]+(?=[^\W\d_])|([^\W\d_])\1\1)[\w@$|!+(]*[^\W_][0-9@$]*"
+    # from the start of a stretch of letters and digits on, so that each is tried once
+    r"(?<![^\W_])[^\W_]*(?:[^\W\d_][0-9@$|!+(]+(?=[^\W\d_])|[0-9@$]+(?=[^\W\d_])|([^\W\d_])\1\1)[\w@$|!+(]*[^\W_][0-9@$]*"
     r"|(?<![\w@$|!+(])[!|+(]+[^\W\d_][\w@$|!+(]*[^\W_][0-9@$]*"  # a sign in front
-    r"|[^\W_]*[^\W\d_][0-9@$]+(?!\w)",  # signs at the end
+    r"|(?<![^\W_])[^\W_]*[^\W\d_][0-9@$]+(?!\w)",  # signs at the end
     re.UNICODE)
 _SINGLE = r"(?:[^\W_]|[@$|!+(])"
 _SPACED = re.compile(rf"(?<![\w@$|!+(])(?:{_SINGLE}[ .\-_*/]{{1,2}}){{2,}}{_SINGLE}(?![\w@$|!+(])")
@@ -63,7 +66,7 @@ _PARTED = re.compile(r"(?<![\w./])[^\W\d_]{2,}[.*_/][^\W\d_]{2,}(?![\w/]|\.\w)")
 def suspicious(data: np.ndarray) -> bool:
     """Whether a UTF-8 text has anything to decode (a quick test that never misses)."""
     letter, sign = _LETTER[data], _SIGN[data]
-    if (letter[1:] & sign[:-1]).any() or (letter[:-1] & sign[1:]).any():
+    if (letter[1:] & sign[:-1]).any() or (letter[:-1] & _TAIL[data[1:]]).any():
         return True
     if len(data) > 2 and (letter[2:] & (_fold(data[2:]) == _fold(data[1:-1])) & (_fold(data[1:-1]) == _fold(data[:-2]))).any():
         return True
@@ -90,7 +93,7 @@ class Decoder:
     """Viterbi search over the readings of a stretch under a character model."""
 
     def __init__(self, model: charlm.Model) -> None:
-        self.model, self.order, self.memo, self.done = model, len(model.grams), {}, {}
+        self.model, self.order, self.memo, self.done, self.folded = model, len(model.grams), {}, {}, {}
 
     def step(self, state: int, symbol: int) -> tuple[float, int]:
         gram = (state << 5) | symbol
@@ -98,6 +101,13 @@ class Decoder:
             self.memo[gram] = float(self.model.logp(np.array([gram], np.uint32))[0])
         return self.memo[gram], gram & (charlm.SYMBOLS ** (self.order - 1) - 1)
 
+    def symbols(self, reading: str) -> list[int]:
+        if reading not in self.folded:
+            if len(self.folded) > 100_000:
+                self.folded.clear()
+            self.folded[reading] = charlm.fold(reading.lower().encode()).tolist() if reading else []
+        return self.folded[reading]
+
     def lattice(self, stretch: str) -> list[list[tuple[str, float]]]:
         """For each place the possible readings and their channel log probabilities."""
         out, i = [], 0
@@ -127,10 +137,11 @@ class Decoder:
             best = {0: (0.0, "")}  # state: log probability and reading; 0 is after a space
             for options in [*self.lattice(stretch), [(" ", 0.0)]]:
                 new: dict[int, tuple[float, str]] = {}
+                folded = [(reading, channel, self.symbols(reading)) for reading, channel in options]
                 for state, (score, text) in best.items():
-                    for reading, channel in options:
+                    for reading, channel, symbols in folded:
                         s, at = score + channel, state
-                        for symbol in charlm.fold(reading.lower().encode()).tolist() if reading else ():
+                        for symbol in symbols:
                             p, at = self.step(at, symbol)
                             s += p
                         if at not in new or s > new[at][0]:
