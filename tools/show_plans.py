@@ -42,11 +42,11 @@ def main() -> None:
         "R5 discount_effect": lambda: programs.discounts(s.fact_orders, s.fact_items, s.fact_items_options),
         "R6 sales_trend": lambda: sales.sales_trend(s.fact_orders, s.fact_items),
         "R2 rfm inputs (before ranking)": lambda: customers.rfm_inputs(tot(), AS_OF),
-        "R1 clv (after the checkpointed ranking)": lambda: customers.clv(tot()),
+        "R1 clv (after the stored ranking)": lambda: customers.clv(tot()),
     }
     lines = ["# Physical plans (exchanges only)", "",
              f"Generated by `tools/show_plans.py` on {os.path.basename(sf)}: facts bucketed by `order_id` "
-             f"({BUCKETS} buckets), AQE and static broadcast off, range-partitioned ranking forced. "
+             f"({BUCKETS} buckets), AQE and static broadcast off. "
              "Each line is an exchange (shuffle) left in the plan, top (last) to bottom (first).", ""]
     for name, build in reports.items():
         plan = build()._jdf.queryExecution().executedPlan().toString()
