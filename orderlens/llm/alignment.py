@@ -6,7 +6,9 @@ place that its share of the list suggests, doubles its step until it has passed
 and bisects the bracket. All ends of an Arrow batch are searched at once: the documents' offsets are
 laid end to end, so one sorted list of all of them serves. Offsets found in both lists cut the
 tokens into groups; the difference of neighbouring ranks is the range of tokens that one token
-overlaps, and each token is linked with its whole range.
+overlaps, and each token is linked with its whole range (links="overlap"), or with all tokens of the
+other side in its group (links="group"). In a long group, a stretch without common ends, each id is
+paired once and its occurrences are multiplied, so no list of all its token pairs is made.
 
 A single space between two characters that are no space starts a token on both sides (the byte-level
 side's splitting pattern gives it to what follows, and no piece has a space behind another
@@ -41,8 +43,9 @@ from orderlens.llm import common as c
 
 WORD_CACHE = 400_000  # words whose ids a worker keeps
 BLOCK = 2_000_000  # pairs whose counts are sent to the workers at once
+LONG = 4096  # token pairs of a group from which its ids are paired in place of its tokens
 _ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-            "pairs array<long>, times array<int>")
+            "pairs array<long>, times array<long>")
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -193,9 +196,10 @@ class Aligner:
                 self.base.append(len(self.text))
                 self.text += [b"%d" % i + mark for i in range(len(side.bytes))]
 
-    def align(self, texts: list[str | None]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
+    def align(self, texts: list[str | None], links: str = "overlap",
+              ) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs and their times per text."""
-        none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32))
+        none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
         out = [none] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
         picked = [texts[i] for i in some]
@@ -205,11 +209,11 @@ class Aligner:
                 sides[len(x) > len(y)].append((i, x, y))
         for b_short, rows in enumerate(sides):
             if rows:
-                for (i, _, _), found in zip(rows, self._aligned(rows, bool(b_short)), strict=True):
+                for (i, _, _), found in zip(rows, self._aligned(rows, bool(b_short), links), strict=True):
                     out[i] = found
         return out
 
-    def _aligned(self, rows, b_short: bool):
+    def _aligned(self, rows, b_short: bool, links: str):
         # A and B tokens of all documents end to end; number of the document of each
         n = [np.array([len(r[x]) // 4 for r in rows]) for x in (1, 2)]
         ids = [np.frombuffer(b"".join([r[x] for r in rows]), "<i4").astype(np.int64) for x in (1, 2)]
@@ -219,20 +223,51 @@ class Aligner:
         begin = [np.cumsum(x) - x for x in n]
         guess = begin[m][doc] + (np.arange(len(ids[s])) - begin[s][doc]) * n[m][doc] // n[s][doc]
         first, last, common = overlaps(ends[s], ends[m], guess)
-        i, j = _spread(first, last)
-        x, y = (j, i) if b_short else (i, j)
-        links = np.bincount(doc, last - first + 1, len(rows)).astype(np.int64)
+        ends = np.flatnonzero(common), last[common]  # last tokens of the groups
+        if links == "group":
+            n_links, per = self._group_pairs(ids, ends[::-1] if b_short else ends, doc[ends[0]], len(rows))
+        else:
+            i, j = _spread(first, last)
+            x, y = (j, i) if b_short else (i, j)
+            n_links = np.bincount(doc, last - first + 1, len(rows)).astype(np.int64)
+            per = self._pairs(ids[0][x] * len(self.b.bytes) + ids[1][y], np.repeat(doc, last - first + 1), len(rows))
         groups = np.bincount(doc, common, len(rows)).astype(np.int64)
-        per = self._pairs(ids[0][x] * len(self.b.bytes) + ids[1][y], np.repeat(doc, last - first + 1), len(rows))
-        shas = self._texts(ids, np.flatnonzero(common), last[common], s, np.cumsum(groups))
-        return zip(n[0].tolist(), n[1].tolist(), groups.tolist(), links.tolist(), shas, *per, strict=True)
-
-    def _pairs(self, pairs: np.ndarray, doc: np.ndarray, n: int):
+        shas = self._texts(ids, *ends, s, np.cumsum(groups))
+        return zip(n[0].tolist(), n[1].tolist(), groups.tolist(), n_links.tolist(), shas, *per, strict=True)
+
+    def _group_pairs(self, ids, ends, doc: np.ndarray, n: int):
+        """Links of each document, its distinct pairs and their times, where a group's A tokens are
+        linked with all its B tokens; the last A and B token, and the document, of each group."""
+        size = [np.diff(e, prepend=-1) for e in ends]
+        links = np.bincount(doc, size[0] * size[1], n).astype(np.int64)
+        group = [np.repeat(np.arange(len(doc)), x) for x in size]
+        ids, times = list(ids), None
+        if (long := size[0] * size[1] > LONG).any():
+            times = [np.ones(len(x), np.int64) for x in ids]
+            for x, side in enumerate((self.a, self.b)):
+                many = long[group[x]]
+                keys, t = np.unique(group[x][many] * len(side.bytes) + ids[x][many], return_counts=True)
+                g = np.append(group[x][~many], keys // len(side.bytes))
+                order = np.argsort(g, kind="stable")
+                group[x], ids[x] = g[order], np.append(ids[x][~many], keys % len(side.bytes))[order]
+                times[x] = np.append(times[x][~many], t)[order]
+            size[1] = np.bincount(group[1], minlength=len(doc))
+        first = (np.cumsum(size[1]) - size[1])[group[0]]
+        i, j = _spread(first, first + size[1][group[0]] - 1)
+        return links, self._pairs(ids[0][i] * len(self.b.bytes) + ids[1][j], doc[group[0][i]], n,
+                                  None if times is None else times[0][i] * times[1][j])
+
+    def _pairs(self, pairs: np.ndarray, doc: np.ndarray, n: int, times: np.ndarray | None = None):
         """Distinct pairs of each document, ascending, and how often each occurs."""
         of_doc = len(self.a.bytes) * len(self.b.bytes)  # two vocabularies and a batch fit in 63 bits
-        keys = np.sort(doc * of_doc + pairs)
+        keys = doc * of_doc + pairs
+        if times is None:
+            keys.sort()
+        else:
+            order = np.argsort(keys)
+            keys, times = keys[order], times[order]
         at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        times = np.diff(np.append(at, len(keys))).astype(np.int32)
+        times = np.diff(np.append(at, len(keys))) if times is None else np.add.reduceat(times, at)
         keys = keys[at]
         cuts = np.searchsorted(keys, np.arange(1, n) * of_doc)
         return np.split(keys % of_doc, cuts), np.split(times, cuts)
@@ -264,9 +299,11 @@ class Aligner:
 _KNOWN: dict[tuple[str, str], Aligner] = {}
 
 
-def aligned(docs: DataFrame, a: str | None = None, b: str | None = None) -> DataFrame:
+def aligned(docs: DataFrame, a: str | None = None, b: str | None = None, links: str = "overlap") -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, groups_sha256, and the distinct linked id pairs
     (A id times the size of B, plus B id) with their times, for each row of docs."""
+    if links not in ("overlap", "group"):
+        raise ValueError(f"links must be overlap or group, not {links!r}")
     default = default_tokenizers()
     paths = a or default[0], b or default[1]
 
@@ -278,11 +315,11 @@ def aligned(docs: DataFrame, a: str | None = None, b: str | None = None) -> Data
             texts = text.to_pylist()
             found = []
             for some in _portions(texts):
-                found += _KNOWN[paths].align(some)
+                found += _KNOWN[paths].align(some, links)
             cols = list(zip(*found, strict=True)) or [()] * 7
             yield pa.record_batch(
                 [ids, *(pa.array(x, pa.int64()) for x in cols[:4]), pa.array(cols[4], pa.string()),
-                 c.list_array(list(cols[5]), pa.int64()), c.list_array(list(cols[6]), pa.int32())],
+                 c.list_array(list(cols[5]), pa.int64()), c.list_array(list(cols[6]), pa.int64())],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
     return c.texts(docs).mapInArrow(run, _ALIGNED)
@@ -322,7 +359,7 @@ def _judged(found: DataFrame, block: DataFrame) -> DataFrame:
         for batch in batches:
             rows, pairs, times = c.columns(batch, "row", "pairs", "times")
             doc = np.repeat(np.arange(batch.num_rows), np.diff(pairs.offsets.to_numpy()))
-            p, t = pairs.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
+            p, t = pairs.flatten().to_numpy(), times.flatten().to_numpy()
             at = np.searchsorted(pair, p)
             at[at == len(pair)] = 0
             here = pair[at] == p if len(pair) else np.zeros(len(p), bool)  # others are of other blocks
@@ -334,12 +371,13 @@ def _judged(found: DataFrame, block: DataFrame) -> DataFrame:
     return found.select("row", "pairs", "times").mapInArrow(run, "row long, n_best long, count_sum long")
 
 
-def align(docs: DataFrame, a: str | None = None, b: str | None = None, block: int = BLOCK) -> DataFrame:
+def align(docs: DataFrame, a: str | None = None, b: str | None = None, block: int = BLOCK,
+          links: str = "overlap") -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for each row of docs;
-    see the module's text."""
+    see the module's text. ``links``: which tokens are linked, those that overlap or all of a group."""
     b = b or default_tokenizers()[1]
     # numbered once and written, so a row has one number in all that follows
-    found = c.written(aligned(docs, a, b).withColumn("row", F.monotonically_increasing_id()), "aligned")
+    found = c.written(aligned(docs, a, b, links).withColumn("row", F.monotonically_increasing_id()), "aligned")
     counts = c.written(pair_counts(found, len(Pieces(b).bytes)), "pairs")
     blocks = max(1, -(-counts.count() // block))
     slot = F.pmod(F.xxhash64("pair"), F.lit(blocks))

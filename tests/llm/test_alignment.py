@@ -4,7 +4,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from orderlens.llm import alignment
+from orderlens.llm import alignment, queries
 from tests.llm.conftest import prose
 
 A_PATH, B_PATH = alignment.default_tokenizers()
@@ -109,3 +109,48 @@ def test_empty_table_and_a_very_long_text(docs_of, rng, tokenizers):
     row = alignment.align(docs_of([(1, text)])).collect()[0]
     assert (row["n_a"], row["n_b"]) == tuple(len(side.encode([text])[0]) for side in tokenizers)
     assert row["n_links"] == row["n_a"] + row["n_b"] - row["n_groups"]
+
+
+def whole_groups(rows, tokenizers):
+    """Every pair of tokens of one group, by nested loops; brute() gives the other columns."""
+    per, holders = [], collections.Counter()
+    for i, t in rows:
+        spans = []
+        for side in tokenizers:
+            ids = side.encode([t])[0] if t else []
+            ends = np.cumsum([len(side.bytes[x]) for x in ids]).tolist()
+            if b"".join(side.bytes[x] for x in ids) != b" " + (t or "").encode():
+                spans = [[], []]
+                break
+            spans.append(list(zip(ids, ends)))
+        cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+        of = [[(x, next(k for k, cut in enumerate(cuts) if e <= cut)) for x, e in side] for side in spans]
+        links = [(x, y) for x, g in of[0] for y, h in of[1] if g == h]
+        per.append((i, links))
+        holders.update(set(links))
+    top = collections.Counter()
+    for (x, _), n in holders.items():
+        top[x] = max(top[x], n)
+    return sorted(((i, len(links), sum(holders[p] == top[p[0]] for p in links), sum(holders[p] for p in links))
+                   for i, links in per), key=str)
+
+
+def test_links_of_whole_groups(docs_of, rng, tokenizers, monkeypatch, tmp_path):
+    """The query links all tokens of a group, also those that do not overlap."""
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, prose(rng, 60)) for i in range(6)]
+    rows += [(200, "zqxjkvwq " * 3 + "brxtqqq"), (200, "zqxjkvwq"), (None, "plain words"), (201, "x" * 301 + "=" * 77)]
+    want = whole_groups(rows, tokenizers)
+    plain = brute(rows, tokenizers)
+    assert [x[1] for x in want] != [x[4] for x in plain]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark = docs_of([]).sparkSession
+    got = sorted((tuple(r) for r in queries.op11_tokenizer_alignment(spark, str(tmp_path)).collect()), key=str)
+    assert [(r[0], *r[4:7]) for r in got] == want
+    assert [(*r[:4], r[7]) for r in got] == [(*r[:4], r[7]) for r in plain]
+    # ids of long groups paired once give the same pairs and times
+    aligner, texts = alignment.Aligner(*tokenizers), [t for _, t in rows]
+    found = []
+    for long in (1 << 60, 1, 5):
+        monkeypatch.setattr(alignment, "LONG", long)
+        found.append([(*x[:5], x[5].tolist(), x[6].tolist()) for x in aligner.align(texts, "group")])
+    assert found[0] == found[1] == found[2]
