@@ -2,8 +2,8 @@
 
 The base rule rejects texts of fewer than MIN_WORDS words and texts of which more than
 REPEAT_PERCENT percent of the words lie in WINDOW-word windows that occur twice in the text.
-The method scores each text with the modified Kneser-Ney model of its language (charlm),
-counted over all documents, and rejects perplexities outside the language's band: the middle
+The method scores the words of each text with the modified Kneser-Ney model of its language (langmodel),
+counted over all words of all documents, and rejects perplexities (per character and word end) outside the language's band: the middle
 half of the log perplexities of all texts that pass the base rule, widened on each side by
 BELOW or ABOVE times its width. A single text's mean strays with its length, so the band of a
 text of n characters is widened by SHORT / sqrt(n).
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderlens.llm import charlm, common as c
+from orderlens.llm import common as c, langmodel
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -33,6 +33,11 @@ _SIGNS[list(b"#*$%&|<>")] = True
 
 def statistics(text: bytes) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a UTF-8 text."""
+    return _measured(text)[0]
+
+
+def _measured(text: bytes) -> tuple[tuple[int, int, int, int, int], np.ndarray, np.ndarray, np.ndarray]:
+    """The statistics of a text, and the hashes, starts and ends of its words."""
     data = c.as_bytes(text)
     starts, ends = c.word_spans(data)
     first = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))  # code points before a byte
@@ -56,30 +61,55 @@ def statistics(text: bytes) -> tuple[int, int, int, int, int]:
         cover[:len(windows)] += twice
         cover[WINDOW:] -= twice
         repeated = int((np.cumsum(cover[:-1]) > 0).sum())
-    return len(starts), int((first[ends] - first[starts]).sum()), int(_SIGNS[data].sum()), dup, repeated
+    return (len(starts), int((first[ends] - first[starts]).sum()), int(_SIGNS[data].sum()), dup, repeated), \
+        hashes, starts, ends
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, lang, the five statistics, n_chars, perplexity and base_failed of each row."""
     docs = c.texts(docs, "lang")
-    spark = docs.sparkSession
-    models = spark.sparkContext.broadcast(charlm.train(docs))
+    trained, words = langmodel.train(docs)
+    sc = docs.sparkSession.sparkContext
+    model, known = sc.broadcast(trained), sc.broadcast(langmodel.frequent(words))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches):
         for batch in batches:
             ids, langs, text = c.columns(batch, "doc_id", "lang", "text")
-            stats, size, ppl = [], [], []
+            stats, size, logp, rest = [], [], [], []
+            new: tuple[list, list, list] = [], [], []  # words that are not broadcast, their rows and languages
             for lang, t in zip(langs.to_pylist(), c.text_bytes(text), strict=True):
-                stats.append(statistics(t))
+                found, hashes, starts, ends = _measured(t)
+                stats.append(found)
                 size.append(int(((c.as_bytes(t) & 0xC0) != 0x80).sum()))
-                ppl.append(models.value[lang].perplexity(t) if t else None)
+                own = langmodel.keys(hashes, lang)
+                some, others = langmodel.looked_up(own, *known.value)
+                if model.value is not None:
+                    new[0].extend([t[a:b] for a, b in zip(starts[others].tolist(), ends[others].tolist(), strict=True)])
+                    new[1].extend([len(logp)] * int(others.sum()))
+                    new[2].extend([lang] * int(others.sum()))
+                    others[:] = False
+                logp.append(some)
+                rest.append(own[others])
+            if new[0]:
+                logp = np.add(logp, np.bincount(new[1], model.value.score(new[0], langmodel.salts(new[2])), batch.num_rows))
             cols = np.array(stats, np.int64).reshape(-1, 5).T
-            yield pa.record_batch([ids, langs, *cols, pa.array(size, pa.int64()), pa.array(ppl, pa.float64())],
-                                  names=["doc_id", "lang", *names, "n_chars", "perplexity"])
+            yield pa.record_batch([ids, langs, *cols, pa.array(size, pa.int64()), pa.array(logp, pa.float64()),
+                                   c.list_array(rest, pa.int64())],
+                                  names=["doc_id", "lang", *names, "n_chars", "known", "rest"])
 
     rows = docs.mapInArrow(run, "doc_id long, lang string, " + ", ".join(f"{x} long" for x in names)
-                           + ", n_chars long, perplexity double")
+                           + ", n_chars long, known double, rest array<long>")
+    # numbered and written, so a row has one number in both branches
+    rows = c.written(rows.withColumn("_row", F.monotonically_increasing_id()), "measured")
+    # words that were not scored on the way: none with a broadcast model
+    rest = (rows.select("_row", F.explode("rest").alias("key")).join(words.select("key", "logp"), "key")
+            .groupBy("_row").agg(F.sum("logp").alias("others")))
+    logp = F.col("known") + F.coalesce("others", F.lit(0.0))
+    # of each character of the words and each word's end; a text without words has none
+    perplexity = F.exp(-logp / F.nullif(F.col("n_words") + F.col("word_chars"), F.lit(0)))
+    rows = (rows.drop("rest").join(rest, "_row", "left")
+            .select("doc_id", "lang", *names, "n_chars", perplexity.alias("perplexity")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 

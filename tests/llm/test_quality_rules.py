@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from orderlens.llm import charlm, quality_rules as q
+from orderlens.llm import charlm, common as c, langmodel, quality_rules as q
 from tests.llm.conftest import prose, rows_of
 
 
@@ -86,3 +86,67 @@ def test_model_is_modified_kneser_ney(docs_of, rng):
              for s in range(32)]
         assert sum(p) == pytest.approx(1, abs=1e-4)
         assert p == pytest.approx([prob((*ctx, s)) for s in range(32)], rel=1e-3)
+
+
+def brute_perplexities(rows):
+    """Perplexity of each row's words by a plain recursive model of each language."""
+    out = {}
+    for lang in {r[2] for r in rows}:
+        texts = {r[0]: re.findall(r"[^\x20\x09-\x0D]+", r[1]) for r in rows if r[2] == lang}
+        held = collections.Counter(w for words in texts.values() for w in set(words))
+        tables = [collections.Counter() for _ in range(langmodel.ORDER + 1)]
+        for w, n in held.items():
+            for gram in langmodel.word_grams(w):
+                tables[len(gram)][gram] += n - 1
+        for k in range(langmodel.ORDER - 1, 0, -1):
+            for gram, n in tables[k + 1].items():
+                tables[k][gram[1:]] += n > 0
+
+        def prob(gram):
+            if not gram:
+                return 1 / (sum(n > 0 for n in tables[1].values()) + 1)
+            table = tables[len(gram)]
+            d = charlm.Model._discounts(np.array(list(table.values())))
+            same = [n for g, n in table.items() if g[:-1] == gram[:-1]]
+            if not sum(same):
+                return prob(gram[1:])
+            n, back = table[gram], sum(d[min(x, 3)] for x in same) / sum(same)
+            return (n - d[min(n, 3)]) / sum(same) + back * prob(gram[1:])
+
+        score = {w: sum(math.log(prob(g)) for g in langmodel.word_grams(w)) for w in held}
+        for i, words in texts.items():
+            size = sum(map(len, words)) + len(words)
+            out[i] = math.exp(-sum(score[w] for w in words) / size) if size else None
+    return out
+
+
+@pytest.mark.parametrize(("size", "table"), [(langmodel.FREQUENT, langmodel.TABLE), (12, langmodel.TABLE), (12, 0)])
+def test_perplexity_equals_a_plain_model(docs_of, rng, monkeypatch, size, table):
+    """However many words are broadcast, and whether n-grams are broadcast or joined."""
+    monkeypatch.setattr(langmodel.frequent, "__defaults__", (size,))
+    monkeypatch.setattr(langmodel.train, "__defaults__", (table,))
+    rows = [(i, prose(rng, 25, 60), "en") for i in range(6)] + [(20, "one two\tone  thirteen\n", "en"), (21, " ", "en")]
+    rows += [(30 + i, prose(rng, 15, 30), None) for i in range(3)] + [(40, "мама мыла раму", ""), (41, "мама мыла 窓🙂", "")]
+    got = rows_of(q.quality_rules(docs_of(rows)), "doc_id")
+    for i, want in brute_perplexities(rows).items():
+        assert got[i]["perplexity"] == (want and pytest.approx(want, rel=1e-9))
+
+
+@pytest.mark.parametrize("first", ["а", "一"])
+def test_junk_in_other_scripts_is_rejected(docs_of, rng, first):
+    """Random letters in words of the right lengths; folded to one symbol they looked like the language."""
+    def other(text):
+        return "".join(chr(ord(first) + ord(ch) - 97) if ch.isalpha() else ch for ch in text)
+    rows = [(i, other(prose(rng, 150)), "zz") for i in range(30)]
+    mash = ["".join(rng.choice("abcdefghijklmnopqrstuvwx") for _ in w) for w in prose(rng, 150).split()]
+    got = rows_of(q.quality_rules(docs_of([*rows, (99, other(" ".join(mash)), "zz")])), "doc_id")
+    assert all(got[i]["kept"] for i in range(30))
+    assert not got[99]["kept"] and not got[99]["base_failed"]
+
+
+def test_what_the_model_gathers_grows_with_the_words(docs_of, rng):
+    """A word form that two documents share is a word of the model, whatever others there are."""
+    def gathered(n):
+        rows = [(i, " ".join(f"{chr(0x4e00 + k)}{chr(0x4e00 + k * 7 % n)}" for k in range(n))) for i in range(2)]
+        return len(langmodel.train(c.texts(docs_of(rows), "lang"))[0].grams)
+    assert gathered(5000) > 9 * gathered(500) > 9 * 1000
