@@ -136,3 +136,33 @@ def test_bucketed_batches_readable_from_a_fresh_catalog(spark):
     assert "app_id" in star.fact_orders.columns and "batch" not in star.fact_orders.columns
     plan = star.fact_items.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_options_are_settled_in_one_pass_dealt_by_line(spark, monkeypatch):
+    """Equal rows, NULLs, loaded options and waiting ones come out right of one stored pass in which
+    each side is shuffled once (before: a pass for each of the results, with shuffles by all columns)."""
+    text = "order_id string, lineitem_id string, option_group_name string, option_name string, option_quantity string, option_price string"
+    options = spark.createDataFrame([
+        ("a", "1", "g", None, "1", "2"), ("a", "1", "g", None, "1.0", "2.00"),  # one fact
+        ("a", "2", "g", "x", "1", "2"),  # no line yet
+        ("a", "2", "g", "x", "1", "2"), ("a", "2", "g", "x", "1.0", "2"),  # texts that wait
+        ("b", "1", None, "x", "many", "3"),  # loaded before, with NULLs
+        ("b", "1", None, "y", "many", "3"),
+        (None, "1", "g", "x", "1", "2")], text)
+    items = spark.createDataFrame([("a", "1"), ("a", "1")], "order_id string, lineitem_id string")
+    loaded = spark.createDataFrame([("b", "1"), (None, "1")], "order_id string, lineitem_id string")
+    passes, real = [], incremental.stored
+    there = real(incremental.conform.fact_item_options(options.filter("option_name = 'x' and order_id = 'b'")), "there")
+    monkeypatch.setattr(incremental, "stored", lambda df, name: passes.append(df) or real(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
+    try:
+        facts, waiting = incremental.settle_options(options, items, loaded, there)
+        plan = passes[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(passes) == 1 and plan.count("Exchange hashpartitioning") == 3
+    assert facts.columns == incremental.schemas.FACT_ITEMS_OPTIONS.fieldNames()
+    assert sorted(map(str, facts.select("order_id", "option_name", "option_quantity", "option_total").collect())) == [
+        "Row(order_id='a', option_name=None, option_quantity=Decimal('1.0000'), option_total=Decimal('2.0000'))",
+        "Row(order_id='b', option_name='y', option_quantity=None, option_total=None)"]
+    assert sorted(map(tuple, waiting.collect())) == [("a", "2", "g", "x", "1", "2"), ("a", "2", "g", "x", "1.0", "2")]
