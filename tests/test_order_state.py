@@ -2,11 +2,12 @@
 
 import datetime as dt
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens import catalog
+from orderlens import catalog, schemas
 from orderlens.operators.order_totals import apply_policy, order_sums
 from orderlens.plans import order_state
 from orderlens.session import scratch_path
@@ -126,3 +127,21 @@ def test_errors_without_log_or_state(spark):
     commits.begin(spark, out)
     with pytest.raises(FileNotFoundError):
         order_state.order_sums(spark, out)
+
+
+def test_merge_is_dealt_by_order_and_keeps_rows_without_a_delta(spark):
+    """Work spreads over orders however few buckets there are (before: one task a bucket)."""
+    def delta(order, items, option):
+        orders = spark.createDataFrame([(order, 1, "r", "u", "c", True, dt.datetime(2001, 1, 1), "USD")], schemas.FACT_ORDERS)
+        lines = spark.createDataFrame([("1", order, "c", "n", 1, x, x) for x in items], schemas.FACT_ITEMS)
+        options = spark.createDataFrame([("1", order, "g", "n", Decimal(1), x, x) for x in option], schemas.FACT_ITEMS_OPTIONS)
+        return order_state.deltas(orders, lines, options, 2)
+
+    old = order_state.merge(None, delta("a", [Decimal(3), None], [Decimal(-1)]).unionByName(delta(None, [], [])), 2)
+    new = delta("a", [Decimal(4)], [Decimal(-1), Decimal(5)]).unionByName(delta("b", [None], []))
+    merged = order_state.merge(old, new, 2)
+    got = {r["order_id"]: (len(r["orders"]), r["item_total"], r["option_total"], r["has_discount"], len(r["options"]))
+           for r in merged.collect()}
+    assert got == {"a": (1, 7, 4, 1, 2), None: (1, None, None, None, 0), "b": (1, None, None, None, 0)}
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(bucket#\d+, \d+\)", plan)
