@@ -145,3 +145,22 @@ def test_merge_is_dealt_by_order_and_keeps_rows_without_a_delta(spark):
     assert got == {"a": (1, 7, 4, 1, 2), None: (1, None, None, None, 0), "b": (1, None, None, None, 0)}
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(bucket#\d+, \d+\)", plan)
+
+
+def test_option_sums_come_with_the_delta_and_stay_exact_where_rows_repeat(spark):
+    """Sums are plain aggregates (before: arrays added up outside generated code); a row that comes
+    twice, in a delta or again in a later one, counts once."""
+    def delta(options):
+        orders = spark.createDataFrame([], schemas.FACT_ORDERS)
+        rows = [("1", o, "g", name, Decimal(1), x, x) for o, name, x in options]
+        return order_state.deltas(orders, spark.createDataFrame([], schemas.FACT_ITEMS),
+                                  spark.createDataFrame(rows, schemas.FACT_ITEMS_OPTIONS), 2)
+
+    first = delta([("a", "x", Decimal(3)), ("a", "x", Decimal(3)), ("a", "y", Decimal(3)), ("b", "x", None), ("c", "x", Decimal(1))])
+    assert {"option_total", "has_discount"} <= set(first.columns)
+    merged = order_state.merge(None, first, 2)
+    assert "transform" not in merged.select("has_discount")._jdf.queryExecution().optimizedPlan().toString()
+    for more in ([("a", "y", Decimal(3)), ("a", "z", Decimal(-1))], [("b", "x", None), ("b", "y", Decimal(2)), ("c", "y", None)]):
+        merged = order_state.merge(merged, delta(more), 2)
+    got = {r["order_id"]: (r["option_total"], r["has_discount"], len(r["options"])) for r in merged.collect()}
+    assert got == {"a": (5, 1, 3), "b": (2, 0, 2), "c": (1, 0, 2)}
